@@ -220,3 +220,136 @@ def window_cube() -> str:
     return cube_ctes(cfg, fx.WEB_EVENTS_SQL, windows=w, ranges=[(start, end)]) + """
     SELECT landing_family, channel, geo_country, device, new_returning, visits, activations FROM ga_cube_all"""
 
+
+
+# -- totals and apportionment ---------------------------------------------------
+
+def totals_ctes(cfg: FunnelConfig, trials_sql: str, paid_sql: str) -> str:
+    """The reference's shape: one UNION ALL branch per (window, table)."""
+    parts = []
+    for w in cfg.windows:
+        rng = f"week BETWEEN {d(w.start)} AND {d(w.end)}"
+        parts.append(f"SELECT '{w.period}' AS period, country_group, SUM(free_trial_users) AS trials, "
+                     f"CAST(NULL AS HUGEINT) AS paid FROM trials_w WHERE {rng} GROUP BY 1, 2")
+        parts.append(f"SELECT '{w.period}' AS period, country_group, CAST(NULL AS HUGEINT) AS trials, "
+                     f"SUM(total_bookings_users) AS paid FROM paid_w WHERE {rng} GROUP BY 1, 2")
+    bridge = ", ".join(f"('{g}', '{b}')" for g, b in cfg.country_bridge)
+    return f"""trials_w AS ({trials_sql}),
+    paid_w AS ({paid_sql}),
+    bi_raw AS ({' UNION ALL '.join(parts)}),
+    bi_pc AS (SELECT period, country_group, SUM(trials) AS trials, SUM(paid) AS paid FROM bi_raw GROUP BY 1, 2),
+    bridge AS (SELECT * FROM (VALUES {bridge}) b(country_group, bucket)),
+    bi AS (
+      SELECT p.period, COALESCE(b.bucket, 'Other') AS country,
+        CAST(SUM(COALESCE(CAST(p.trials AS BIGINT), 0)) AS BIGINT) AS trials,
+        CAST(SUM(COALESCE(CAST(p.paid AS BIGINT), 0)) AS BIGINT) AS paid
+      FROM bi_pc p LEFT JOIN bridge b ON p.country_group = b.country_group
+      GROUP BY 1, 2
+    )"""
+
+
+_ORDER = "is_placeholder, landing_family, channel, device, new_returning"
+
+
+def allocation_ctes(cfg: FunnelConfig) -> str:
+    ph = dict(cfg.placeholder_dims)
+    return f"""sums AS (SELECT period, geo_country, SUM(visits) AS tv FROM ga_cube GROUP BY 1, 2),
+    extra AS (
+      SELECT bi.period, '{ph['landing_family']}' AS landing_family, '{ph['channel']}' AS channel,
+        bi.country AS geo_country, '{ph['device']}' AS device, '{ph['new_returning']}' AS new_returning,
+        CAST(0 AS BIGINT) AS visits, CAST(0 AS BIGINT) AS activations, TRUE AS is_placeholder
+      FROM bi LEFT JOIN sums s ON s.period = bi.period AND s.geo_country = bi.country
+      WHERE COALESCE(s.tv, 0) = 0 AND (bi.trials > 0 OR bi.paid > 0)
+    ),
+    all_rows AS (
+      SELECT period, landing_family, channel, geo_country, device, new_returning, visits, activations,
+        FALSE AS is_placeholder FROM ga_cube
+      UNION ALL SELECT * FROM extra
+    ),
+    g AS (
+      SELECT r.*, COALESCE(bi.trials, 0) AS tt, COALESCE(bi.paid, 0) AS tp,
+        SUM(r.visits) OVER w AS gv, COUNT(*) OVER w AS gn,
+        ROW_NUMBER() OVER (PARTITION BY r.period, r.geo_country ORDER BY {_ORDER}) AS pos
+      FROM all_rows r LEFT JOIN bi ON bi.period = r.period AND bi.country = r.geo_country
+      WINDOW w AS (PARTITION BY r.period, r.geo_country)
+    ),
+    f AS (
+      SELECT *,
+        CASE WHEN gv > 0 THEN visits * tt // gv END AS fl_t, CASE WHEN gv > 0 THEN visits * tt % gv END AS rem_t,
+        CASE WHEN gv > 0 THEN visits * tp // gv END AS fl_p, CASE WHEN gv > 0 THEN visits * tp % gv END AS rem_p
+      FROM g
+    ),
+    rk AS (
+      SELECT *,
+        tt - SUM(fl_t) OVER (PARTITION BY period, geo_country) AS left_t,
+        tp - SUM(fl_p) OVER (PARTITION BY period, geo_country) AS left_p,
+        ROW_NUMBER() OVER (PARTITION BY period, geo_country ORDER BY rem_t DESC, {_ORDER}) AS rk_t,
+        ROW_NUMBER() OVER (PARTITION BY period, geo_country ORDER BY rem_p DESC, {_ORDER}) AS rk_p
+      FROM f
+    ),
+    alloc AS (
+      SELECT period, landing_family, channel, geo_country, device, new_returning, visits, activations,
+        CAST(CASE WHEN tt = 0 AND tp = 0 THEN 0
+             WHEN gv > 0 THEN CASE WHEN tt <= 0 THEN 0 ELSE fl_t + CASE WHEN rk_t <= left_t THEN 1 ELSE 0 END END
+             ELSE (tt - (((tt % gn) + gn) % gn)) // gn + CASE WHEN pos <= (((tt % gn) + gn) % gn) THEN 1 ELSE 0 END
+        END AS BIGINT) AS trials,
+        CAST(CASE WHEN tt = 0 AND tp = 0 THEN 0
+             WHEN gv > 0 THEN CASE WHEN tp <= 0 THEN 0 ELSE fl_p + CASE WHEN rk_p <= left_p THEN 1 ELSE 0 END END
+             ELSE (tp - (((tp % gn) + gn) % gn)) // gn + CASE WHEN pos <= (((tp % gn) + gn) % gn) THEN 1 ELSE 0 END
+        END AS BIGINT) AS paid,
+        is_placeholder, gv AS group_visits
+      FROM rk
+    )"""
+
+
+def _funnel_ctes() -> str:
+    cfg = fx.cube_config()
+    return (cube_ctes(cfg, fx.WEB_EVENTS_SQL) + ",\n    " + totals_ctes(cfg, fx.WEB_TRIALS_SQL, fx.WEB_PAID_SQL)
+            + ",\n    " + allocation_ctes(cfg))
+
+
+def aggregate_totals() -> str:
+    cfg = fx.cube_config()
+    return "WITH " + totals_ctes(cfg, fx.WEB_TRIALS_SQL, fx.WEB_PAID_SQL) + " SELECT * FROM bi"
+
+
+def missing_cells() -> str:
+    return _funnel_ctes() + """ SELECT period, landing_family, channel, geo_country, device, new_returning,
+      visits, activations, is_placeholder FROM extra"""
+
+
+_ALLOC_COLS = ("period, landing_family, channel, geo_country, device, new_returning, visits, activations, "
+               "trials, paid")
+
+
+def allocate_shares() -> str:
+    return _funnel_ctes() + f" SELECT {_ALLOC_COLS}, group_visits FROM alloc WHERE group_visits > 0"
+
+
+def allocate_even_split() -> str:
+    return _funnel_ctes() + f" SELECT {_ALLOC_COLS}, is_placeholder FROM alloc WHERE group_visits = 0"
+
+
+_CUBE_OUT = ("period, landing_family, channel, geo_country AS country, device, new_returning, visits, "
+             "activations, trials, paid")
+
+
+def _capped(k: int) -> str:
+    return _funnel_ctes() + f""",
+    capped AS (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY period ORDER BY visits + trials + paid DESC,
+        landing_family, channel, geo_country, device, new_returning, is_placeholder) AS rn
+      FROM alloc
+    )
+    SELECT {_CUBE_OUT} FROM capped WHERE rn <= {k}"""
+
+
+def funnel_cube() -> str:
+    return _capped(fx.cube_config().cap)
+
+
+CUBE_TOP_K = 25
+
+
+def cube_top_k() -> str:
+    return _capped(CUBE_TOP_K)

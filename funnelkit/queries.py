@@ -96,3 +96,62 @@ QUERIES = {
 }
 
 _ = DIMENSIONS, classify_sessions
+
+
+# -- totals and apportionment ---------------------------------------------------
+
+from .operators.allocate import allocate as _allocate, cell_visit_totals, missing_cells as _missing, \
+    top_per_group  # noqa: E402
+from .operators.totals import aggregate_totals as _totals  # noqa: E402
+from .plans.funnel import allocated_cube, funnel_cube as _funnel_cube, CUBE_COLUMNS  # noqa: E402
+
+
+def _cube_inputs(spark: SparkSession, sf: str):
+    return fx.web_events(spark, sf), fx.web_trials(spark, sf), fx.web_paid(spark, sf)
+
+
+def q_aggregate_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return _totals(fx.web_trials(spark, sf), fx.web_paid(spark, sf), fx.cube_config())
+
+
+def q_missing_cells(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.cube_config()
+    ev, tr, pd_ = _cube_inputs(spark, sf)
+    return _missing(_web_cube(ev, cfg), _totals(tr, pd_, cfg), cfg)
+
+
+_ALLOC = ("period", "landing_family", "channel", "geo_country", "device", "new_returning", "visits",
+          "activations", "trials", "paid")
+
+
+def q_allocate_shares(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.cube_config()
+    a = cell_visit_totals(allocated_cube(*_cube_inputs(spark, sf), cfg))
+    return a.filter(F.col("group_visits") > 0).select(*_ALLOC, "group_visits")
+
+
+def q_allocate_even_split(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.cube_config()
+    a = cell_visit_totals(allocated_cube(*_cube_inputs(spark, sf), cfg))
+    return a.filter(F.col("group_visits") == 0).select(*_ALLOC, "is_placeholder")
+
+
+def q_funnel_cube(spark: SparkSession, sf: str) -> DataFrame:
+    return _funnel_cube(*_cube_inputs(spark, sf), fx.cube_config())
+
+
+def q_cube_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    capped = top_per_group(allocated_cube(*_cube_inputs(spark, sf), fx.cube_config()), O.CUBE_TOP_K)
+    return capped.select(*[F.col("geo_country").alias("country") if c == "country" else F.col(c)
+                           for c in CUBE_COLUMNS])
+
+
+QUERIES.update({
+    "aggregate_totals": (q_aggregate_totals, O.aggregate_totals),
+    "missing_cells": (q_missing_cells, O.missing_cells),
+    "allocate_shares": (q_allocate_shares, O.allocate_shares),
+    "allocate_even_split": (q_allocate_even_split, O.allocate_even_split),
+    "funnel_cube": (q_funnel_cube, O.funnel_cube),
+    "cube_top_k": (q_cube_top_k, O.cube_top_k),
+})
+_ = _allocate
