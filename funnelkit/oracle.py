@@ -353,3 +353,197 @@ CUBE_TOP_K = 25
 
 def cube_top_k() -> str:
     return _capped(CUBE_TOP_K)
+
+
+# -- weekly trend ----------------------------------------------------------------
+
+def _trend_web_ctes(cfg: FunnelConfig, scope: str | None) -> str:
+    v_scope = f" AND first_page.geo_country = '{scope}'" if scope else ""
+    s_scope = f" AND geo_country = '{scope}'" if scope else ""
+    return f"""ga AS ({fx.ORDER_EVENTS_SQL}),
+    ev AS (
+      SELECT CAST(date_trunc('week', event_date) AS DATE) AS wk, *
+      FROM ga WHERE {_ranges('event_date', cfg.trend_ranges)} AND {host_sql(cfg)}
+    ),
+    mc_sessions AS (
+      SELECT wk, user_pseudo_id, session_id,
+        arg_min({{'page_group': page_group, 'geo_country': geo_country}}, {_order()})
+          FILTER (WHERE page_path IS NOT NULL) AS first_page
+      FROM ev WHERE hostname = '{cfg.site_host}'
+      GROUP BY 1, 2, 3
+    ),
+    visits_wk AS (
+      SELECT wk, COUNT(*) AS visits FROM mc_sessions
+      WHERE first_page IS NOT NULL AND first_page.page_group IN ({sql_list(cfg.acq)}){v_scope}
+      GROUP BY 1
+    ),
+    signup_user_wk AS (
+      SELECT wk, user_pseudo_id,
+        arg_min(geo_country, {_order()}) FILTER (WHERE geo_country IS NOT NULL) AS geo_country
+      FROM ev WHERE event_name = '{cfg.signup_event}'
+      GROUP BY 1, 2
+    ),
+    activations_wk AS (
+      SELECT wk, COUNT(DISTINCT user_pseudo_id) AS activations FROM signup_user_wk WHERE 1 = 1{s_scope} GROUP BY 1
+    ),
+    web_trend AS (
+      SELECT COALESCE(v.wk, a.wk) AS wk, COALESCE(v.visits, 0) AS visits, COALESCE(a.activations, 0) AS activations
+      FROM visits_wk v FULL OUTER JOIN activations_wk a USING (wk)
+    )"""
+
+
+def _trend_agg_ctes(cfg: FunnelConfig, scope: str | None) -> str:
+    sc = f" AND country_group = '{scope}'" if scope else ""
+    rng = _ranges("week", cfg.trend_week_ranges_sunday)
+    return f"""trials_w AS ({fx.ORDER_TRIALS_SQL}),
+    paid_w AS ({fx.ORDER_PAID_SQL}),
+    t AS (SELECT week + 1 AS wk, SUM(free_trial_users) AS trials FROM trials_w WHERE {rng}{sc} GROUP BY 1),
+    p AS (SELECT week + 1 AS wk, SUM(total_bookings_users) AS paid FROM paid_w WHERE {rng}{sc} GROUP BY 1),
+    agg_trend AS (
+      SELECT COALESCE(t.wk, p.wk) AS wk, CAST(COALESCE(t.trials, 0) AS BIGINT) AS trials,
+        CAST(COALESCE(p.paid, 0) AS BIGINT) AS paid
+      FROM t FULL OUTER JOIN p USING (wk)
+    )"""
+
+
+def _trend_grid_ctes(cfg: FunnelConfig) -> str:
+    return f"""WITH {_trend_web_ctes(cfg, None)},
+    {_trend_agg_ctes(cfg, None)},
+    grid AS (
+      SELECT {d(cfg.trend_start_week)} + CAST(i * 7 AS INTEGER) AS wk,
+             {d(cfg.trend_start_week)} + CAST(i * 7 AS INTEGER) - {cfg.trend_shift_days} AS prior_wk
+      FROM range({cfg.trend_weeks}) r(i)
+    ),
+    trend_grid AS (
+      SELECT g.wk, g.prior_wk,
+        COALESCE(w.visits, 0) AS visits, COALESCE(w.activations, 0) AS activations,
+        COALESCE(a.trials, 0) AS trials, COALESCE(a.paid, 0) AS paid,
+        COALESCE(wp.visits, 0) AS visits_prior, COALESCE(wp.activations, 0) AS activations_prior,
+        COALESCE(ap.trials, 0) AS trials_prior, COALESCE(ap.paid, 0) AS paid_prior
+      FROM grid g
+      LEFT JOIN web_trend w ON w.wk = g.wk LEFT JOIN agg_trend a ON a.wk = g.wk
+      LEFT JOIN web_trend wp ON wp.wk = g.prior_wk LEFT JOIN agg_trend ap ON ap.wk = g.prior_wk
+    )"""
+
+
+def weekly_visits() -> str:
+    return f"WITH {_trend_web_ctes(fx.trend_config(), None)} SELECT * FROM visits_wk"
+
+
+def weekly_activations() -> str:
+    return f"WITH {_trend_web_ctes(fx.trend_config(), None)} SELECT * FROM activations_wk"
+
+
+def weekly_web_trend() -> str:
+    return f"WITH {_trend_web_ctes(fx.trend_config(), None)} SELECT * FROM web_trend"
+
+
+def weekly_web_trend_scoped() -> str:
+    cfg = fx.trend_config()
+    return f"WITH {_trend_web_ctes(cfg, cfg.scope_country)} SELECT * FROM web_trend"
+
+
+def weekly_aggregate_trend() -> str:
+    return f"WITH {_trend_agg_ctes(fx.trend_config(), None)} SELECT * FROM agg_trend"
+
+
+def prev_year_range(cfg: FunnelConfig):
+    return cfg.trend_week_ranges_sunday[-1]
+
+
+def weekly_aggregate_prev_year() -> str:
+    cfg = fx.trend_config()
+    s, e = prev_year_range(cfg)
+    return f"""WITH trials_w AS ({fx.ORDER_TRIALS_SQL}), paid_w AS ({fx.ORDER_PAID_SQL}),
+    t AS (SELECT week AS wk, SUM(free_trial_users) AS trials, SUM(free_trial_users_prev_yr) AS trials_prev_yr
+          FROM trials_w WHERE week BETWEEN {d(s)} AND {d(e)} GROUP BY 1),
+    p AS (SELECT week AS wk, SUM(total_bookings_users) AS paid, SUM(total_bookings_users_prev_yr) AS paid_prev_yr
+          FROM paid_w WHERE week BETWEEN {d(s)} AND {d(e)} GROUP BY 1)
+    SELECT COALESCE(t.wk, p.wk) AS wk,
+      CAST(COALESCE(t.trials, 0) AS BIGINT) AS trials, CAST(COALESCE(t.trials_prev_yr, 0) AS BIGINT) AS trials_prev_yr,
+      CAST(COALESCE(p.paid, 0) AS BIGINT) AS paid, CAST(COALESCE(p.paid_prev_yr, 0) AS BIGINT) AS paid_prev_yr
+    FROM t FULL OUTER JOIN p USING (wk)"""
+
+
+def trend_grid() -> str:
+    return _trend_grid_ctes(fx.trend_config()) + " SELECT * FROM trend_grid"
+
+
+def trend_document() -> str:
+    m = ("visits", "activations", "trials", "paid")
+    cur = ", ".join(f"list({x} ORDER BY wk) AS {x}_current" for x in m)
+    pri = ", ".join(f"list({x}_prior ORDER BY wk) AS {x}_prior" for x in m)
+    return _trend_grid_ctes(fx.trend_config()) + f"""
+    SELECT list(strftime(wk, '%Y-%m-%d') ORDER BY wk) AS weeks,
+      list(strftime(prior_wk, '%Y-%m-%d') ORDER BY wk) AS weeks_prior_year, {cur}, {pri}
+    FROM trend_grid"""
+
+
+# -- reports -----------------------------------------------------------------------
+
+def _fiscal(cfg: FunnelConfig) -> str:
+    a, b = cfg.fiscal_weeks
+    return f"fy_text = '{cfg.fiscal_year}' AND fw_number BETWEEN {a} AND {b}"
+
+
+def fiscal_bounds() -> str:
+    cfg = fx.trend_config()
+    return f"""WITH trials_w AS ({fx.ORDER_TRIALS_SQL})
+    SELECT MIN(week) AS first_wk, MAX(week) AS last_wk, MAX(week) + 6 AS end_date
+    FROM trials_w WHERE {_fiscal(cfg)}"""
+
+
+def calibration() -> str:
+    cfg = fx.trend_config()
+    scope = cfg.scope_country
+    targets = ", ".join(f"('{s}', {v})" for s, v in cfg.calibration_targets)
+    stages = " UNION ALL ".join(f"SELECT '{s}' AS stage, CAST({s} AS BIGINT) AS measured FROM m"
+                                for s in ("visits", "activations", "trials", "paid"))
+    return f"""WITH ga AS ({fx.ORDER_EVENTS_SQL}),
+    trials_w AS ({fx.ORDER_TRIALS_SQL}), paid_w AS ({fx.ORDER_PAID_SQL}),
+    b AS (SELECT MIN(week) AS s, MAX(week) + 6 AS e FROM trials_w WHERE {_fiscal(cfg)}),
+    ev AS (SELECT ga.* FROM ga, b WHERE ga.event_date BETWEEN b.s AND b.e AND {host_sql(cfg)}),
+    sess AS (
+      SELECT user_pseudo_id, session_id,
+        arg_min({{'page_group': page_group, 'geo_country': geo_country}}, {_order()})
+          FILTER (WHERE page_path IS NOT NULL) AS first_page
+      FROM ev WHERE hostname = '{cfg.site_host}' GROUP BY 1, 2
+    ),
+    v AS (SELECT COUNT(*) AS visits FROM sess WHERE first_page IS NOT NULL
+          AND first_page.geo_country = '{scope}' AND first_page.page_group IN ({sql_list(cfg.acq)})),
+    s AS (SELECT COUNT(DISTINCT user_pseudo_id) AS activations FROM (
+            SELECT user_pseudo_id, arg_min(geo_country, {_order()}) FILTER (WHERE geo_country IS NOT NULL) AS geo_country
+            FROM ev WHERE event_name = '{cfg.signup_event}' GROUP BY 1) x
+          WHERE geo_country = '{scope}'),
+    tr AS (SELECT COALESCE(SUM(free_trial_users), 0) AS trials FROM trials_w
+           WHERE {_fiscal(cfg)} AND country_group = '{scope}'),
+    pd AS (SELECT COALESCE(SUM(total_bookings_users), 0) AS paid FROM paid_w
+           WHERE {_fiscal(cfg)} AND country_group = '{scope}'),
+    m AS (SELECT * FROM v, s, tr, pd),
+    lng AS ({stages}),
+    targets AS (SELECT stage, CAST(reference AS BIGINT) AS reference FROM (VALUES {targets}) t(stage, reference)),
+    j AS (
+      SELECT l.stage, l.measured, t.reference,
+        ROUND(CASE WHEN t.reference <> 0 THEN (l.measured - t.reference) / t.reference * 100 ELSE 0 END, 6)
+          AS delta_pct
+      FROM lng l LEFT JOIN targets t USING (stage)
+    )
+    SELECT stage, measured, reference, CAST(delta_pct AS DOUBLE) AS delta_pct,
+      CASE WHEN abs(delta_pct) <= {cfg.tolerance_pct} THEN 'OK' ELSE 'OVER' END AS flag
+    FROM j"""
+
+
+def period_totals() -> str:
+    cfg = fx.cube_config()
+    scope = cfg.scope_country
+    aggs = ", ".join(
+        f"CAST(SUM({s}) AS BIGINT) AS {s}_global, "
+        f"CAST(SUM(CASE WHEN country = '{scope}' THEN {s} ELSE 0 END) AS BIGINT) AS {s}_scoped"
+        for s in ("visits", "activations", "trials", "paid"))
+    cols = ", ".join(f"COALESCE(per.{s}_{k}, 0) AS {s}_{k}" for s in ("visits", "activations", "trials", "paid")
+                     for k in ("global", "scoped"))
+    periods = ", ".join(f"('{w.period}')" for w in cfg.windows)
+    return _capped(cfg.cap).replace(f"SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap}", f"""
+    , cube AS (SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap}),
+    per AS (SELECT period, {aggs} FROM cube GROUP BY 1)
+    SELECT w.period, {cols} FROM (VALUES {periods}) w(period) LEFT JOIN per ON per.period = w.period""")

@@ -155,3 +155,76 @@ QUERIES.update({
     "cube_top_k": (q_cube_top_k, O.cube_top_k),
 })
 _ = _allocate
+
+
+# -- weekly trend and reports ----------------------------------------------------
+
+from .plans import report as _report, trend as _trend  # noqa: E402
+
+
+def _trend_inputs(spark: SparkSession, sf: str):
+    return fx.order_events(spark, sf), fx.order_trials(spark, sf), fx.order_paid(spark, sf)
+
+
+def q_weekly_visits(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.trend_config()
+    return _trend.weekly_visits(_trend.weekly_facts(fx.order_events(spark, sf), cfg), cfg)
+
+
+def q_weekly_activations(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.trend_config()
+    return _trend.weekly_activations(_trend.weekly_facts(fx.order_events(spark, sf), cfg))
+
+
+def q_weekly_web_trend(spark: SparkSession, sf: str) -> DataFrame:
+    return _trend.weekly_web_trend(fx.order_events(spark, sf), fx.trend_config())
+
+
+def q_weekly_web_trend_scoped(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.trend_config()
+    return _trend.weekly_web_trend(fx.order_events(spark, sf), cfg, cfg.scope_country)
+
+
+def q_weekly_aggregate_trend(spark: SparkSession, sf: str) -> DataFrame:
+    return _trend.weekly_aggregate_trend(fx.order_trials(spark, sf), fx.order_paid(spark, sf), fx.trend_config())
+
+
+def q_weekly_aggregate_prev_year(spark: SparkSession, sf: str) -> DataFrame:
+    s, e = O.prev_year_range(fx.trend_config())
+    return _trend.weekly_aggregate_prev_year(fx.order_trials(spark, sf), fx.order_paid(spark, sf), s, e)
+
+
+def q_trend_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return _trend.trend(*_trend_inputs(spark, sf), fx.trend_config())
+
+
+def q_trend_document(spark: SparkSession, sf: str) -> DataFrame:
+    return _trend.trend_arrays(q_trend_grid(spark, sf))
+
+
+def q_fiscal_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    return _report.fiscal_bounds(fx.order_trials(spark, sf), fx.trend_config())
+
+
+def q_calibration(spark: SparkSession, sf: str) -> DataFrame:
+    return _report.calibrate(*_trend_inputs(spark, sf), fx.trend_config())
+
+
+def q_period_totals(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.cube_config()
+    return _report.period_totals(_funnel_cube(*_cube_inputs(spark, sf), cfg), cfg)
+
+
+QUERIES.update({
+    "weekly_visits": (q_weekly_visits, O.weekly_visits),
+    "weekly_activations": (q_weekly_activations, O.weekly_activations),
+    "weekly_web_trend": (q_weekly_web_trend, O.weekly_web_trend),
+    "weekly_web_trend_scoped": (q_weekly_web_trend_scoped, O.weekly_web_trend_scoped),
+    "weekly_aggregate_trend": (q_weekly_aggregate_trend, O.weekly_aggregate_trend),
+    "weekly_aggregate_prev_year": (q_weekly_aggregate_prev_year, O.weekly_aggregate_prev_year),
+    "trend_grid": (q_trend_grid, O.trend_grid),
+    "trend_document": (q_trend_document, O.trend_document),
+    "fiscal_bounds": (q_fiscal_bounds, O.fiscal_bounds),
+    "calibration": (q_calibration, O.calibration),
+    "period_totals": (q_period_totals, O.period_totals),
+})
