@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DIMENSIONS, FunnelConfig
 from ..functions.dates import period_tags
+from .sessions import session_pick, signup_dimensions
 
 CELL_KEYS = ("period",) + DIMENSIONS
 
@@ -62,6 +63,41 @@ def outer_combine(frames: list[DataFrame], keys, measures) -> DataFrame:
     return u.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
+def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
+    """A5 + A6/A8/J5 + A9 + J1 in one pass over the session rows.
+
+    Visits are counted per (period, 5 dims) and sign-up users are reduced per
+    user from the SAME session rows, through one GROUPING SETS aggregate
+    (Spark's Expand + a single partial/final aggregate): the events are
+    scanned and shuffled by session once.  Two separate aggregates over the
+    session rows would each re-run the scan and the session shuffle, since
+    column pruning gives them different partial aggregates that Spark cannot
+    reuse.  The user rows are then tagged with the windows of their first
+    sign-up and folded into the same cells as the visits (union + sum).
+    """
+    windows = windows or cfg.windows
+    visit = (F.col("is_acq") == 1) & F.col("period").isNotNull()
+    if cfg.exclude_identified:
+        visit = visit & (F.col("any_uid") == 0)  # F8 (older rule)
+    tagged = dims.select("*", F.explode_outer(period_tags(F.col("session_date"), windows)).alias("period"))
+    keys = ["period", *DIMENSIONS, "user_pseudo_id"]
+    g = (tagged.groupingSets([["period", *DIMENSIONS], ["user_pseudo_id"]], *keys)
+         .agg(F.count(F.when(visit, 1)).alias("visits"),
+              F.min("signup_date").alias("signup_date"),
+              F.min(session_pick(cfg)).alias("attrs"),
+              F.grouping_id().alias("gid")))
+    is_user = F.col("gid") != 1  # gid 1: only user_pseudo_id aggregated away
+    keep = (~is_user & (F.col("visits") > 0)) | (is_user & F.col("signup_date").isNotNull())
+    sd = signup_dimensions(F.col("attrs"), F.col("user_pseudo_id"), cfg)
+    rows = g.filter(keep).select(
+        F.explode(F.when(is_user, period_tags(F.col("signup_date"), windows))
+                  .otherwise(F.array(F.col("period")))).alias("period"),
+        *[F.when(is_user, sd[d]).otherwise(F.col(d)).alias(d) for d in DIMENSIONS],
+        F.when(is_user, F.lit(0)).otherwise(F.col("visits")).cast("long").alias("visits"),
+        F.when(is_user & F.col("user_pseudo_id").isNotNull(), 1).otherwise(0).cast("long").alias("activations"))
+    return rows.groupBy(*CELL_KEYS).agg(F.sum("visits").alias("visits"), F.sum("activations").alias("activations"))
+
+
 def suppress_small(cells: DataFrame, min_visits: int) -> DataFrame:
     """keep a cell with enough visits or any activation."""
     return cells.filter((F.col("visits") >= min_visits) | (F.col("activations") > 0))

@@ -108,37 +108,47 @@ def classify_sessions(facts: DataFrame, cfg: FunnelConfig) -> DataFrame:
     )
 
 
+def session_pick(cfg: FunnelConfig) -> Column:
+    """The session a user's attributes come from: where the reference takes
+    ANY_VALUE per column, this takes one whole session, the earliest by
+    (session_date, session_id), so the five dimensions stay consistent."""
+    dim_names = [k for k, _ in cfg.signup_defaults]
+    pick = F.struct(F.col("session_date"), F.col("session_id"), *[F.col(d) for d in dim_names])
+    return F.when(F.col("entry").isNotNull(), pick)
+
+
+def signup_dimensions(attrs: Column, user: Column, cfg: FunnelConfig) -> dict[str, Column]:
+    """J5 defaults: dimensions of a sign-up user from the picked session;
+    users without a session, and the NULL user, get the configured defaults."""
+    known = user.isNotNull()
+    out = {}
+    for name, default in cfg.signup_defaults:
+        v = F.when(known, attrs.getField(name))
+        if name == "geo_country":
+            v = C.country(F.coalesce(v, F.lit(default)), cfg.top_countries)
+        out[name] = F.coalesce(v, F.lit(default))
+    return out
+
+
 def signup_users(dims: DataFrame, cfg: FunnelConfig) -> DataFrame:
     """A6 + A8 + J5 in one aggregation by user.
 
-    ``signup_date`` = first sign-up of the user over everything scanned.
-    Attributes come from ONE session of the user, defined (where the
-    reference takes ANY_VALUE per column) as the earliest by
-    (session_date, session_id); users without a session, and the NULL user,
-    get the configured defaults.
+    ``signup_date`` = first sign-up of the user over everything scanned
+    (a sign-up in the prior-year range hides a later one, as in the
+    reference).  Attributes: see ``session_pick`` / ``signup_dimensions``.
     """
-    dim_names = [k for k, _ in cfg.signup_defaults]
-    pick = F.struct(F.col("session_date"), F.col("session_id"), *[F.col(d) for d in dim_names])
     agg = (dims.groupBy("user_pseudo_id")
-           .agg(F.min("signup_date").alias("signup_date"),
-                F.min(F.when(F.col("entry").isNotNull(), pick)).alias("attrs"))
+           .agg(F.min("signup_date").alias("signup_date"), F.min(session_pick(cfg)).alias("attrs"))
            .filter(F.col("signup_date").isNotNull()))
-    known = F.col("user_pseudo_id").isNotNull()
-    cols = []
-    for name, default in cfg.signup_defaults:
-        v = F.when(known, F.col(f"attrs.{name}"))
-        if name == "geo_country":
-            v = C.country(F.coalesce(v, F.lit(default)), cfg.top_countries)
-        cols.append(F.coalesce(v, F.lit(default)).alias(name))
-    return agg.select("user_pseudo_id", "signup_date", *cols)
+    dd = signup_dimensions(F.col("attrs"), F.col("user_pseudo_id"), cfg)
+    return agg.select("user_pseudo_id", "signup_date", *[v.alias(k) for k, v in dd.items()])
 
 
 def user_attributes(dims: DataFrame, cfg: FunnelConfig) -> DataFrame:
     """A8 alone: every user with a session, attributes of the chosen session."""
     dim_names = [k for k, _ in cfg.signup_defaults]
-    pick = F.struct(F.col("session_date"), F.col("session_id"), *[F.col(d) for d in dim_names])
     return (dims.filter(F.col("entry").isNotNull())
-            .groupBy("user_pseudo_id").agg(F.min(pick).alias("a"))
+            .groupBy("user_pseudo_id").agg(F.min(session_pick(cfg)).alias("a"))
             .select("user_pseudo_id", *[F.col(f"a.{d}").alias(d) for d in dim_names]))
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DIMENSIONS, FunnelConfig, Window
-from ..operators.cube import CELL_KEYS, activations_by_period, outer_combine, suppress_small, visits_by_period
-from ..operators.sessions import classify_sessions, filter_events, session_facts, signup_users
+from ..operators.cube import cube_cells, suppress_small
+from ..operators.sessions import classify_sessions, filter_events, session_facts
 
 
 def session_dimensions(events: DataFrame, cfg: FunnelConfig, ranges=None) -> DataFrame:
@@ -19,13 +19,10 @@ def session_dimensions(events: DataFrame, cfg: FunnelConfig, ranges=None) -> Dat
 def web_cube(events: DataFrame, cfg: FunnelConfig, suppress: bool = True) -> DataFrame:
     """(period, 5 dims) -> visits, activations over every window at once.
 
-    One scan of the events covers all windows; one shuffle by session key,
-    one by user, and two tiny ones on the closed cell domain.
+    One scan of the events covers all windows; then one shuffle by session
+    key, one by (user | cell) and one on the closed cell domain.
     """
-    dims = session_dimensions(events, cfg)
-    visits = visits_by_period(dims, cfg)
-    acts = activations_by_period(signup_users(dims, cfg), cfg)
-    cells = outer_combine([visits, acts], CELL_KEYS, ("visits", "activations"))
+    cells = cube_cells(session_dimensions(events, cfg), cfg)
     return suppress_small(cells, cfg.min_visits) if suppress else cells
 
 
@@ -36,8 +33,5 @@ def window_cube(events: DataFrame, start, end, cfg: FunnelConfig) -> DataFrame:
     ``signup_defaults=SIGNUP_DEFAULTS_OLDER`` for the older behaviour.
     """
     w = [Window("window", start, end)]
-    dims = session_dimensions(events, cfg, ranges=[(start, end)])
-    visits = visits_by_period(dims, cfg, windows=w)
-    acts = activations_by_period(signup_users(dims, cfg), cfg, windows=w)
-    cells = outer_combine([visits, acts], CELL_KEYS, ("visits", "activations"))
+    cells = cube_cells(session_dimensions(events, cfg, ranges=[(start, end)]), cfg, windows=w)
     return cells.select(*DIMENSIONS, F.col("visits"), F.col("activations"))

@@ -52,15 +52,23 @@ def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame,
     else:
         ev = filter_events(events, cfg, ranges)
     facts = session_facts(ev, cfg, fields=("page_group", "geo_country"), signup_geo=True)
-    visits = (facts.filter(F.col("entry").isNotNull() & (F.col("entry.geo_country") == scope)
-                           & F.col("entry.page_group").isin(*cfg.acq))
-              .agg(F.count(F.lit(1)).alias("visits")))
-    acts = (facts.filter(F.col("signup_date").isNotNull())
-            .groupBy("user_pseudo_id").agg(F.min("signup_geo").alias("g"))
-            .filter(F.col("g.geo") == scope)
-            .agg(F.count("user_pseudo_id").alias("activations")))
+    # Visits (a global count of sessions) and activations (users, each with
+    # the geo of their earliest sign-up) from one GROUPING SETS pass, so the
+    # events are scanned and shuffled once.
+    visit = (F.col("entry").isNotNull() & (F.col("entry.geo_country") == scope)
+             & F.col("entry.page_group").isin(*cfg.acq))
+    g = (facts.groupingSets([[], ["user_pseudo_id"]], "user_pseudo_id")
+         .agg(F.count(F.when(visit, 1)).alias("visits"),
+              F.min("signup_date").alias("signup_date"),
+              F.min("signup_geo").alias("g"),
+              F.grouping_id().alias("gid")))
+    is_user = F.col("gid") == 0
+    web = g.agg(
+        F.coalesce(F.sum(F.when(~is_user, F.col("visits"))), F.lit(0)).cast("long").alias("visits"),
+        F.count(F.when(is_user & F.col("signup_date").isNotNull() & (F.col("g.geo") == scope),
+                       F.col("user_pseudo_id"))).alias("activations"))
     # Every side is a one-row global aggregate, so the cross join is 1x1.
-    return visits.crossJoin(acts).crossJoin(tr).crossJoin(pd_)
+    return web.crossJoin(tr).crossJoin(pd_)
 
 
 def calibrate(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,

@@ -59,10 +59,32 @@ def weekly_activations(facts: DataFrame, scope_country: str | None = None) -> Da
 
 
 def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str | None = None) -> DataFrame:
-    """P5: wk -> visits, activations (J3 as union + sum)."""
+    """P5: wk -> visits, activations (A12-A14, J3, F9) in one pass.
+
+    Visits per week and sign-up users per (week, user) come out of one
+    GROUPING SETS aggregate over the session facts, so the events are
+    scanned and shuffled once (two aggregates would each redo both).
+    A week is present when it has a visit or a (scoped) sign-up user, as
+    with the reference's FULL OUTER JOIN of the two weekly series.
+    """
     facts = weekly_facts(events, cfg)
-    return outer_combine([weekly_visits(facts, cfg, scope_country), weekly_activations(facts, scope_country)],
-                         ("wk",), ("visits", "activations"))
+    visit = F.col("entry").isNotNull() & F.col("entry.page_group").isin(*cfg.acq)
+    if scope_country is not None:
+        visit = visit & (F.col("entry.geo_country") == scope_country)
+    g = (facts.groupingSets([["wk"], ["wk", "user_pseudo_id"]], "wk", "user_pseudo_id")
+         .agg(F.count(F.when(visit, 1)).alias("visits"),
+              F.min("signup_date").alias("signup_date"),
+              F.min("signup_geo").alias("g"),
+              F.grouping_id().alias("gid")))
+    is_user = F.col("gid") == 0
+    signed = is_user & F.col("signup_date").isNotNull()
+    if scope_country is not None:
+        signed = signed & (F.col("g.geo") == scope_country)
+    rows = g.filter((~is_user & (F.col("visits") > 0)) | signed).select(
+        "wk",
+        F.when(is_user, F.lit(0)).otherwise(F.col("visits")).cast("long").alias("visits"),
+        F.when(is_user & F.col("user_pseudo_id").isNotNull(), 1).otherwise(0).cast("long").alias("activations"))
+    return rows.groupBy("wk").agg(F.sum("visits").alias("visits"), F.sum("activations").alias("activations"))
 
 
 def weekly_aggregate_trend(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
