@@ -1,9 +1,11 @@
 """Column-level building blocks (pure expressions, no actions)."""
 
-from .rules import channel, classify, classify_sql, country, device, landing_family, new_returning
 from .dates import in_ranges, iso, monday_week, period_tags, sunday_week
+from .rules import (channel, channel_sql, classify, classify_sql, country, country_sql, device, device_sql, in_list,
+                    in_list_sql, landing_family, landing_family_sql, new_returning, new_returning_sql, sql_list)
 
 __all__ = [
-    "channel", "classify", "classify_sql", "country", "device", "landing_family", "new_returning",
-    "in_ranges", "iso", "monday_week", "period_tags", "sunday_week",
+    "channel", "channel_sql", "classify", "classify_sql", "country", "country_sql", "device", "device_sql",
+    "in_list", "in_list_sql", "landing_family", "landing_family_sql", "new_returning", "new_returning_sql",
+    "sql_list", "in_ranges", "iso", "monday_week", "period_tags", "sunday_week",
 ]

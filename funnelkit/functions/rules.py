@@ -1,8 +1,11 @@
 """First-match-wins classification (searched CASE) driven by rule tables.
 
-``classify`` builds a nested ``F.when`` chain, so the whole classification is
-one JVM expression inside whole-stage codegen.  ``classify_sql`` renders the
-same rules as a SQL CASE for engines that take SQL text (the DuckDB oracle).
+A rule table renders to one SQL CASE expression (``classify_sql``) and
+``classify`` compiles that text with ``F.expr``: the result is the same
+Catalyst CaseWhen / In / Like tree a chain of ``F.when`` calls would build,
+evaluated inside whole-stage codegen, but created with one JVM round trip
+instead of one per literal (the rule tables hold about a hundred literals).
+Field arguments are SQL expressions over the input columns.
 """
 
 from __future__ import annotations
@@ -15,27 +18,6 @@ from pyspark.sql import functions as F
 from ..config import Rule
 
 
-def _predicate(col: Column, op: str, arg) -> Column:
-    if op == "in":
-        return col.isin(*arg)
-    if op == "like":
-        return col.like(arg)
-    if op == "null":
-        return col.isNull()
-    raise ValueError(f"unknown predicate op {op!r}")
-
-
-def classify(rules: tuple[Rule, ...], default: str, fields: Mapping[str, Column]) -> Column:
-    expr = None
-    for label, preds in rules:
-        cond = None
-        for name, op, arg in preds:
-            p = _predicate(fields[name], op, arg)
-            cond = p if cond is None else (cond | p)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
-
-
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -62,44 +44,63 @@ def sql_list(values) -> str:
     return ", ".join(_q(v) for v in values)
 
 
-# -- the concrete classifiers (C1-C6) --------------------------------------
+def classify(rules: tuple[Rule, ...], default: str, fields: Mapping[str, str]) -> Column:
+    return F.expr(classify_sql(rules, default, fields))
 
-def channel(medium: Column, source: Column, rules: tuple[Rule, ...], default: str) -> Column:
-    return classify(rules, default, {"medium": F.lower(medium), "source": F.lower(source)})
 
+# -- the concrete classifiers (C1-C6); arguments are SQL expressions --------
 
 def channel_sql(medium: str, source: str, rules: tuple[Rule, ...], default: str) -> str:
+    """Rules on LOWER(medium) and LOWER(source)."""
     return classify_sql(rules, default, {"medium": f"LOWER({medium})", "source": f"LOWER({source})"})
 
 
-def landing_family(page_group: Column, rules: tuple[Rule, ...], default: str) -> Column:
-    return classify(rules, default, {"page_group": page_group})
-
-
 def landing_family_sql(page_group: str, rules: tuple[Rule, ...], default: str) -> str:
+    """Rules on the raw page group."""
     return classify_sql(rules, default, {"page_group": page_group})
 
 
-def device(device_category: Column, rules: tuple[Rule, ...], default: str) -> Column:
-    return classify(rules, default, {"device": F.lower(F.coalesce(device_category, F.lit("")))})
-
-
 def device_sql(device_category: str, rules: tuple[Rule, ...], default: str) -> str:
+    """C4: rules on LOWER(IFNULL(device, ''))."""
     return classify_sql(rules, default, {"device": f"LOWER(COALESCE({device_category}, ''))"})
 
 
-def country(geo: Column, top: tuple[str, ...] | None) -> Column:
-    """Top-N collapse; NULL and unlisted -> Other.  ``top=None`` keeps names."""
-    if top is None:
-        return F.coalesce(geo, F.lit("Other"))
-    return F.when(geo.isin(*top), geo).otherwise(F.lit("Other"))
-
-
 def country_sql(geo: str, top: tuple[str, ...] | None) -> str:
+    """Top-N collapse; NULL and unlisted -> Other.  ``top=None`` keeps names."""
     if top is None:
         return f"COALESCE({geo}, 'Other')"
     return f"CASE WHEN {geo} IN ({sql_list(top)}) THEN {geo} ELSE 'Other' END"
 
 
-def new_returning(is_new: Column) -> Column:
-    return F.when(is_new == 1, F.lit("new")).otherwise(F.lit("returning"))
+def new_returning_sql(is_new: str) -> str:
+    """C6."""
+    return f"CASE WHEN {is_new} = 1 THEN 'new' ELSE 'returning' END"
+
+
+def in_list_sql(col: str, values) -> str:
+    """F7-style membership flag; NULL -> false."""
+    return f"COALESCE({col} IN ({sql_list(values)}), false)"
+
+
+def channel(medium: str, source: str, rules: tuple[Rule, ...], default: str) -> Column:
+    return F.expr(channel_sql(medium, source, rules, default))
+
+
+def landing_family(page_group: str, rules: tuple[Rule, ...], default: str) -> Column:
+    return F.expr(landing_family_sql(page_group, rules, default))
+
+
+def device(device_category: str, rules: tuple[Rule, ...], default: str) -> Column:
+    return F.expr(device_sql(device_category, rules, default))
+
+
+def country(geo: str, top: tuple[str, ...] | None) -> Column:
+    return F.expr(country_sql(geo, top))
+
+
+def new_returning(is_new: str) -> Column:
+    return F.expr(new_returning_sql(is_new))
+
+
+def in_list(col: str, values) -> Column:
+    return F.expr(in_list_sql(col, values))

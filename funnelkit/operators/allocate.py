@@ -63,29 +63,36 @@ def allocate(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFram
         if "is_placeholder" not in cells.columns else cells
     rows = base.unionByName(missing_cells(cells, totals, cfg))
     tot = totals.select("period", F.col("country").alias("geo_country"),
-                        F.col("trials").alias("t_trials"), F.col("paid").alias("t_paid"))
+                        F.coalesce("trials", F.lit(0)).cast("long").alias("t_trials"),
+                        F.coalesce("paid", F.lit(0)).cast("long").alias("t_paid"))
     grp = Window.partitionBy(*GROUP)
     order = [F.col("is_placeholder"), *[F.col(c) for c in ORDER_DIMS]]
-    x = (rows.join(F.broadcast(tot), list(GROUP), "left")
-         .withColumn("t_trials", F.coalesce("t_trials", F.lit(0)).cast("long"))
-         .withColumn("t_paid", F.coalesce("t_paid", F.lit(0)).cast("long"))
-         .withColumn("gv", F.sum("visits").over(grp))
-         .withColumn("gn", F.count(F.lit(1)).over(grp))
-         .withColumn("pos", F.row_number().over(grp.orderBy(*order))))
+    # A missing totals row means 0 for both stages.
+    x = rows.join(F.broadcast(tot), list(GROUP), "left").select(
+        *rows.columns,
+        F.coalesce("t_trials", F.lit(0)).alias("t_trials"),
+        F.coalesce("t_paid", F.lit(0)).alias("t_paid"),
+        F.sum("visits").over(grp).alias("gv"),
+        F.count(F.lit(1)).over(grp).alias("gn"),
+        F.row_number().over(grp.orderBy(*order)).alias("pos"))
+    # Floors and exact remainders (NULL in groups without visits).
+    x = x.select("*", *[e for m in MEASURES for e in (
+        F.expr(f"visits * t_{m} div nullif(gv, 0)").alias(f"fl_{m}"),
+        F.expr(f"visits * t_{m} % nullif(gv, 0)").alias(f"rem_{m}"))])
+    # Units left after the floors, and each row's rank by remainder.
+    x = x.select("*", *[e for m in MEASURES for e in (
+        (F.col(f"t_{m}") - F.sum(f"fl_{m}").over(grp)).alias(f"left_{m}"),
+        F.row_number().over(grp.orderBy(F.col(f"rem_{m}").desc(), *order)).alias(f"rk_{m}"))])
     no_totals = (F.col("t_trials") == 0) & (F.col("t_paid") == 0)
+    out = {}
     for m in MEASURES:
-        t = f"t_{m}"
-        x = (x.withColumn(f"fl_{m}", F.expr(f"visits * {t} div nullif(gv, 0)"))
-              .withColumn(f"rem_{m}", F.expr(f"visits * {t} % nullif(gv, 0)"))
-              .withColumn(f"left_{m}", F.col(t) - F.sum(f"fl_{m}").over(grp))
-              .withColumn(f"rk_{m}", F.row_number().over(grp.orderBy(F.col(f"rem_{m}").desc(), *order))))
-        weighted = F.when(F.col(t) <= 0, F.lit(0)).otherwise(
+        t = F.col(f"t_{m}")
+        weighted = F.when(t <= 0, F.lit(0)).otherwise(
             F.col(f"fl_{m}") + F.when(F.col(f"rk_{m}") <= F.col(f"left_{m}"), 1).otherwise(0))
-        extra = F.pmod(F.col(t), F.col("gn"))
-        even = F.expr(f"({t} - pmod({t}, gn)) div gn") + F.when(F.col("pos") <= extra, 1).otherwise(0)
-        x = x.withColumn(m, F.when(no_totals, F.lit(0))
-                         .when(F.col("gv") > 0, weighted)
-                         .otherwise(even).cast("long"))
+        even = (F.expr(f"(t_{m} - pmod(t_{m}, gn)) div gn")
+                + F.when(F.col("pos") <= F.pmod(t, F.col("gn")), 1).otherwise(0))
+        out[m] = F.when(no_totals, F.lit(0)).when(F.col("gv") > 0, weighted).otherwise(even).cast("long")
+    x = x.select(*[c for c in x.columns if c not in out], *[v.alias(k) for k, v in out.items()])
     return x.select("period", "landing_family", "channel", "geo_country", "device", "new_returning",
                     "visits", "activations", "trials", "paid", "is_placeholder")
 

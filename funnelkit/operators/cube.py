@@ -88,7 +88,7 @@ def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
               F.grouping_id().alias("gid")))
     is_user = F.col("gid") != 1  # gid 1: only user_pseudo_id aggregated away
     keep = (~is_user & (F.col("visits") > 0)) | (is_user & F.col("signup_date").isNotNull())
-    sd = signup_dimensions(F.col("attrs"), F.col("user_pseudo_id"), cfg)
+    sd = signup_dimensions("attrs", "user_pseudo_id", cfg)
     rows = g.filter(keep).select(
         F.explode(F.when(is_user, period_tags(F.col("signup_date"), windows))
                   .otherwise(F.array(F.col("period")))).alias("period"),

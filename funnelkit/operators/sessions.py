@@ -91,20 +91,18 @@ def classify_sessions(facts: DataFrame, cfg: FunnelConfig) -> DataFrame:
 
     Rows without an entry get NULL dimensions (they only carry sign-ups).
     """
-    has = F.col("entry").isNotNull()
     dims = {
-        "new_returning": C.new_returning(F.col("is_new")),
-        "geo_country": C.country(F.col("entry.geo_country"), cfg.top_countries),
-        "device": C.device(F.col("entry.device_category"), cfg.device_rules, DEVICE_DEFAULT),
-        "channel": C.channel(F.col("entry.traffic_source_medium"), F.col("entry.traffic_source_source"),
-                             cfg.channel_rules, CHANNEL_DEFAULT),
-        "landing_family": C.landing_family(F.col("entry.page_group"), cfg.families, LANDING_FAMILY_DEFAULT),
+        "new_returning": C.new_returning_sql("is_new"),
+        "geo_country": C.country_sql("entry.geo_country", cfg.top_countries),
+        "device": C.device_sql("entry.device_category", cfg.device_rules, DEVICE_DEFAULT),
+        "channel": C.channel_sql("entry.traffic_source_medium", "entry.traffic_source_source",
+                                 cfg.channel_rules, CHANNEL_DEFAULT),
+        "landing_family": C.landing_family_sql("entry.page_group", cfg.families, LANDING_FAMILY_DEFAULT),
+        "is_acq": f"CAST({C.in_list_sql('entry.page_group', cfg.acq)} AS INT)",
     }
-    is_acq = F.coalesce(F.col("entry.page_group").isin(*cfg.acq), F.lit(False))
     return facts.select(
         *[c for c in facts.columns if c != "entry"], "entry",
-        *[F.when(has, v).alias(k) for k, v in dims.items()],
-        F.when(has, is_acq.cast("int")).alias("is_acq"),
+        *[F.expr(f"CASE WHEN entry IS NOT NULL THEN {v} END").alias(k) for k, v in dims.items()],
     )
 
 
@@ -117,16 +115,16 @@ def session_pick(cfg: FunnelConfig) -> Column:
     return F.when(F.col("entry").isNotNull(), pick)
 
 
-def signup_dimensions(attrs: Column, user: Column, cfg: FunnelConfig) -> dict[str, Column]:
-    """J5 defaults: dimensions of a sign-up user from the picked session;
-    users without a session, and the NULL user, get the configured defaults."""
-    known = user.isNotNull()
+def signup_dimensions(attrs: str, user: str, cfg: FunnelConfig) -> dict[str, Column]:
+    """J5 defaults: dimensions of a sign-up user from the picked session
+    (column ``attrs``); users without a session, and the NULL user, get the
+    configured defaults."""
     out = {}
     for name, default in cfg.signup_defaults:
-        v = F.when(known, attrs.getField(name))
+        v = f"COALESCE(CASE WHEN {user} IS NOT NULL THEN {attrs}.{name} END, '{default}')"
         if name == "geo_country":
-            v = C.country(F.coalesce(v, F.lit(default)), cfg.top_countries)
-        out[name] = F.coalesce(v, F.lit(default))
+            v = C.country_sql(v, cfg.top_countries)
+        out[name] = F.expr(v)
     return out
 
 
@@ -140,7 +138,7 @@ def signup_users(dims: DataFrame, cfg: FunnelConfig) -> DataFrame:
     agg = (dims.groupBy("user_pseudo_id")
            .agg(F.min("signup_date").alias("signup_date"), F.min(session_pick(cfg)).alias("attrs"))
            .filter(F.col("signup_date").isNotNull()))
-    dd = signup_dimensions(F.col("attrs"), F.col("user_pseudo_id"), cfg)
+    dd = signup_dimensions("attrs", "user_pseudo_id", cfg)
     return agg.select("user_pseudo_id", "signup_date", *[v.alias(k) for k, v in dd.items()])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FunnelConfig
+from ..sources.tables import bridge_df
 from .cube import tag_periods
 
 TRIALS_COL = "free_trial_users"
@@ -26,8 +27,7 @@ def bridge_buckets(df: DataFrame, cfg: FunnelConfig, col: str = "country_group",
     The bridge is a literal table of the configuration (a dozen rows), so
     broadcasting it is bounded by construction.
     """
-    spark = df.sparkSession
-    bridge = spark.createDataFrame(list(cfg.country_bridge), "bridge_group string, bucket string")
+    bridge = bridge_df(df.sparkSession, cfg).withColumnRenamed("country_group", "bridge_group")
     joined = df.join(F.broadcast(bridge), df[col] == bridge.bridge_group, "left")
     return joined.withColumn(out, F.coalesce(F.col("bucket"), F.lit("Other"))).drop("bridge_group", "bucket")
 

@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import in_list
 from ..config import STAGES, FunnelConfig
 from ..operators.sessions import filter_events, session_facts
 from ..sources.tables import targets_df, windows_df
@@ -56,7 +57,7 @@ def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame,
     # the geo of their earliest sign-up) from one GROUPING SETS pass, so the
     # events are scanned and shuffled once.
     visit = (F.col("entry").isNotNull() & (F.col("entry.geo_country") == scope)
-             & F.col("entry.page_group").isin(*cfg.acq))
+             & in_list("entry.page_group", cfg.acq))
     g = (facts.groupingSets([[], ["user_pseudo_id"]], "user_pseudo_id")
          .agg(F.count(F.when(visit, 1)).alias("visits"),
               F.min("signup_date").alias("signup_date"),

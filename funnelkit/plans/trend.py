@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import in_list
 from ..config import FunnelConfig
 from ..functions.dates import in_ranges
 from ..operators.cube import outer_combine
@@ -34,7 +35,7 @@ def weekly_facts(events: DataFrame, cfg: FunnelConfig, ranges=None) -> DataFrame
 
 def weekly_visits(facts: DataFrame, cfg: FunnelConfig, scope_country: str | None = None) -> DataFrame:
     """Acquisition sessions per week (F9 scope on the entry geo)."""
-    s = facts.filter(F.col("entry").isNotNull() & F.col("entry.page_group").isin(*cfg.acq))
+    s = facts.filter(F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq))
     if scope_country is not None:
         s = s.filter(F.col("entry.geo_country") == scope_country)
     return s.groupBy("wk").agg(F.count(F.lit(1)).alias("visits"))
@@ -68,7 +69,7 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
     with the reference's FULL OUTER JOIN of the two weekly series.
     """
     facts = weekly_facts(events, cfg)
-    visit = F.col("entry").isNotNull() & F.col("entry.page_group").isin(*cfg.acq)
+    visit = F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq)
     if scope_country is not None:
         visit = visit & (F.col("entry.geo_country") == scope_country)
     g = (facts.groupingSets([["wk"], ["wk", "user_pseudo_id"]], "wk", "user_pseudo_id")

@@ -63,17 +63,28 @@ def trend_config() -> FunnelConfig:
 
 # -- DataFrame side ---------------------------------------------------------
 
-def _pick(idx: Column, values) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(idx == i, lit) if expr is None else expr.when(idx == i, lit)
-    return expr
+# Declared schemas of the driver tables that are read: no inference job per
+# read, and a changed file fails fast instead of silently re-typing a column.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _pick(idx: str, values) -> Column:
+    return F.expr(_pick_sql(idx, values))
 
 
 def _customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation has 25 rows by the TPC-H spec: a bounded broadcast.
     return customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
 
@@ -93,18 +104,18 @@ def _shape(df: DataFrame) -> DataFrame:
          .otherwise(F.lit(SITE_HOST)).alias("hostname"),
         F.col("page_path"),
         F.when(F.col("nk") == KB_NATION, F.lit("knowledge_base_pages"))
-         .otherwise(_pick(seq % 17, PAGE_GROUPS)).alias("page_group"),
+         .otherwise(_pick("seq % 17", PAGE_GROUPS)).alias("page_group"),
         F.when((F.col("nk") == NO_GEO_NATION) | (seq % 19 == 0), F.lit(None).cast("string"))
          .otherwise(F.col("n_name")).alias("geo_country"),
-        _pick(seq % 6, DEVICES).alias("device_category"),
+        _pick("seq % 6", DEVICES).alias("device_category"),
         (seq % 3 + 1).alias("ga_session_number"),
-        _pick(seq % 5, SOURCES).alias("traffic_source_source"),
-        _pick(seq % 13, MEDIUMS).alias("traffic_source_medium"),
+        _pick("seq % 5", SOURCES).alias("traffic_source_source"),
+        _pick("seq % 13", MEDIUMS).alias("traffic_source_medium"),
     ).select(*EVENT_COLUMNS)
 
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     cn = _customer_nation(spark, sf_dir)
     j = ev.join(cn, ev.user_id == cn.c_custkey)
     return _shape(j.select(
@@ -118,7 +129,7 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     cn = _customer_nation(spark, sf_dir)
     j = o.join(cn, o.o_custkey == cn.c_custkey)
@@ -151,7 +162,7 @@ def _weekly(base: DataFrame, measure: str) -> DataFrame:
 
 
 def _events_weekly_base(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("ts", "user_id", "event_type")
+    ev = read_table(spark, sf_dir, "events").select("ts", "user_id", "event_type")
     cn = _customer_nation(spark, sf_dir)
     j = ev.filter(F.col("event_type") == event_type).join(cn, ev.user_id == cn.c_custkey)
     return j.select(sunday_week(F.col("ts").cast("date")).alias("week"),
@@ -159,7 +170,7 @@ def _events_weekly_base(spark: SparkSession, sf_dir: str, event_type: str) -> Da
 
 
 def _orders_weekly_base(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_orderstatus", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate")
     cn = _customer_nation(spark, sf_dir)
     j = o.filter(F.col("o_orderstatus") == status).join(cn, o.o_custkey == cn.c_custkey)
     return j.select(sunday_week(F.col("o_orderdate").cast("date")).alias("week"),

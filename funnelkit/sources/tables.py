@@ -61,19 +61,27 @@ def read_weekly(spark: SparkSession, source: str) -> DataFrame:
 
 # -- S4 literal tables --------------------------------------------------------
 # Their row counts are fixed by the configuration, which is what makes an
-# explicit broadcast of them safe.
+# explicit broadcast of them safe.  They are built from literal expressions
+# (``inline`` of an array of structs), which Catalyst folds into a local
+# relation on the JVM: no Python worker is involved, unlike a DataFrame made
+# from a Python list.
+
+def literal_df(spark: SparkSession, names: tuple[str, ...], types: tuple[str, ...], rows) -> DataFrame:
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
 
 def windows_df(spark: SparkSession, cfg: FunnelConfig) -> DataFrame:
     rows = [(w.period, w.start, w.end) for w in cfg.windows]
-    return spark.createDataFrame(rows, "period string, start date, `end` date")
+    return literal_df(spark, ("period", "start", "end"), ("string", "date", "date"), rows)
 
 
 def bridge_df(spark: SparkSession, cfg: FunnelConfig) -> DataFrame:
-    return spark.createDataFrame(list(cfg.country_bridge), "country_group string, bucket string")
+    return literal_df(spark, ("country_group", "bucket"), ("string", "string"), cfg.country_bridge)
 
 
 def targets_df(spark: SparkSession, cfg: FunnelConfig) -> DataFrame:
-    return spark.createDataFrame(list(cfg.calibration_targets), "stage string, reference long")
+    return literal_df(spark, ("stage", "reference"), ("string", "long"), cfg.calibration_targets)
 
 
 def week_grid(spark: SparkSession, cfg: FunnelConfig) -> DataFrame:
