@@ -32,22 +32,40 @@ def cell_visit_totals(cells: DataFrame) -> DataFrame:
     return cells.withColumn("group_visits", F.sum("visits").over(Window.partitionBy(*GROUP)))
 
 
-def missing_cells(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFrame:
-    """J10 + M1: a placeholder row for each (period, country) that has trials
-    or paid but no (or only zero) visits in the cube."""
-    visited = (cells.groupBy(*GROUP).agg(F.sum("visits").alias("v"))
-               .filter(F.col("v") > 0).select(*GROUP))
-    need = (totals.filter((F.col("trials") > 0) | (F.col("paid") > 0))
-            .select("period", F.col("country").alias("geo_country")))
-    orphan = need.join(visited, list(GROUP), "left_anti")
+def _placeholder_candidates(totals: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """M1 candidates: one placeholder per (period, country) with trials or paid."""
     dims = dict(cfg.placeholder_dims)
-    return orphan.select(
+    return totals.filter((F.col("trials") > 0) | (F.col("paid") > 0)).select(
         "period", F.lit(dims["landing_family"]).alias("landing_family"), F.lit(dims["channel"]).alias("channel"),
-        "geo_country", F.lit(dims["device"]).alias("device"), F.lit(dims["new_returning"]).alias("new_returning"),
+        F.col("country").alias("geo_country"), F.lit(dims["device"]).alias("device"),
+        F.lit(dims["new_returning"]).alias("new_returning"),
         F.lit(0).cast("long").alias("visits"), F.lit(0).cast("long").alias("activations"),
         F.lit(True).alias("is_placeholder"))
 
 
+def with_placeholders(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """J10 + M1: the cells plus a placeholder row for every (period, country)
+    that has trials or paid but no (or only zero) visits in the cube.
+
+    A candidate is added for every group with totals and dropped again where
+    the group's visit sum (a window over the group) is positive.  This reads
+    the cube once; an anti join back to the cube would make Spark compute the
+    whole cube twice, since the two branches prune to different plans.
+    A placeholder may share its key with an activation-only row; both stay.
+    """
+    base = cells if "is_placeholder" in cells.columns else cells.select("*", F.lit(False).alias("is_placeholder"))
+    rows = base.unionByName(_placeholder_candidates(totals, cfg))
+    gv = F.sum("visits").over(Window.partitionBy(*GROUP))
+    return (rows.select("*", gv.alias("_gv"))
+            .filter(~(F.col("is_placeholder") & (F.col("_gv") > 0)))
+            .drop("_gv"))
+
+
+def missing_cells(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """J10 + M1 alone: the placeholder rows."""
+    return with_placeholders(cells, totals, cfg).filter(F.col("is_placeholder"))
+
+
 def allocate(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFrame:
     """M1-M7: cells + placeholders with ``trials`` and ``paid`` allocated.
 
@@ -59,9 +77,7 @@ def allocate(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFram
       * V = 0: floor(T/n), plus one for the first T mod n rows ordered by
         (placeholder last, dimensions) -- activation-only rows included (M6)
     """
-    base = cells.select(*cells.columns, F.lit(False).alias("is_placeholder")) \
-        if "is_placeholder" not in cells.columns else cells
-    rows = base.unionByName(missing_cells(cells, totals, cfg))
+    rows = with_placeholders(cells, totals, cfg)
     tot = totals.select("period", F.col("country").alias("geo_country"),
                         F.coalesce("trials", F.lit(0)).cast("long").alias("t_trials"),
                         F.coalesce("paid", F.lit(0)).cast("long").alias("t_paid"))
