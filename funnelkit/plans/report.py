@@ -82,15 +82,18 @@ def calibrate(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: Funnel
     m = calibration_measures(events, trials, paid, cfg, scope_country)
     stack = F.explode(F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).cast("long").alias("measured"))
                                 for s in STAGES])).alias("x")
-    long = m.select(stack).select("x.stage", "x.measured")
-    t = targets_df(long.sparkSession, cfg)
-    j = long.join(F.broadcast(t), "stage", "left")
+    return score_calibration(m.select(stack).select("x.stage", "x.measured"), cfg)
+
+
+def score_calibration(measured: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """(stage, measured) -> + reference, delta_pct, flag against the targets."""
+    t = targets_df(measured.sparkSession, cfg)
+    j = measured.join(F.broadcast(t), "stage", "left")
     delta = F.when(F.col("reference") != 0,
                    (F.col("measured") - F.col("reference")) / F.col("reference") * 100).otherwise(F.lit(0.0))
-    return (j.withColumn("delta_pct", F.round(delta.cast("double"), 6))
-             .withColumn("flag", F.when(F.abs(F.col("delta_pct")) <= cfg.tolerance_pct, F.lit("OK"))
-                         .otherwise(F.lit("OVER")))
-             .select("stage", "measured", "reference", "delta_pct", "flag"))
+    d = F.round(delta.cast("double"), 6)
+    return j.select("stage", "measured", "reference", d.alias("delta_pct"),
+                    F.when(F.abs(d) <= cfg.tolerance_pct, F.lit("OK")).otherwise(F.lit("OVER")).alias("flag"))
 
 
 def period_totals(cube: DataFrame, cfg: FunnelConfig, country: str | None = None) -> DataFrame:

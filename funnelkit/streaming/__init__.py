@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The funnel job this library rebuilds is a batch job: it has no watermarks,
+event-time windows, stateful operators or late-data handling, and sessions
+arrive ready-made as ``session_id`` (nothing is sessionised from gaps).  So
+there is no Structured Streaming operator to provide.  Incremental runs are
+batch runs over newer ``event_date`` partitions: every operator filters the
+events with literal date bounds, which Spark turns into partition pruning.
+"""
