@@ -20,18 +20,30 @@ def sunday_week(d: Column) -> Column:
     return F.date_sub(F.trunc(F.date_add(d, 1), "week"), 1)
 
 
-def in_ranges(d: Column, ranges: list[tuple[date, date]]) -> Column:
-    """OR of inclusive BETWEENs; literal bounds, so parquet can prune on it."""
-    return reduce(or_, [d.between(F.lit(s), F.lit(e)) for s, e in ranges])
+def _date_sql(x: date) -> str:
+    return f"DATE'{x.isoformat()}'"
+
+
+def in_ranges_sql(col: str, ranges: list[tuple[date, date]]) -> str:
+    return "(" + " OR ".join(f"{col} BETWEEN {_date_sql(s)} AND {_date_sql(e)}" for s, e in ranges) + ")"
 
 
-def period_tags(d: Column, windows) -> Column:
-    """Array of the window names containing ``d`` (0..n entries, no NULLs).
+def in_ranges(d: Column | str, ranges: list[tuple[date, date]]) -> Column:
+    """OR of inclusive BETWENs with literal bounds, so the filter reaches the
+    parquet scan and prunes ``event_date`` partitions.  A column name is
+    rendered as one SQL expression (one JVM call)."""
+    if isinstance(d, str):
+        return F.expr(in_ranges_sql(d, ranges))
+    return reduce(or_, [d.between(F.lit(s), F.lit(e)) for s, e in ranges])
+
 
-    A per-row expression: tagging overlapping windows needs no join.
+def period_tags(d: str, windows) -> Column:
+    """Array of the window names containing column ``d`` (0..n entries, no
+    NULLs).  A per-row expression: tagging overlapping windows needs no join.
     """
-    tags = F.array(*[F.when(d.between(F.lit(w.start), F.lit(w.end)), F.lit(w.period)) for w in windows])
-    return F.filter(tags, lambda t: t.isNotNull())
+    arms = ", ".join(f"CASE WHEN {d} BETWEEN {_date_sql(w.start)} AND {_date_sql(w.end)} THEN '{w.period}' END"
+                     for w in windows)
+    return F.expr(f"filter(array({arms}), t -> t IS NOT NULL)")
 
 
 def iso(d: Column) -> Column:

@@ -25,7 +25,7 @@ def tag_periods(df: DataFrame, date_col: str, windows) -> DataFrame:
     Windows overlap (30d lies inside 90d), so this is a per-row explode of an
     array of matching window names rather than a range join.
     """
-    return df.select("*", F.explode(period_tags(F.col(date_col), windows)).alias("period"))
+    return df.select("*", F.explode(period_tags(date_col, windows)).alias("period"))
 
 
 def visits_by_period(dims: DataFrame, cfg: FunnelConfig, windows=None, keys=CELL_KEYS) -> DataFrame:
@@ -79,7 +79,7 @@ def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
     visit = (F.col("is_acq") == 1) & F.col("period").isNotNull()
     if cfg.exclude_identified:
         visit = visit & (F.col("any_uid") == 0)  # F8 (older rule)
-    tagged = dims.select("*", F.explode_outer(period_tags(F.col("session_date"), windows)).alias("period"))
+    tagged = dims.select("*", F.explode_outer(period_tags("session_date", windows)).alias("period"))
     keys = ["period", *DIMENSIONS, "user_pseudo_id"]
     g = (tagged.groupingSets([["period", *DIMENSIONS], ["user_pseudo_id"]], *keys)
          .agg(F.count(F.when(visit, 1)).alias("visits"),
@@ -90,7 +90,7 @@ def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
     keep = (~is_user & (F.col("visits") > 0)) | (is_user & F.col("signup_date").isNotNull())
     sd = signup_dimensions("attrs", "user_pseudo_id", cfg)
     rows = g.filter(keep).select(
-        F.explode(F.when(is_user, period_tags(F.col("signup_date"), windows))
+        F.explode(F.when(is_user, period_tags("signup_date", windows))
                   .otherwise(F.array(F.col("period")))).alias("period"),
         *[F.when(is_user, sd[d]).otherwise(F.col(d)).alias(d) for d in DIMENSIONS],
         F.when(is_user, F.lit(0)).otherwise(F.col("visits")).cast("long").alias("visits"),

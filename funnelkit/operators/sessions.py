@@ -37,7 +37,7 @@ def host_filter(cfg: FunnelConfig) -> Column:
 
 def filter_events(events: DataFrame, cfg: FunnelConfig, ranges) -> DataFrame:
     """F1 + F3 over literal date ranges: both reach the parquet scan."""
-    return events.filter(in_ranges(F.col("event_date"), ranges) & host_filter(cfg))
+    return events.filter(in_ranges("event_date", ranges) & host_filter(cfg))
 
 
 def _order_key(*extra: Column) -> list[Column]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FunnelConfig
+from ..functions.dates import in_ranges
 from ..sources.tables import bridge_df
 from .cube import tag_periods
 
@@ -39,11 +40,7 @@ def aggregate_totals(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> D
     are taken per (period, country_group) first and cast to integers before
     the bucket roll-up, NULL -> 0 (A11).
     """
-    ranges_filter = None
-    for w in cfg.windows:
-        c = F.col("week").between(F.lit(w.start), F.lit(w.end))
-        ranges_filter = c if ranges_filter is None else ranges_filter | c
-    u = union_measures(trials, paid).filter(ranges_filter)
+    u = union_measures(trials, paid).filter(in_ranges("week", [(w.start, w.end) for w in cfg.windows]))
     per_group = (tag_periods(u, "week", cfg.windows)
                  .groupBy("period", "country_group")
                  .agg(F.sum("trials").alias("trials"), F.sum("paid").alias("paid")))

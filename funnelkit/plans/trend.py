@@ -91,7 +91,7 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
 def weekly_aggregate_trend(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
                            scope_country: str | None = None) -> DataFrame:
     """Sunday aggregate weeks moved to Monday, summed per week."""
-    u = union_measures(trials, paid).filter(in_ranges(F.col("week"), cfg.trend_week_ranges_sunday))
+    u = union_measures(trials, paid).filter(in_ranges("week", cfg.trend_week_ranges_sunday))
     if scope_country is not None:
         u = u.filter(F.col("country_group") == scope_country)
     return (u.groupBy(F.date_add("week", 1).alias("wk"))

@@ -66,9 +66,21 @@ def read_weekly(spark: SparkSession, source: str) -> DataFrame:
 # relation on the JVM: no Python worker is involved, unlike a DataFrame made
 # from a Python list.
 
+def _sql_literal(v, t: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if t == "date":
+        return f"DATE'{v.isoformat()}'"
+    if t == "string":
+        return "'" + str(v).replace("'", "''") + "'"
+    return f"CAST({v} AS {t})"
+
+
 def literal_df(spark: SparkSession, names: tuple[str, ...], types: tuple[str, ...], rows) -> DataFrame:
-    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{n}', {_sql_literal(v, t)}" for v, n, t in zip(r, names, types)) + ")"
+        for r in rows)
+    return spark.range(1).select(F.expr(f"inline(array({structs}))"))
 
 
 def windows_df(spark: SparkSession, cfg: FunnelConfig) -> DataFrame:
