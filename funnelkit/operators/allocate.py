@@ -115,8 +115,10 @@ def allocate(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFram
 
 def top_per_group(df: DataFrame, n: int, group=("period",)) -> DataFrame:
     """M8: keep the n rows per period with the largest visits+trials+paid
-    (activations excluded); ties by the dimensions.  Catalyst plans this as a
-    WindowGroupLimit, so each task keeps only n rows per period."""
+    (activations excluded); ties by the dimensions.  For n up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` Catalyst plans a
+    WindowGroupLimit (each task keeps n rows per period); above it the
+    window sorts the period's rows, which the closed cell domain bounds."""
     score = F.col("visits") + F.col("trials") + F.col("paid")
     w = Window.partitionBy(*group).orderBy(score.desc(), *[F.col(c) for c in
                                            ("landing_family", "channel", "geo_country", "device",
