@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .config import DIMENSIONS
-from .operators.sessions import (classify_sessions, entry_columns, filter_events, session_facts, sessions,
-                                 signup_users, user_attributes)
+from .operators.allocate import cell_visit_totals, missing_cells as _missing, top_per_group
 from .operators.cube import activations_by_period as _acts, visits_by_period as _visits
+from .operators.sessions import entry_columns, filter_events, session_facts, sessions, signup_users, user_attributes
+from .operators.totals import aggregate_totals as _totals
+from .plans import report as _report, trend as _trend
 from .plans.cube import session_dimensions, web_cube as _web_cube, window_cube as _window_cube
+from .plans.funnel import CUBE_COLUMNS, allocated_cube, funnel_cube as _funnel_cube
 from .sources import fixtures as fx
 
 
@@ -95,16 +97,9 @@ QUERIES = {
     "window_cube": (q_window_cube, O.window_cube),
 }
 
-_ = DIMENSIONS, classify_sessions
-
 
 # -- totals and apportionment ---------------------------------------------------
 
-from .operators.allocate import allocate as _allocate, cell_visit_totals, missing_cells as _missing, \
-    top_per_group  # noqa: E402
-from .operators.totals import aggregate_totals as _totals  # noqa: E402
-from .plans.funnel import allocated_cube, funnel_cube as _funnel_cube, CUBE_COLUMNS  # noqa: E402
-
 
 def _cube_inputs(spark: SparkSession, sf: str):
     return fx.web_events(spark, sf), fx.web_trials(spark, sf), fx.web_paid(spark, sf)
@@ -154,13 +149,10 @@ QUERIES.update({
     "funnel_cube": (q_funnel_cube, O.funnel_cube),
     "cube_top_k": (q_cube_top_k, O.cube_top_k),
 })
-_ = _allocate
 
 
 # -- weekly trend and reports ----------------------------------------------------
 
-from .plans import report as _report, trend as _trend  # noqa: E402
-
 
 def _trend_inputs(spark: SparkSession, sf: str):
     return fx.order_events(spark, sf), fx.order_trials(spark, sf), fx.order_paid(spark, sf)

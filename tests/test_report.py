@@ -57,3 +57,31 @@ def test_run_build_writes_all_outputs(spark):
     assert spark.read.parquet(out["period_totals"]).count() == 4
     assert spark.read.parquet(out["calibration"]).count() == 4
     assert tc.trend_weeks == 44
+
+
+def test_headline_bridge_keeps_belgium(spark):
+    from funnelkit.config import COUNTRY_BRIDGE_HEADLINE
+    from funnelkit.operators.totals import bridge_buckets
+    df = spark.createDataFrame([("Belgium",), ("Nordics",), (None,), ("Atlantis",)], "country_group string")
+    got = {r.country_group: r.country for r in bridge_buckets(df, cfg(country_bridge=COUNTRY_BRIDGE_HEADLINE))
+           .collect()}
+    assert got == {"Belgium": "Belgium", "Nordics": "Other", None: "Other", "Atlantis": "Other"}
+    canonical = {r.country_group: r.country for r in bridge_buckets(df, cfg(country_bridge=(("Belgium", "Other"),)))
+                 .collect()}
+    assert canonical["Belgium"] == "Other"
+
+
+def test_prior_year_window_holds_one_more_sunday_week(spark):
+    """365-day shift: prior_yr_90d starts on a Sunday and holds 13 weekly
+    rows, current_90d 12; both 30-day windows hold 4 (SURVEY 1.4)."""
+    from datetime import date, timedelta
+
+    from funnelkit.config import reference_config
+    from funnelkit.operators.totals import aggregate_totals
+    c = reference_config("site.example", "acme").with_(country_bridge=(("US", "US"),))
+    sundays = [date(2025, 1, 5) + timedelta(weeks=i) for i in range(80)]
+    weekly = "week date, country_group string, {m} long"
+    tr = spark.createDataFrame([(d, "US", 1) for d in sundays], weekly.format(m="free_trial_users"))
+    pd_ = spark.createDataFrame([(d, "US", 1) for d in sundays], weekly.format(m="total_bookings_users"))
+    got = {r.period: (r.trials, r.paid) for r in aggregate_totals(tr, pd_, c).collect()}
+    assert got == {"current_30d": (4, 4), "prior_yr_30d": (4, 4), "current_90d": (12, 12), "prior_yr_90d": (13, 13)}
