@@ -524,12 +524,11 @@ def calibration() -> str:
     targets AS (SELECT stage, CAST(reference AS BIGINT) AS reference FROM (VALUES {targets}) t(stage, reference)),
     j AS (
       SELECT l.stage, l.measured, t.reference,
-        ROUND(CASE WHEN t.reference <> 0 THEN (l.measured - t.reference) / t.reference * 100 ELSE 0 END, 6)
-          AS delta_pct
+        CASE WHEN t.reference <> 0 THEN (l.measured - t.reference) / t.reference * 100 ELSE 0 END AS delta
       FROM lng l LEFT JOIN targets t USING (stage)
     )
-    SELECT stage, measured, reference, CAST(delta_pct AS DOUBLE) AS delta_pct,
-      CASE WHEN abs(delta_pct) <= {cfg.tolerance_pct} THEN 'OK' ELSE 'OVER' END AS flag
+    SELECT stage, measured, reference, CAST(ROUND(delta, 6) AS DOUBLE) AS delta_pct,
+      CASE WHEN abs(delta) <= {cfg.tolerance_pct} THEN 'OK' ELSE 'OVER' END AS flag
     FROM j"""
 
 

@@ -91,9 +91,9 @@ def score_calibration(measured: DataFrame, cfg: FunnelConfig) -> DataFrame:
     j = measured.join(F.broadcast(t), "stage", "left")
     delta = F.when(F.col("reference") != 0,
                    (F.col("measured") - F.col("reference")) / F.col("reference") * 100).otherwise(F.lit(0.0))
-    d = F.round(delta.cast("double"), 6)
-    return j.select("stage", "measured", "reference", d.alias("delta_pct"),
-                    F.when(F.abs(d) <= cfg.tolerance_pct, F.lit("OK")).otherwise(F.lit("OVER")).alias("flag"))
+    # Flag on the exact delta; only the reported value is rounded.
+    return j.select("stage", "measured", "reference", F.round(delta.cast("double"), 6).alias("delta_pct"),
+                    F.when(F.abs(delta) <= cfg.tolerance_pct, F.lit("OK")).otherwise(F.lit("OVER")).alias("flag"))
 
 
 def period_totals(cube: DataFrame, cfg: FunnelConfig, country: str | None = None) -> DataFrame:

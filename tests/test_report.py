@@ -85,3 +85,12 @@ def test_prior_year_window_holds_one_more_sunday_week(spark):
     pd_ = spark.createDataFrame([(d, "US", 1) for d in sundays], weekly.format(m="total_bookings_users"))
     got = {r.period: (r.trials, r.paid) for r in aggregate_totals(tr, pd_, c).collect()}
     assert got == {"current_30d": (4, 4), "prior_yr_30d": (4, 4), "current_90d": (12, 12), "prior_yr_90d": (13, 13)}
+
+
+def test_calibration_flag_uses_exact_delta(spark):
+    c = cfg(calibration_targets=(("visits", 3000000),))
+    m = spark.createDataFrame([("visits", 3300001)], "stage string, measured long")
+    r = score_calibration(m, c).collect()[0]
+    assert r.delta_pct == 10.000033 and r.flag == "OVER"
+    m2 = spark.createDataFrame([("visits", 3300000)], "stage string, measured long")
+    assert score_calibration(m2, c).collect()[0].flag == "OK"
