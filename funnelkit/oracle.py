@@ -297,7 +297,7 @@ def allocation_ctes(cfg: FunnelConfig) -> str:
              WHEN gv > 0 THEN CASE WHEN tp <= 0 THEN 0 ELSE fl_p + CASE WHEN rk_p <= left_p THEN 1 ELSE 0 END END
              ELSE (tp - (((tp % gn) + gn) % gn)) // gn + CASE WHEN pos <= (((tp % gn) + gn) % gn) THEN 1 ELSE 0 END
         END AS BIGINT) AS paid,
-        is_placeholder, gv AS group_visits
+        is_placeholder, CAST(gv AS BIGINT) AS group_visits
       FROM rk
     )"""
 
