@@ -40,23 +40,26 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
-def _load(spark: SparkSession, source: str) -> DataFrame:
+def _load(spark: SparkSession, source: str, schema=None) -> DataFrame:
     if "/" in source or source.endswith(".parquet"):
-        return spark.read.parquet(source)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(source)
     return spark.table(source)
 
 
-def read_events(spark: SparkSession, source: str) -> DataFrame:
-    """Session events (path or table name).  ``event_seq`` is optional."""
-    df = _load(spark, source)
+def read_events(spark: SparkSession, source: str, schema=None) -> DataFrame:
+    """Session events (parquet path or table name).  ``event_seq`` is
+    optional.  Pass ``schema`` (e.g. EVENT_SCHEMA) to skip schema inference
+    on a path; the partition column ``event_date`` is then taken from it."""
+    df = _load(spark, source, schema)
     if "event_seq" not in df.columns:
         df = df.withColumn("event_seq", F.lit(None).cast("long"))
     return df.select(*EVENT_COLUMNS)
 
 
-def read_weekly(spark: SparkSession, source: str) -> DataFrame:
+def read_weekly(spark: SparkSession, source: str, schema=None) -> DataFrame:
     """A weekly aggregate table (trials or bookings)."""
-    return _load(spark, source)
+    return _load(spark, source, schema)
 
 
 # -- S4 literal tables --------------------------------------------------------
