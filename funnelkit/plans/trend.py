@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import in_list
 from ..config import FunnelConfig
 from ..functions.dates import in_ranges
+from ..functions.rules import in_list
 from ..operators.cube import outer_combine
 from ..operators.sessions import filter_events, session_facts, with_week
 from ..operators.totals import union_measures
@@ -85,7 +85,8 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
         "wk",
         F.when(is_user, F.lit(0)).otherwise(F.col("visits")).cast("long").alias("visits"),
         F.when(is_user & F.col("user_pseudo_id").isNotNull(), 1).otherwise(0).cast("long").alias("activations"))
-    return rows.groupBy("wk").agg(F.sum("visits").alias("visits"), F.sum("activations").alias("activations"))
+    out = rows.groupBy("wk").agg(F.sum("visits").alias("visits"), F.sum("activations").alias("activations"))
+    return out.orderBy("wk")  # O1: at most 2 x trend_weeks rows
 
 
 def weekly_aggregate_trend(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
@@ -96,7 +97,8 @@ def weekly_aggregate_trend(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig
         u = u.filter(F.col("country_group") == scope_country)
     return (u.groupBy(F.date_add("week", 1).alias("wk"))
             .agg(F.coalesce(F.sum("trials"), F.lit(0)).cast("long").alias("trials"),
-                 F.coalesce(F.sum("paid"), F.lit(0)).cast("long").alias("paid")))
+                 F.coalesce(F.sum("paid"), F.lit(0)).cast("long").alias("paid"))
+            .orderBy("wk"))
 
 
 def weekly_aggregate_prev_year(trials: DataFrame, paid: DataFrame, start, end,
@@ -136,7 +138,8 @@ def trend_grid(web: DataFrame, agg: DataFrame, cfg: FunnelConfig) -> DataFrame:
                .join(F.broadcast(pri), grid.prior_wk == pri.pk, "left"))
     return out.select("wk", "prior_wk",
                       *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in MEASURES],
-                      *[F.coalesce(F.col(f"{m}_prior"), F.lit(0)).alias(f"{m}_prior") for m in MEASURES])
+                      *[F.coalesce(F.col(f"{m}_prior"), F.lit(0)).alias(f"{m}_prior") for m in MEASURES]
+                      ).orderBy("wk")
 
 
 def trend(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
