@@ -90,3 +90,12 @@ def test_grid_zero_fill_and_arrays(spark):
     assert doc.weeks_prior_year[-1] == (date(2026, 5, 4) - timedelta(days=364)).isoformat()
     lengths = {len(doc[k]) for k in doc.asDict()}
     assert lengths == {3} and doc.visits_current == [0, 0, 3] and doc.visits_prior == [0, 0, 2]
+
+
+def test_series_come_ordered_by_week(spark):
+    c = _trend_cfg()
+    web = spark.createDataFrame([(date(2026, 5, 4), 3, 1), (date(2026, 4, 20), 2, 0), (date(2026, 4, 27), 1, 1)],
+                                "wk date, visits long, activations long").repartition(3)
+    agg = spark.createDataFrame([(date(2026, 4, 27), 4, 1)], "wk date, trials long, paid long")
+    assert [r.wk for r in trend_grid(web, agg, c).collect()] == [date(2026, 4, 20), date(2026, 4, 27),
+                                                                  date(2026, 5, 4)]
