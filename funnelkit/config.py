@@ -8,7 +8,7 @@ are parameters, never literals in the operators.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 # A rule is ``(label, predicates)``; it matches when ANY predicate is true and
@@ -224,7 +224,6 @@ class FunnelConfig:
     fiscal_weeks: tuple[int, int] = (1, 13)
     calibration_targets: tuple[tuple[str, int], ...] = CALIBRATION_TARGETS
     tolerance_pct: float = CALIBRATION_TOLERANCE_PCT
-    extra: dict = field(default_factory=dict, compare=False)
 
     # -- rule tables with the brand filled in ------------------------------
     @property

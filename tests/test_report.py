@@ -94,3 +94,21 @@ def test_calibration_flag_uses_exact_delta(spark):
     assert r.delta_pct == 10.000033 and r.flag == "OVER"
     m2 = spark.createDataFrame([("visits", 3300000)], "stage string, measured long")
     assert score_calibration(m2, c).collect()[0].flag == "OK"
+
+
+def test_command_line_build(spark):
+    """The spark-submit entry point over stored reference-shaped inputs."""
+    from funnelkit.__main__ import main
+    from funnelkit.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    root = tempfile.mkdtemp(prefix="funnelkit-cli-")
+    fx.web_events(spark, sf).write.partitionBy("event_date").parquet(root + "/events")
+    fx.web_trials(spark, sf).write.parquet(root + "/trials")
+    fx.web_paid(spark, sf).write.parquet(root + "/paid")
+    out = main(["--events", root + "/events", "--trials", root + "/trials", "--paid", root + "/paid",
+                "--site-host", "site.example", "--as-of", "2024-01-30", "--min-visits", "1",
+                "--out", root + "/out"], spark=spark)
+    cube = spark.read.parquet(out["cube"])
+    assert cube.count() > 0 and set(cube.columns) >= {"period", "country", "visits", "trials", "paid"}
+    assert sorted(r.period for r in spark.read.parquet(out["period_totals"]).collect()) == [
+        "current_30d", "current_90d", "prior_yr_30d", "prior_yr_90d"]
