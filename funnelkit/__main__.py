@@ -40,6 +40,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--scope-country", default="United States")
     p.add_argument("--fiscal-year", default="FY26")
     p.add_argument("--out", required=True)
+    p.add_argument("--cube-json", action="store_true", help="also write the cube as one JSON document")
     return p.parse_args(argv)
 
 
@@ -50,7 +51,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
     cfg = reference_config(a.site_host, a.brand).with_(
         as_of=a.as_of, min_visits=a.min_visits, scope_country=a.scope_country, fiscal_year=a.fiscal_year)
     out = run_build(spark, read_events(spark, a.events), read_weekly(spark, a.trials),
-                    read_weekly(spark, a.paid), cfg, a.out)
+                    read_weekly(spark, a.paid), cfg, a.out, cube_json=a.cube_json)
     for name in ("calibration", "period_totals"):
         spark.read.parquet(out[name]).show(truncate=False)
     return out

@@ -12,24 +12,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FunnelConfig
-from ..sinks.documents import cube_header, trend_document, write_cube, write_json_document
+from ..sinks.documents import cube_document, cube_header, trend_document, write_cube, write_json_document
 from .funnel import funnel_cube
 from .report import calibrate, period_totals
 from .trend import trend, trend_arrays
 
 
 def run_build(spark: SparkSession, events: DataFrame, trials: DataFrame, paid: DataFrame,
-              cfg: FunnelConfig, out_dir: str, trend_inputs=None) -> dict[str, str]:
+              cfg: FunnelConfig, out_dir: str, trend_inputs=None, cube_json: bool = False) -> dict[str, str]:
     """Write cube rows + header, trend document, calibration and period totals.
 
     ``trend_inputs`` optionally gives different (events, trials, paid) for the
     trend and calibration; by default the same frames serve every output.
+    ``cube_json`` also writes the cube as one JSON document (header + rows),
+    the single-file form of the source job; it holds at most ``cfg.cap`` rows
+    per window.
     """
     out = {k: f"{out_dir.rstrip('/')}/{k}" for k in
            ("cube", "cube_header", "trend", "calibration", "period_totals")}
     write_cube(funnel_cube(events, trials, paid, cfg), out["cube"])
     write_json_document(cube_header(spark, cfg), out["cube_header"])
     cube = spark.read.parquet(out["cube"])
+    if cube_json:
+        out["cube_document"] = f"{out_dir.rstrip('/')}/cube_document"
+        write_json_document(cube_document(cube, cfg), out["cube_document"])
     t_ev, t_tr, t_pd = trend_inputs or (events, trials, paid)
     write_json_document(trend_document(trend_arrays(trend(t_ev, t_tr, t_pd, cfg))), out["trend"])
     calibrate(t_ev, t_tr, t_pd, cfg).coalesce(1).write.mode("overwrite").parquet(out["calibration"])

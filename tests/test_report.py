@@ -107,8 +107,11 @@ def test_command_line_build(spark):
     fx.web_paid(spark, sf).write.parquet(root + "/paid")
     out = main(["--events", root + "/events", "--trials", root + "/trials", "--paid", root + "/paid",
                 "--site-host", "site.example", "--as-of", "2024-01-30", "--min-visits", "1",
-                "--out", root + "/out"], spark=spark)
+                "--out", root + "/out", "--cube-json"], spark=spark)
     cube = spark.read.parquet(out["cube"])
     assert cube.count() > 0 and set(cube.columns) >= {"period", "country", "visits", "trials", "paid"}
     assert sorted(r.period for r in spark.read.parquet(out["period_totals"]).collect()) == [
         "current_30d", "current_90d", "prior_yr_30d", "prior_yr_90d"]
+    doc = json.load(open(glob.glob(out["cube_document"] + "/*.json")[0]))
+    assert doc["as_of"] == "2024-01-30" and len(doc["rows"]) == cube.count()
+    assert set(doc["windows"]) == {"current_30d", "prior_yr_30d", "current_90d", "prior_yr_90d"}
