@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..config import FunnelConfig
 from ..functions.dates import in_ranges
 from ..functions.rules import in_list
-from ..operators.cube import outer_combine
 from ..operators.sessions import filter_events, session_facts, with_week
 from ..operators.totals import union_measures
 from ..sources.tables import week_grid
@@ -131,23 +130,37 @@ def weekly_aggregate_prev_year(trials: DataFrame, paid: DataFrame, start, end,
 
 
 def trend_grid(web: DataFrame, agg: DataFrame, cfg: FunnelConfig) -> DataFrame:
-    """The 44-week grid with current and prior-year measures, zero-filled.
-
-    Both trend inputs are already reduced to one row per week inside the
-    trend ranges (at most 2 x trend_weeks rows), so broadcasting them is
-    bounded by the configuration, not by the data.
+    """P7 + J9: the trend-week grid with current and prior-year measures,
+    zero-filled.
+
+    Every weekly row contributes twice: to its own week as current measures
+    and to the week ``trend_shift_days`` later as prior-year measures.  The
+    grid rows (flagged) are unioned in and one aggregate by week keeps the
+    grid weeks.  This is the lookup-with-default of the source job without a
+    join: a join on the current and on the prior week would read the weekly
+    series twice, and Spark would compute its whole event pipeline twice.
     """
-    spark = web.sparkSession
-    weekly = outer_combine([web, agg], ("wk",), MEASURES)
-    grid = week_grid(spark, cfg)
-    cur = weekly.select(F.col("wk").alias("k"), *[F.col(m) for m in MEASURES])
-    pri = weekly.select(F.col("wk").alias("pk"), *[F.col(m).alias(f"{m}_prior") for m in MEASURES])
-    out = (grid.join(F.broadcast(cur), grid.wk == cur.k, "left")
-               .join(F.broadcast(pri), grid.prior_wk == pri.pk, "left"))
-    return out.select("wk", "prior_wk",
-                      *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in MEASURES],
-                      *[F.coalesce(F.col(f"{m}_prior"), F.lit(0)).alias(f"{m}_prior") for m in MEASURES]
-                      ).transform(by_week)
+    shift = cfg.trend_shift_days
+    prior = [f"{m}_prior" for m in MEASURES]
+    zero = F.lit(0).cast("long")
+
+    def contributions(df: DataFrame) -> DataFrame:
+        have = [m for m in MEASURES if m in df.columns]
+        cur = F.struct(F.col("wk").alias("wk"),
+                       *[(F.col(m) if m in have else zero).cast("long").alias(m) for m in MEASURES],
+                       *[zero.alias(p) for p in prior])
+        pri = F.struct(F.date_add("wk", shift).alias("wk"), *[zero.alias(m) for m in MEASURES],
+                       *[(F.col(m) if m in have else zero).cast("long").alias(f"{m}_prior") for m in MEASURES])
+        return (df.select(F.explode(F.array(cur, pri)).alias("c")).select("c.*")
+                .withColumn("in_grid", F.lit(0)))
+
+    grid = week_grid(web.sparkSession, cfg).select(
+        "wk", *[zero.alias(c) for c in (*MEASURES, *prior)], F.lit(1).alias("in_grid"))
+    rows = grid.unionByName(contributions(web)).unionByName(contributions(agg))
+    out = (rows.groupBy("wk")
+           .agg(F.max("in_grid").alias("in_grid"), *[F.sum(c).alias(c) for c in (*MEASURES, *prior)])
+           .filter(F.col("in_grid") == 1))
+    return out.select("wk", F.date_sub("wk", shift).alias("prior_wk"), *MEASURES, *prior).transform(by_week)
 
 
 def trend(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,

@@ -64,3 +64,12 @@ def test_allocation_reads_cube_once_and_top_k_is_limited(spark):
     assert "LeftAnti" not in plan
     expand = [ln for ln in plan.splitlines() if "Expand" in ln]
     assert len(expand) == 1  # one grouping-sets pass: the cube is computed once
+
+
+def test_trend_grid_computes_the_series_once(spark):
+    from funnelkit.plans.trend import trend
+    tc = fx.trend_config()
+    df = trend(fx.order_events(spark, SF001), fx.order_trials(spark, SF001), fx.order_paid(spark, SF001), tc)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert final.count("Expand [") == 1 and "Join" not in final.replace("BroadcastHashJoin [c_", "")
