@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import FunnelConfig
@@ -147,16 +147,15 @@ def _country_group(nk: Column, name: Column) -> Column:
 
 
 def _weekly(base: DataFrame, measure: str) -> DataFrame:
-    """Weekly counts per country group with fiscal labels and prior-year twin."""
+    """Weekly counts per country group with fiscal labels and the value of
+    the same group 364 days earlier (a range window: one pass, no self-join)."""
     agg = (base.groupBy("week", "country_group").agg(F.count(F.lit(1)).alias(measure))
            .withColumn("agg_key", F.lit("all")))
-    prev = agg.select(F.date_add("week", 364).alias("p_week"), F.col("country_group").alias("p_cg"),
-                      F.col("agg_key").alias("p_key"), F.col(measure).alias("p_val"))
-    joined = agg.join(prev, (agg.week == prev.p_week) & agg.country_group.eqNullSafe(prev.p_cg)
-                      & (agg.agg_key == prev.p_key), "left")
-    return joined.select(
+    year_ago = (Window.partitionBy("country_group", "agg_key").orderBy(F.unix_date("week"))
+                .rangeBetween(-364, -364))
+    return agg.select(
         "week", "country_group", "agg_key", F.col(measure),
-        F.coalesce("p_val", F.lit(0)).alias(f"{measure}_prev_yr"),
+        F.coalesce(F.sum(measure).over(year_ago), F.lit(0)).alias(f"{measure}_prev_yr"),
         F.concat(F.lit("FY"), F.year("week").cast("string")).alias("fy_text"),
         (F.floor((F.dayofyear("week") - 1) / 7) + 1).cast("int").alias("fw_number"))
 
