@@ -20,7 +20,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Local runs see megabytes, not terabytes: let AQE keep several small
     # post-shuffle partitions so the reduce side still uses every core.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k",
 }
 
 

@@ -136,3 +136,16 @@ def test_signup_users_attributes_from_earliest_session(spark):
     users = signup_users(classify_sessions(session_facts(events_df(spark, rows), c), c), c).collect()
     assert [(u.landing_family, u.signup_date) for u in users] == [("Homepage", date(2024, 1, 22))]
     assert F is not None and datetime is not None
+
+
+def test_shorter_window_never_exceeds_longer_before_suppression(spark):
+    """Windows nest (7d inside 14d), so before F10 every 7-day sum is at most
+    the 14-day sum of the same year (SURVEY 5.2)."""
+    from funnelkit.sources import fixtures as fx
+    c = fx.cube_config()
+    cube = web_cube(fx.web_events(spark, "/root/testdata/sf0.01"), c, suppress=False)
+    sums = {r.period: (r.v, r.a) for r in cube.groupBy("period").agg(F.sum("visits").alias("v"),
+                                                                      F.sum("activations").alias("a")).collect()}
+    for short, long in (("current_7d", "current_14d"), ("prior_yr_7d", "prior_yr_14d")):
+        assert sums[short][0] <= sums[long][0] and sums[short][1] <= sums[long][1]
+    assert sums["current_14d"][0] > 0
