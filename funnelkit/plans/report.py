@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import STAGES, FunnelConfig
 from ..functions.rules import in_list
-from ..operators.sessions import filter_events, session_facts
+from ..operators.sessions import filter_events, host_filter, session_facts
 from ..sources.tables import targets_df, windows_df
 
 
@@ -27,20 +27,28 @@ def fiscal_bounds(trials: DataFrame, cfg: FunnelConfig) -> DataFrame:
 
 
 def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
-                         scope_country: str | None = None) -> DataFrame:
+                         scope_country: str | None = None, bounds: str = "literal") -> DataFrame:
     """A18-A20 + J8: one row with the four measured stage values.
 
-    The fiscal bounds are a one-row aggregate of the small weekly table; they
-    are evaluated first and applied to the event scan as literal dates, so
-    the scan is pruned to the quarter (partition pruning on ``event_date``)
-    instead of reading the whole history for a runtime range join.
+    ``bounds="literal"`` (default): the fiscal bounds, a one-row aggregate of
+    the small weekly table, are evaluated first and applied to the event scan
+    as literal dates, so the scan is pruned to the quarter (partition pruning
+    on ``event_date``).  ``bounds="join"``: one lazy plan with no action; the
+    one-row bounds are broadcast and range-joined to the events, which then
+    cannot be pruned and are read in full.
     """
     scope = cfg.scope_country if scope_country is None else scope_country
-    b = fiscal_bounds(trials, cfg).first()
-    if b is None or b["first_wk"] is None:
-        ranges = None
+    if bounds == "join":
+        b_df = fiscal_bounds(trials, cfg).select(F.col("first_wk").alias("_s"), F.col("end_date").alias("_e"))
+        joined = events.join(F.broadcast(b_df), F.col("event_date").between(F.col("_s"), F.col("_e")))
+        ev_join = joined.drop("_s", "_e").filter(host_filter(cfg))
+        ranges = "join"
     else:
-        ranges = [(b["first_wk"], b["last_wk"] + timedelta(days=6))]
+        b = fiscal_bounds(trials, cfg).first()
+        if b is None or b["first_wk"] is None:
+            ranges = None
+        else:
+            ranges = [(b["first_wk"], b["last_wk"] + timedelta(days=6))]
 
     def scoped_sum(df, col):
         s = fiscal_slice(df, cfg).filter(F.col("country_group") == scope)
@@ -48,7 +56,9 @@ def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame,
 
     tr = scoped_sum(trials, "free_trial_users").select(F.col("v").alias("trials"))
     pd_ = scoped_sum(paid, "total_bookings_users").select(F.col("v").alias("paid"))
-    if ranges is None:
+    if ranges == "join":
+        ev = ev_join
+    elif ranges is None:
         ev = events.limit(0)  # empty fiscal slice: nothing to measure
     else:
         ev = filter_events(events, cfg, ranges)
@@ -73,13 +83,13 @@ def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame,
 
 
 def calibrate(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
-              scope_country: str | None = None) -> DataFrame:
+              scope_country: str | None = None, bounds: str = "literal") -> DataFrame:
     """Stage, measured, reference, delta_pct (6 places), flag OK/OVER.
 
     OVER means outside the tolerance in either direction, as in the
     reference; a zero reference gives delta 0.
     """
-    m = calibration_measures(events, trials, paid, cfg, scope_country)
+    m = calibration_measures(events, trials, paid, cfg, scope_country, bounds)
     stack = F.explode(F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).cast("long").alias("measured"))
                                 for s in STAGES])).alias("x")
     return score_calibration(m.select(stack).select("x.stage", "x.measured"), cfg)

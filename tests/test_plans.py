@@ -74,3 +74,12 @@ def test_trend_grid_computes_the_series_once(spark):
     final = _plan(df).split("== Initial Plan ==")[0]
     assert final.count("Expand [") == 1
     assert not [ln for ln in final.splitlines() if "Join [wk" in ln or "Join [k#" in ln]  # no lookup joins
+
+
+def test_calibration_bounds_join_variant_agrees(spark):
+    tc = fx.trend_config()
+    args = (fx.order_events(spark, SF001), fx.order_trials(spark, SF001), fx.order_paid(spark, SF001), tc)
+    lit = sorted(tuple(r) for r in calibrate(*args).collect())
+    joined = calibrate(*args, bounds="join")
+    assert sorted(tuple(r) for r in joined.collect()) == lit
+    assert "BroadcastNestedLoopJoin" in _plan(joined) or "BroadcastHashJoin" in _plan(joined)
