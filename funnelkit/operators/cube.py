@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DIMENSIONS, FunnelConfig
 from ..functions.dates import period_tags
-from .sessions import session_pick, signup_dimensions
+from .sessions import picked_attrs, session_pick, signup_dimensions
 
 CELL_KEYS = ("period",) + DIMENSIONS
 
@@ -84,12 +84,12 @@ def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
     g = (tagged.groupingSets([["period", *DIMENSIONS], ["user_pseudo_id"]], *keys)
          .agg(F.count(F.when(visit, 1)).alias("visits"),
               F.min("signup_date").alias("signup_date"),
-              F.min(session_pick(cfg)).alias("attrs"),
+              session_pick(dims, cfg).alias("pick"),
               F.grouping_id().alias("gid")))
     is_user = F.col("gid") != 1  # gid 1: only user_pseudo_id aggregated away
     keep = (~is_user & (F.col("visits") > 0)) | (is_user & F.col("signup_date").isNotNull())
     sd = signup_dimensions("attrs", "user_pseudo_id", cfg)
-    rows = g.filter(keep).select(
+    rows = g.filter(keep).select("*", picked_attrs("pick", cfg).alias("attrs")).select(
         F.explode(F.when(is_user, period_tags("signup_date", windows))
                   .otherwise(F.array(F.col("period")))).alias("period"),
         *[F.when(is_user, sd[d]).otherwise(F.col(d)).alias(d) for d in DIMENSIONS],

@@ -20,8 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import CHANNEL_DEFAULT, DEVICE_DEFAULT, LANDING_FAMILY_DEFAULT, FunnelConfig
+from ..config import CHANNEL_DEFAULT, DEVICE_DEFAULT, DIMENSIONS, LANDING_FAMILY_DEFAULT, FunnelConfig
 from ..functions import rules as C
 from ..functions.dates import in_ranges, monday_week
 
@@ -106,13 +107,72 @@ def classify_sessions(facts: DataFrame, cfg: FunnelConfig) -> DataFrame:
     )
 
 
-def session_pick(cfg: FunnelConfig) -> Column:
-    """The session a user's attributes come from: where the reference takes
-    ANY_VALUE per column, this takes one whole session, the earliest by
-    (session_date, session_id), so the five dimensions stay consistent."""
-    dim_names = [k for k, _ in cfg.signup_defaults]
-    pick = F.struct(F.col("session_date"), F.col("session_id"), *[F.col(d) for d in dim_names])
-    return F.when(F.col("entry").isNotNull(), pick)
+def order_key_sql(ts: str, seq: str, ts_type: T.DataType, low_when_null: str = "-1") -> str:
+    """The lexicographic order of (timestamp, seq) as one DECIMAL(38,0).
+
+    key = micros * 10^19 + seq: |micros| < 2^63 < 10^19 and 0 <= seq < 10^19,
+    so the value fits 38 digits and compares exactly like the pair.  A NULL
+    timestamp takes the smallest value (NULLs first, as the source job's
+    ascending order); a NULL seq takes ``low_when_null`` (a SQL expression
+    >= -1 and < 10^19).  A fixed-width key lets Spark hash-aggregate a
+    ``min_by`` over it, where a struct-valued minimum forces a sort.
+    """
+    if isinstance(ts_type, T.TimestampNTZType):
+        micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})"
+    elif isinstance(ts_type, T.TimestampType):
+        micros = f"unix_micros({ts})"
+    else:  # integral micros, as in raw web-analytics exports
+        micros = f"CAST({ts} AS BIGINT)"
+    return (f"CAST(COALESCE({micros}, -9223372036854775808) AS DECIMAL(38,0)) "
+            f"* CAST(10000000000000000000 AS DECIMAL(38,0)) + CAST(COALESCE({seq}, {low_when_null}) AS DECIMAL(38,0))")
+
+
+def _pack_sql(labels: dict[str, tuple[str, ...]]) -> str:
+    expr = "CAST(0 AS BIGINT)"
+    for d in DIMENSIONS:
+        arms = " ".join(f"WHEN {C.sql_list([v])} THEN {i}" for i, v in enumerate(labels[d]))
+        expr = f"({expr}) * {len(labels[d])} + (CASE {d} {arms} END)"
+    return expr
+
+
+def _unpack(col: str, labels: dict[str, tuple[str, ...]]) -> Column:
+    fields, div = [], 1
+    for d in reversed(DIMENSIONS):
+        n = len(labels[d])
+        fields.append(F.expr(f"element_at(array({C.sql_list(labels[d])}), "
+                             f"CAST(({col} DIV {div}) % {n} AS INT) + 1)").alias(d))
+        div *= n
+    return F.struct(*reversed(fields))
+
+
+def session_pick(dims: DataFrame, cfg: FunnelConfig) -> Column:
+    """Aggregate choosing the session a user's attributes come from.
+
+    Where the source job takes ANY_VALUE per column, this takes one whole
+    session: the one whose entry event is earliest by (timestamp, event_seq),
+    so the five dimensions stay consistent.  With closed dimension domains
+    the dimensions are packed into one BIGINT and the choice is a ``min_by``
+    over a DECIMAL key, which Spark runs as a hash aggregate; otherwise it is
+    the minimum of a struct (sort-based).  Read the result with
+    ``picked_attrs``.  Without ``event_seq``, ties on the timestamp go to the
+    smaller packed value (the struct form: the smaller dimensions).
+    """
+    labels = cfg.dimension_labels()
+    has = F.col("entry").isNotNull()
+    if labels is None:
+        return F.min(F.when(has, F.struct(F.col("entry.ts"), F.col("entry.seq"), *[F.col(d) for d in DIMENSIONS])))
+    ts_type = dims.schema["entry"].dataType["ts"].dataType
+    code = _pack_sql(labels)
+    key = order_key_sql("entry.ts", "entry.seq", ts_type, low_when_null=code)
+    return F.min_by(F.expr(code), F.when(has, F.expr(key)))
+
+
+def picked_attrs(col: str, cfg: FunnelConfig) -> Column:
+    """The five dimensions (a struct) from a ``session_pick`` result."""
+    labels = cfg.dimension_labels()
+    if labels is None:
+        return F.col(col)
+    return F.when(F.col(col).isNotNull(), _unpack(col, labels))
 
 
 def signup_dimensions(attrs: str, user: str, cfg: FunnelConfig) -> dict[str, Column]:
@@ -133,21 +193,22 @@ def signup_users(dims: DataFrame, cfg: FunnelConfig) -> DataFrame:
 
     ``signup_date`` = first sign-up of the user over everything scanned
     (a sign-up in the prior-year range hides a later one, as in the
-    reference).  Attributes: see ``session_pick`` / ``signup_dimensions``.
+    source job).  Attributes: see ``session_pick`` / ``signup_dimensions``.
     """
     agg = (dims.groupBy("user_pseudo_id")
-           .agg(F.min("signup_date").alias("signup_date"), F.min(session_pick(cfg)).alias("attrs"))
-           .filter(F.col("signup_date").isNotNull()))
+           .agg(F.min("signup_date").alias("signup_date"), session_pick(dims, cfg).alias("pick"))
+           .filter(F.col("signup_date").isNotNull())
+           .select("user_pseudo_id", "signup_date", picked_attrs("pick", cfg).alias("attrs")))
     dd = signup_dimensions("attrs", "user_pseudo_id", cfg)
     return agg.select("user_pseudo_id", "signup_date", *[v.alias(k) for k, v in dd.items()])
 
 
 def user_attributes(dims: DataFrame, cfg: FunnelConfig) -> DataFrame:
     """A8 alone: every user with a session, attributes of the chosen session."""
-    dim_names = [k for k, _ in cfg.signup_defaults]
     return (dims.filter(F.col("entry").isNotNull())
-            .groupBy("user_pseudo_id").agg(F.min(session_pick(cfg)).alias("a"))
-            .select("user_pseudo_id", *[F.col(f"a.{d}").alias(d) for d in dim_names]))
+            .groupBy("user_pseudo_id").agg(session_pick(dims, cfg).alias("pick"))
+            .select("user_pseudo_id", picked_attrs("pick", cfg).alias("a"))
+            .select("user_pseudo_id", *[F.col(f"a.{d}").alias(d) for d in DIMENSIONS]))
 
 
 def with_week(events: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def _order() -> str:
 
 ENTRY_STRUCT = ("{'page_group': page_group, 'traffic_source_source': traffic_source_source, "
                 "'traffic_source_medium': traffic_source_medium, 'geo_country': geo_country, "
-                "'device_category': device_category}")
+                "'device_category': device_category, 'ts': event_timestamp, 'seq': event_seq}")
 
 
 def events_cte(cfg: FunnelConfig, source_sql: str, ranges) -> str:
@@ -69,6 +69,7 @@ def sessions_cte(cfg: FunnelConfig) -> str:
 def dims_cte(cfg: FunnelConfig) -> str:
     return f"""classified AS (
       SELECT user_pseudo_id, session_id, session_date, any_uid, entry.page_group AS page_group,
+        entry.ts AS entry_ts, entry.seq AS entry_seq,
         CASE WHEN is_new = 1 THEN 'new' ELSE 'returning' END AS new_returning,
         {country_sql('entry.geo_country', cfg.top_countries)} AS geo_country,
         {device_sql('entry.device_category', cfg.device_rules, DEVICE_DEFAULT)} AS device,
@@ -105,7 +106,7 @@ def cube_ctes(cfg: FunnelConfig, source_sql: str, windows=None, ranges=None) ->
       GROUP BY 1
     ),
     user_pick AS (
-      SELECT user_pseudo_id, arg_min({{{attrs}}}, {{'d': session_date, 's': session_id}}) AS a
+      SELECT user_pseudo_id, arg_min({{{attrs}}}, {{'t': entry_ts, 's': entry_seq}}) AS a
       FROM classified GROUP BY 1
     ),
     cell_signups AS (

@@ -128,14 +128,45 @@ def test_older_rules_exclude_identified_and_defaults(spark):
     assert Window("w", date(2024, 1, 1), date(2024, 1, 2)).period == "w"
 
 
-def test_signup_users_attributes_from_earliest_session(spark):
-    rows = [ev(user="u", session="2", day=date(2024, 1, 21), group="marketing_pricing_page"),
-            ev(user="u", session="1", day=date(2024, 1, 20), group="homepage"),
-            ev(user="u", session="3", day=date(2024, 1, 22), name="sign_up")]
+def test_signup_users_attributes_from_earliest_entry(spark):
+    """The chosen session is the one whose entry event is earliest."""
+    rows = [ev(user="u", session="2", ts=datetime(2024, 1, 20, 9), group="marketing_pricing_page"),
+            ev(user="u", session="1", ts=datetime(2024, 1, 20, 8), group="homepage"),
+            ev(user="u", session="3", ts=datetime(2024, 1, 22, 7), name="sign_up")]
     c = cfg()
     users = signup_users(classify_sessions(session_facts(events_df(spark, rows), c), c), c).collect()
     assert [(u.landing_family, u.signup_date) for u in users] == [("Homepage", date(2024, 1, 22))]
-    assert F is not None and datetime is not None
+    # same choice through the struct form (an open country domain)
+    c2 = cfg(top_countries=None)
+    users2 = signup_users(classify_sessions(session_facts(events_df(spark, rows), c2), c2), c2).collect()
+    assert [u.landing_family for u in users2] == ["Homepage"]
+
+
+def test_pick_ties_without_sequence_are_deterministic(spark):
+    t = datetime(2024, 1, 20, 8)
+    rows = [ev(user="u", session="a", ts=t, group="marketing_pricing_page"),
+            ev(user="u", session="b", ts=t, group="homepage"),
+            ev(user="u", session="c", ts=datetime(2024, 1, 21), name="sign_up")]
+    rows = [(None,) + r[1:] for r in rows]  # no event_seq
+    c = cfg()
+    for parts in (1, 3):
+        df = events_df(spark, rows).repartition(parts)
+        users = signup_users(classify_sessions(session_facts(df, c), c), c).collect()
+        # equal timestamps: the smaller packed dimensions win (Homepage precedes Pricing)
+        assert [u.landing_family for u in users] == ["Homepage"]
+
+
+def test_order_key_is_exact(spark):
+    from pyspark.sql import types as T
+
+    from funnelkit.operators.sessions import order_key_sql
+    vals = [(datetime(1969, 12, 31, 23, 59, 59), 5), (datetime(2024, 1, 1), 9223372036854775807),
+            (datetime(2024, 1, 1, 0, 0, 0, 1), 0), (None, 3), (datetime(2024, 1, 1), None)]
+    df = spark.createDataFrame(vals, "ts timestamp_ntz, seq long")
+    key = F.expr(order_key_sql("ts", "seq", T.TimestampNTZType()))
+    got = [(r.ts, r.seq) for r in df.orderBy(key).collect()]
+    assert got == [(None, 3), (datetime(1969, 12, 31, 23, 59, 59), 5), (datetime(2024, 1, 1), None),
+                   (datetime(2024, 1, 1), 9223372036854775807), (datetime(2024, 1, 1, 0, 0, 0, 1), 0)]
 
 
 def test_shorter_window_never_exceeds_longer_before_suppression(spark):
