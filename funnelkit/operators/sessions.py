@@ -127,6 +127,17 @@ def order_key_sql(ts: str, seq: str, ts_type: T.DataType, low_when_null: str = "
             f"* CAST(10000000000000000000 AS DECIMAL(38,0)) + CAST(COALESCE({seq}, {low_when_null}) AS DECIMAL(38,0))")
 
 
+def signup_in_scope(facts: DataFrame, scope_country: str) -> Column:
+    """Aggregate: 1 when the earliest sign-up event with a geo (over the
+    grouped session rows' ``signup_geo``) is in ``scope_country``, 0 when it
+    is elsewhere, NULL when no sign-up has a geo.  A ``min_by`` over a
+    fixed-width key, so it hash-aggregates (ties: out of scope first)."""
+    ts_type = facts.schema["signup_geo"].dataType["ts"].dataType
+    flag = f"CAST(signup_geo.geo = {C.sql_list([scope_country])} AS INT)"
+    key = order_key_sql("signup_geo.ts", "signup_geo.seq", ts_type, low_when_null=flag)
+    return F.min_by(F.expr(flag), F.expr(f"CASE WHEN signup_geo IS NOT NULL THEN {key} END"))
+
+
 def _pack_sql(labels: dict[str, tuple[str, ...]]) -> str:
     expr = "CAST(0 AS BIGINT)"
     for d in DIMENSIONS:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import STAGES, FunnelConfig
 from ..functions.rules import in_list
-from ..operators.sessions import filter_events, host_filter, session_facts
+from ..operators.sessions import filter_events, host_filter, session_facts, signup_in_scope
 from ..sources.tables import targets_df, windows_df
 
 
@@ -71,12 +71,12 @@ def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame,
     g = (facts.groupingSets([[], ["user_pseudo_id"]], "user_pseudo_id")
          .agg(F.count(F.when(visit, 1)).alias("visits"),
               F.min("signup_date").alias("signup_date"),
-              F.min("signup_geo").alias("g"),
+              signup_in_scope(facts, scope).alias("in_scope"),
               F.grouping_id().alias("gid")))
     is_user = F.col("gid") == 0
     web = g.agg(
         F.coalesce(F.sum(F.when(~is_user, F.col("visits"))), F.lit(0)).cast("long").alias("visits"),
-        F.count(F.when(is_user & F.col("signup_date").isNotNull() & (F.col("g.geo") == scope),
+        F.count(F.when(is_user & F.col("signup_date").isNotNull() & (F.col("in_scope") == 1),
                        F.col("user_pseudo_id"))).alias("activations"))
     # Every side is a one-row global aggregate, so the cross join is 1x1.
     return web.crossJoin(tr).crossJoin(pd_)

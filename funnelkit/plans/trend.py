@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import FunnelConfig
 from ..functions.dates import in_ranges
 from ..functions.rules import in_list
-from ..operators.sessions import filter_events, session_facts, with_week
+from ..operators.sessions import filter_events, session_facts, signup_in_scope, with_week
 from ..operators.totals import union_measures
 from ..sources.tables import week_grid
 
@@ -79,15 +79,15 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
     visit = F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq)
     if scope_country is not None:
         visit = visit & (F.col("entry.geo_country") == scope_country)
+    aggs = [F.count(F.when(visit, 1)).alias("visits"), F.min("signup_date").alias("signup_date")]
+    if scope_country is not None:
+        aggs.append(signup_in_scope(facts, scope_country).alias("in_scope"))
     g = (facts.groupingSets([["wk"], ["wk", "user_pseudo_id"]], "wk", "user_pseudo_id")
-         .agg(F.count(F.when(visit, 1)).alias("visits"),
-              F.min("signup_date").alias("signup_date"),
-              F.min("signup_geo").alias("g"),
-              F.grouping_id().alias("gid")))
+         .agg(*aggs, F.grouping_id().alias("gid")))
     is_user = F.col("gid") == 0
     signed = is_user & F.col("signup_date").isNotNull()
     if scope_country is not None:
-        signed = signed & (F.col("g.geo") == scope_country)
+        signed = signed & (F.col("in_scope") == 1)
     rows = g.filter((~is_user & (F.col("visits") > 0)) | signed).select(
         "wk",
         F.when(is_user, F.lit(0)).otherwise(F.col("visits")).cast("long").alias("visits"),
