@@ -30,14 +30,15 @@ TREND_FIELDS = ("page_group", "geo_country")
 MEASURES = ("visits", "activations", "trials", "paid")
 
 
-def weekly_facts(events: DataFrame, cfg: FunnelConfig, ranges=None) -> DataFrame:
+def weekly_facts(events: DataFrame, cfg: FunnelConfig, ranges=None, signup_geo: bool = True) -> DataFrame:
     """(wk, user, session) facts over both trend ranges in one scan.
 
     The week is part of the session key: a session spanning Sunday midnight
-    is counted in both weeks, as in the reference.
+    is counted in both weeks, as in the source job.  ``signup_geo`` adds the
+    earliest sign-up geo, needed only for a country scope.
     """
     ev = with_week(filter_events(events, cfg, ranges or cfg.trend_ranges))
-    return session_facts(ev, cfg, keys=TREND_KEYS, fields=TREND_FIELDS, signup_geo=True)
+    return session_facts(ev, cfg, keys=TREND_KEYS, fields=TREND_FIELDS, signup_geo=signup_geo)
 
 
 def weekly_visits(facts: DataFrame, cfg: FunnelConfig, scope_country: str | None = None) -> DataFrame:
@@ -75,7 +76,7 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
     A week is present when it has a visit or a (scoped) sign-up user, as
     with the reference's FULL OUTER JOIN of the two weekly series.
     """
-    facts = weekly_facts(events, cfg)
+    facts = weekly_facts(events, cfg, signup_geo=scope_country is not None)
     visit = F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq)
     if scope_country is not None:
         visit = visit & (F.col("entry.geo_country") == scope_country)
