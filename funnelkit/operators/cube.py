@@ -72,8 +72,10 @@ def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
     scanned and shuffled by session once.  Two separate aggregates over the
     session rows would each re-run the scan and the session shuffle, since
     column pruning gives them different partial aggregates that Spark cannot
-    reuse.  The user rows are then tagged with the windows of their first
-    sign-up and folded into the same cells as the visits (union + sum).
+    reuse.  Every buffer is fixed-width (counts, a date, and the packed
+    ``session_pick``), so Spark runs it as a hash aggregate.  The user rows
+    are then tagged with the windows of their first sign-up and folded into
+    the same cells as the visits (union + sum).
     """
     windows = windows or cfg.windows
     visit = (F.col("is_acq") == 1) & F.col("period").isNotNull()
