@@ -471,12 +471,16 @@ def trend_grid() -> str:
 
 
 def trend_document() -> str:
+    """K2: the document {weeks, weeks_prior_year, stages, series_current,
+    series_prior} as compact JSON text, arrays ordered by week."""
     m = ("visits", "activations", "trials", "paid")
-    cur = ", ".join(f"list({x} ORDER BY wk) AS {x}_current" for x in m)
-    pri = ", ".join(f"list({x}_prior ORDER BY wk) AS {x}_prior" for x in m)
+    cur = ", ".join(f"'{x}': list({x} ORDER BY wk)" for x in m)
+    pri = ", ".join(f"'{x}': list({x}_prior ORDER BY wk)" for x in m)
+    stages = ", ".join(f"'{x}'" for x in m)
     return _trend_grid_ctes(fx.trend_config()) + f"""
-    SELECT list(strftime(wk, '%Y-%m-%d') ORDER BY wk) AS weeks,
-      list(strftime(prior_wk, '%Y-%m-%d') ORDER BY wk) AS weeks_prior_year, {cur}, {pri}
+    SELECT CAST(to_json({{'weeks': list(strftime(wk, '%Y-%m-%d') ORDER BY wk),
+      'weeks_prior_year': list(strftime(prior_wk, '%Y-%m-%d') ORDER BY wk),
+      'stages': [{stages}], 'series_current': {{{cur}}}, 'series_prior': {{{pri}}}}}) AS VARCHAR) AS document
     FROM trend_grid"""
 
 

@@ -18,6 +18,7 @@ from .operators.totals import aggregate_totals as _totals
 from .plans import report as _report, trend as _trend
 from .plans.cube import session_dimensions, web_cube as _web_cube, window_cube as _window_cube
 from .plans.funnel import CUBE_COLUMNS, allocated_cube, funnel_cube as _funnel_cube
+from .sinks import document_text, trend_document
 from .sources import fixtures as fx
 
 
@@ -191,7 +192,8 @@ def q_trend_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_trend_document(spark: SparkSession, sf: str) -> DataFrame:
-    return _trend.trend_arrays(q_trend_grid(spark, sf))
+    """K2: the whole trend document as JSON text (one row)."""
+    return document_text(trend_document(_trend.trend_arrays(q_trend_grid(spark, sf))))
 
 
 def q_fiscal_bounds(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Sinks for the cube, trend and report outputs."""
 
-from .documents import (cube_document, cube_header, trend_document, write_cube, write_json_document)
+from .documents import (cube_document, cube_header, document_text, trend_document, write_cube,
+                        write_json_document)
 
-__all__ = ["cube_document", "cube_header", "trend_document", "write_cube", "write_json_document"]
+__all__ = ["cube_document", "cube_header", "document_text", "trend_document", "write_cube", "write_json_document"]

@@ -60,6 +60,12 @@ def trend_document(arrays: DataFrame) -> DataFrame:
         F.struct(*[F.col(f"{s}_prior").alias(s) for s in STAGES]).alias("series_prior"))
 
 
+def document_text(doc: DataFrame) -> DataFrame:
+    """A one-row document as one JSON string column ``document`` (the text a
+    JSON sink writes, compact, keys in column order)."""
+    return doc.select(F.to_json(F.struct(*doc.columns)).alias("document"))
+
+
 def write_json_document(doc: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a one-row document as a single JSON file in ``path``."""
     doc.coalesce(1).write.mode(mode).options(**JSON_OPTIONS).json(path)

@@ -99,3 +99,15 @@ def test_series_come_ordered_by_week(spark):
     agg = spark.createDataFrame([(date(2026, 4, 27), 4, 1)], "wk date, trials long, paid long")
     assert [r.wk for r in trend_grid(web, agg, c).collect()] == [date(2026, 4, 20), date(2026, 4, 27),
                                                                   date(2026, 5, 4)]
+
+
+def test_trend_document_text(spark):
+    import json
+
+    from funnelkit.queries import q_trend_document
+    doc = json.loads(q_trend_document(spark, "/root/testdata/sf0.001").collect()[0].document)
+    assert list(doc) == ["weeks", "weeks_prior_year", "stages", "series_current", "series_prior"]
+    assert len(doc["weeks"]) == 44 and doc["weeks"][-1] == "2000-12-25"
+    for series in ("series_current", "series_prior"):
+        assert list(doc[series]) == ["visits", "activations", "trials", "paid"]
+        assert all(len(v) == 44 for v in doc[series].values())
