@@ -349,6 +349,24 @@ def funnel_cube() -> str:
     return _capped(fx.cube_config().cap)
 
 
+def cube_document() -> str:
+    """K1 + K3: {as_of, windows, stages, rows} as compact JSON text, rows
+    ordered by the cell key."""
+    cfg = fx.cube_config()
+    cols = ("period", "landing_family", "channel", "country", "device", "new_returning", "visits", "activations",
+            "trials", "paid")
+    row = ", ".join(f"'{c}': {c}" for c in cols)
+    windows = ", ".join(f"'{w.period}': {{'start': '{w.start.isoformat()}', 'end': '{w.end.isoformat()}'}}"
+                        for w in cfg.windows)
+    body = _capped(cfg.cap).replace(f"SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap}",
+                                    f", cube AS (SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap})")
+    return body + f"""
+    SELECT CAST(to_json({{'as_of': '{cfg.as_of.isoformat()}', 'windows': {{{windows}}},
+      'stages': ['visits', 'activations', 'trials', 'paid'],
+      'rows': list({{{row}}} ORDER BY {', '.join(cols)})}}) AS VARCHAR) AS document
+    FROM cube"""
+
+
 CUBE_TOP_K = 25
 
 

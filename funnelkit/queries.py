@@ -18,7 +18,7 @@ from .operators.totals import aggregate_totals as _totals
 from .plans import report as _report, trend as _trend
 from .plans.cube import session_dimensions, web_cube as _web_cube, window_cube as _window_cube
 from .plans.funnel import CUBE_COLUMNS, allocated_cube, funnel_cube as _funnel_cube
-from .sinks import document_text, trend_document
+from .sinks import cube_document, document_text, trend_document
 from .sources import fixtures as fx
 
 
@@ -209,7 +209,14 @@ def q_period_totals(spark: SparkSession, sf: str) -> DataFrame:
     return _report.period_totals(_funnel_cube(*_cube_inputs(spark, sf), cfg), cfg)
 
 
+def q_cube_document(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 + K3: the whole cube document (header + capped rows) as JSON text."""
+    cfg = fx.cube_config()
+    return document_text(cube_document(_funnel_cube(*_cube_inputs(spark, sf), cfg), cfg))
+
+
 QUERIES.update({
+    "cube_document": (q_cube_document, O.cube_document),
     "weekly_visits": (q_weekly_visits, O.weekly_visits),
     "weekly_activations": (q_weekly_activations, O.weekly_activations),
     "weekly_web_trend": (q_weekly_web_trend, O.weekly_web_trend),

@@ -18,19 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import STAGES, FunnelConfig
-from ..sources.tables import windows_df
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}  # Spark drops null fields by default
 
 
 def cube_header(spark: SparkSession, cfg: FunnelConfig) -> DataFrame:
-    """K3: {as_of, windows: {period: {start, end}}, stages}, one row."""
-    w = windows_df(spark, cfg).select(
-        F.struct(F.col("period"), F.struct(F.date_format("start", "yyyy-MM-dd").alias("start"),
-                                           F.date_format("end", "yyyy-MM-dd").alias("end"))).alias("e"))
-    return w.agg(F.map_from_entries(F.collect_list("e")).alias("windows")).select(
-        F.lit(cfg.as_of.isoformat()).alias("as_of"), "windows",
-        F.array(*[F.lit(s) for s in STAGES]).alias("stages"))
+    """K3: {as_of, windows: {period: {start, end}}, stages}, one row built
+    from configuration literals (windows in configuration order)."""
+    windows = F.create_map(*[e for w in cfg.windows for e in (
+        F.lit(w.period), F.struct(F.lit(w.start.isoformat()).alias("start"), F.lit(w.end.isoformat()).alias("end")))])
+    return spark.range(1).select(F.lit(cfg.as_of.isoformat()).alias("as_of"), windows.alias("windows"),
+                                 F.array(*[F.lit(s) for s in STAGES]).alias("stages"))
 
 
 def write_cube(cube: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -48,7 +46,8 @@ def cube_document(cube: DataFrame, cfg: FunnelConfig) -> DataFrame:
     Only for a capped cube: the rows array holds at most ``cfg.cap`` rows per
     window, which is what bounds this one-row aggregate.
     """
-    rows = cube.agg(F.collect_list(F.struct(*cube.columns)).alias("rows"))
+    # sorted by the cell key (the leading struct fields), so the text is stable
+    rows = cube.agg(F.array_sort(F.collect_list(F.struct(*cube.columns))).alias("rows"))
     return cube_header(cube.sparkSession, cfg).crossJoin(rows)
 
 
