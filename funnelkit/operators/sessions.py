@@ -151,11 +151,15 @@ def signup_in_scope(facts: DataFrame, scope_country: str) -> Column:
 
 
 def _pack_sql(labels: dict[str, tuple[str, ...]]) -> str:
+    """The five dimensions as one BIGINT (mixed radix over the label lists).
+    NULL without an entry; a value outside its label list is an error, never
+    a silent NULL (which would hand the user default attributes)."""
     expr = "CAST(0 AS BIGINT)"
     for d in DIMENSIONS:
         arms = " ".join(f"WHEN {C.sql_list([v])} THEN {i}" for i, v in enumerate(labels[d]))
-        expr = f"({expr}) * {len(labels[d])} + (CASE {d} {arms} END)"
-    return expr
+        fail = f"raise_error(concat('unlisted {d}: ', coalesce({d}, 'NULL')))"
+        expr = f"({expr}) * {len(labels[d])} + (CASE {d} {arms} ELSE {fail} END)"
+    return f"CASE WHEN entry IS NULL THEN NULL ELSE {expr} END"
 
 
 def _unpack(col: str, labels: dict[str, tuple[str, ...]]) -> Column:

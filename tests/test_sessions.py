@@ -194,3 +194,26 @@ def test_integer_microsecond_timestamps(spark):
     a = sorted(tuple(r) for r in web_cube(ev_ts, c, suppress=False).collect())
     b = sorted(tuple(r) for r in web_cube(ev_long, c, suppress=False).collect())
     assert a == b and len(a) > 0
+
+
+def test_dimension_labels_cover_every_classified_value(spark):
+    """The packed pick needs every classified value in its label list."""
+    from funnelkit.sources import fixtures as fx
+    for c in (fx.cube_config(), fx.cube_config().with_(extended_families=True), cfg()):
+        labels = c.dimension_labels()
+        dims = session_dimensions(fx.web_events(spark, "/root/testdata/sf0.01"), c).filter(F.col("entry").isNotNull())
+        for d, allowed in labels.items():
+            seen = {r[0] for r in dims.select(d).distinct().collect()}
+            assert seen <= set(allowed), (d, seen - set(allowed))
+
+
+def test_unlisted_label_fails_loudly(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from funnelkit.operators.sessions import picked_attrs, session_pick
+    c = cfg()
+    rows = [ev(user="u", session="1", ts=1, group="homepage")]
+    dims = session_dimensions(events_df(spark, rows), c).withColumn("channel", F.lit("Carrier Pigeon"))
+    with pytest.raises(PySparkException):
+        dims.groupBy("user_pseudo_id").agg(session_pick(dims, c).alias("p")).select(picked_attrs("p", c)).collect()
