@@ -30,9 +30,11 @@ def run_build(spark: SparkSession, events: DataFrame, trials: DataFrame, paid: D
     """
     out = {k: f"{out_dir.rstrip('/')}/{k}" for k in
            ("cube", "cube_header", "trend", "calibration", "period_totals")}
-    write_cube(funnel_cube(events, trials, paid, cfg), out["cube"])
+    cube_df = funnel_cube(events, trials, paid, cfg)
+    write_cube(cube_df, out["cube"])
     write_json_document(cube_header(spark, cfg), out["cube_header"])
-    cube = spark.read.parquet(out["cube"])
+    # the known schema: an empty cube writes no partition files to infer from
+    cube = spark.read.schema(cube_df.schema).parquet(out["cube"])
     if cube_json:
         out["cube_document"] = f"{out_dir.rstrip('/')}/cube_document"
         write_json_document(cube_document(cube, cfg), out["cube_document"])

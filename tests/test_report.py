@@ -115,3 +115,20 @@ def test_command_line_build(spark):
     doc = json.load(open(glob.glob(out["cube_document"] + "/*.json")[0]))
     assert doc["as_of"] == "2024-01-30" and len(doc["rows"]) == cube.count()
     assert set(doc["windows"]) == {"current_30d", "prior_yr_30d", "current_90d", "prior_yr_90d"}
+
+
+def test_run_build_with_separate_trend_inputs_and_empty_cube(spark):
+    from funnelkit.plans.job import run_build
+    from funnelkit.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    out_dir = tempfile.mkdtemp(prefix="funnelkit-build2-")
+    trend_in = (fx.order_events(spark, sf), fx.order_trials(spark, sf), fx.order_paid(spark, sf))
+    tc = fx.trend_config()
+    out = run_build(spark, fx.web_events(spark, sf), fx.web_trials(spark, sf), fx.web_paid(spark, sf), tc, out_dir,
+                    trend_inputs=trend_in)
+    trend = json.load(open(glob.glob(out["trend"] + "/*.json")[0]))
+    assert trend["weeks"][-1] == "2000-12-25" and sum(trend["series_current"]["visits"]) > 0
+    cal = {r.stage: r.measured for r in spark.read.parquet(out["calibration"]).collect()}
+    assert set(cal) == {"visits", "activations", "trials", "paid"} and cal["trials"] > 0
+    # the cube config's windows hold no web events here: an empty cube is written and read back
+    assert spark.read.parquet(out["period_totals"]).count() == 4
