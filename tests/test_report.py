@@ -132,3 +132,14 @@ def test_run_build_with_separate_trend_inputs_and_empty_cube(spark):
     assert set(cal) == {"visits", "activations", "trials", "paid"} and cal["trials"] > 0
     # the cube config's windows hold no web events here: an empty cube is written and read back
     assert spark.read.parquet(out["period_totals"]).count() == 4
+
+
+def test_calibration_with_empty_fiscal_slice(spark):
+    from funnelkit.plans.report import calibrate
+    from funnelkit.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    tc = fx.trend_config().with_(fiscal_year="FY1900")
+    for bounds in ("literal", "join"):
+        got = {r.stage: (r.measured, r.flag) for r in calibrate(
+            fx.order_events(spark, sf), fx.order_trials(spark, sf), fx.order_paid(spark, sf), tc, bounds=bounds).collect()}
+        assert got == {"visits": (0, "OVER"), "activations": (0, "OVER"), "trials": (0, "OVER"), "paid": (0, "OVER")}
