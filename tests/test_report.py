@@ -143,3 +143,24 @@ def test_calibration_with_empty_fiscal_slice(spark):
         got = {r.stage: (r.measured, r.flag) for r in calibrate(
             fx.order_events(spark, sf), fx.order_trials(spark, sf), fx.order_paid(spark, sf), tc, bounds=bounds).collect()}
         assert got == {"visits": (0, "OVER"), "activations": (0, "OVER"), "trials": (0, "OVER"), "paid": (0, "OVER")}
+
+
+def test_funnel_and_trend_without_events(spark):
+    from pyspark.sql import functions as F
+
+    from funnelkit.operators.totals import aggregate_totals
+    from funnelkit.plans.funnel import funnel_cube
+    from funnelkit.plans.trend import trend
+    from funnelkit.sources import fixtures as fx
+    sf = "/root/testdata/sf0.01"
+    c = fx.cube_config()
+    no_events = fx.web_events(spark, sf).limit(0)
+    tr, pd_ = fx.web_trials(spark, sf), fx.web_paid(spark, sf)
+    cube = funnel_cube(no_events, tr, pd_, c)
+    totals = aggregate_totals(tr, pd_, c).filter((F.col("trials") > 0) | (F.col("paid") > 0))
+    assert cube.count() == totals.count()  # one placeholder per (period, country) with totals
+    assert cube.agg(F.sum("trials")).first()[0] == totals.agg(F.sum("trials")).first()[0]
+    assert cube.agg(F.sum("visits")).first()[0] == 0
+    grid = trend(fx.order_events(spark, sf).limit(0), fx.order_trials(spark, sf), fx.order_paid(spark, sf),
+                 fx.trend_config()).collect()
+    assert len(grid) == 44 and sum(r.visits for r in grid) == 0 and sum(r.trials for r in grid) > 0
