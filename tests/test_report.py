@@ -164,3 +164,18 @@ def test_funnel_and_trend_without_events(spark):
     grid = trend(fx.order_events(spark, sf).limit(0), fx.order_trials(spark, sf), fx.order_paid(spark, sf),
                  fx.trend_config()).collect()
     assert len(grid) == 44 and sum(r.visits for r in grid) == 0 and sum(r.trials for r in grid) > 0
+
+
+def test_cube_sink_json_and_empty_document(spark):
+    from funnelkit.sinks import cube_document, write_cube
+    c = cfg()
+    cube = spark.createDataFrame([("current_7d", "US", None, 1, 0, 0, 0)],
+                                 "period string, country string, device string, visits long, activations long, "
+                                 "trials long, paid long")
+    path = tempfile.mkdtemp(prefix="funnelkit-json-") + "/cube"
+    write_cube(cube, path, fmt="json")
+    files = glob.glob(path + "/period=current_7d/*.json")
+    row = json.loads(open(files[0]).readline())
+    assert row["country"] == "US" and "device" in row and row["device"] is None  # null fields are kept
+    empty = cube_document(cube.limit(0), c).collect()[0]
+    assert empty.rows == [] and empty.as_of == "2024-01-30"
