@@ -12,7 +12,7 @@ spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT,
 entry_mod = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_mod)
 
-NAMES = sorted(entry_mod.queries())
+NAMES = sorted(entry_mod.QUERIES)  # the corpus operators are tested in tests/llm
 
 
 def test_entry_smoke(spark):
@@ -22,7 +22,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_sql_twin():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(NAMES) <= set(entry_mod.oracle_sql())
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
 @pytest.fixture(scope="module")
