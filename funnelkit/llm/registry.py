@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, token_files
 
 QUERIES = {
     "op2_decontaminate": (decontaminate.op2_decontaminate, decontaminate.OP2_SQL),
+    "op10_token_files": (token_files.op10_token_files, None),
 }
