@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, token_files
+from . import decontaminate, shards, token_files
 
 QUERIES = {
     "op2_decontaminate": (decontaminate.op2_decontaminate, decontaminate.OP2_SQL),
     "op10_token_files": (token_files.op10_token_files, None),
+    "op4_interleave_shards": (shards.op4_interleave_shards, None),
 }
