@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, shards, token_files
+from . import decontaminate, language, licenses, shards, token_files
 
 QUERIES = {
+    "op1_license_scan": (licenses.op1_license_scan, licenses.OP1_SQL),
     "op2_decontaminate": (decontaminate.op2_decontaminate, decontaminate.OP2_SQL),
     "op10_token_files": (token_files.op10_token_files, None),
     "op4_interleave_shards": (shards.op4_interleave_shards, None),
+    "op5_language_id": (language.op5_language_id, None),
 }
