@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, licenses, shards, token_files
+from . import decontaminate, language, licenses, packing, shards, token_files
 
 QUERIES = {
     "op1_license_scan": (licenses.op1_license_scan, licenses.OP1_SQL),
@@ -10,4 +10,5 @@ QUERIES = {
     "op10_token_files": (token_files.op10_token_files, None),
     "op4_interleave_shards": (shards.op4_interleave_shards, None),
     "op5_language_id": (language.op5_language_id, None),
+    "op7_pack_sequences": (packing.op7_pack_sequences, None),
 }

@@ -156,9 +156,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, spaces: bool
 
     def encoded(batches):
         for batch in batches:
-            texts = [(t or b"").decode("utf-8", "replace") for t in utf8(batch.column(1))]
-            for at in range(0, len(texts), 512):
-                yield batch.column(0)[at:at + 512].to_pylist(), [r + end for r in encode(shared.value, texts[at:at + 512])]
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                texts = [(t or b"").decode("utf-8", "replace") for t in utf8(part.column(1))]
+                yield part.column(0).to_pylist(), [r.tobytes() + end for r in encode(shared.value, texts)]
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = iter(batches)

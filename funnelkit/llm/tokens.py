@@ -3,9 +3,12 @@
 A text is cut where a non-space character is followed by white space.  Both
 public vocabularies pre-tokenise so that no token crosses such a place and no
 look-around sees past it, so the ids of a text are the ids of its chunks in a
-row; chunks repeat, and a repeated chunk is encoded once per worker.  A text
-with ``\\x1c-\\x1f`` (white space to Python, not to the tokenizer) is encoded
-whole.  Strings of special tokens in a text are ordinary text.
+row; chunks repeat, and a chunk in the cache is not encoded again.  A chunk of
+ASCII and Latin-1 letters only is cut by the vocabulary's own pattern and its
+pieces go straight to the library's BPE model; any other chunk goes through
+the whole library pipeline.  A text with ``\\x1c-\\x1f`` (white space to
+Python, not to the tokenizer) is encoded whole.  Strings of special tokens in
+a text are ordinary text.
 
 The tokenizer file is read on the driver (its size is checked) and sent as one
 broadcast; the chunk cache lives in that broadcast's copy in each Python
@@ -21,57 +24,72 @@ import re
 import numpy as np
 from pyspark.sql import SparkSession
 
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES, CACHED_LENGTH = 1 << 19, 64
 VOCABULARY_BOUND = 64 << 20
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACED = re.compile(r"\s*\S+|\s+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[ \t\n\r]*[!-~{_LETTERS}]+")
+
+# The two files' pre-tokenisation patterns, for the characters of _PLAIN.
+_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+_SPACED_PIECE = re.compile(rf"{_ENDINGS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+_WORD_PIECE = re.compile(rf"{_ENDINGS}|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level BPE writes bytes without a visible Latin-1 character as the
+    characters from 256 on, in order."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in seen)}
+
+
+class ChunkIds(dict):
+    """Chunk -> its ids as little-endian integers, filled as chunks are met."""
+
+    def __init__(self, tokenizer, spaces: bool, kind: str):
+        super().__init__()
+        self.tokenizer, self.spaces, self.kind = tokenizer, spaces, kind
+        self.model, self.byte_letters = tokenizer.model.tokenize, _byte_letters()
+        self.plain, self.pieces = _PLAIN.fullmatch, (_SPACED_PIECE if spaces else _WORD_PIECE).findall
+
+    def __missing__(self, chunk: str) -> bytes:
+        if self.plain(chunk):
+            ids = []
+            for piece in self.pieces(chunk if self.spaces else chunk.lower()):
+                if not piece.isascii() or piece[0] <= " ":
+                    piece = piece.encode().decode("latin-1").translate(self.byte_letters)
+                ids += [t.id for t in self.model(piece)]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        found = np.array(ids, self.kind).tobytes()
+        if len(self) < CACHE_ENTRIES and len(chunk) <= CACHED_LENGTH:
+            self[chunk] = found
+        return found
 
 
 def shared_tokenizer(spark: SparkSession, path: str, spaces: bool):
-    """Broadcast state of the tokenizer file at ``path``; ``spaces`` says
-    whether white space makes tokens of its own."""
+    """Broadcast state of the tokenizer file at ``path``; ``spaces``: white
+    space makes tokens of its own and letters keep their case."""
     with open(path, encoding="utf-8") as f:
         text = f.read()
     if len(text) > VOCABULARY_BOUND:
         raise ValueError(f"tokenizer file of {len(text)} characters; the bound is {VOCABULARY_BOUND}")
-    return spark.sparkContext.broadcast({"json": text, "spaces": spaces, "known": {}})
+    return spark.sparkContext.broadcast({"json": text, "spaces": spaces})
 
 
-def encode(state: dict, texts: list[str]) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit integers."""
-    if "tokenizer" not in state:
+def encode(state: dict, texts: list[str]) -> list[np.ndarray]:
+    """The ids of each text as unsigned 32-bit integers."""
+    if "known" not in state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        state["tokenizer"] = Tokenizer.from_str(state["json"])
-        state["tokenizer"].encode_special_tokens = True
-    known, spaces, run = state["known"], state["spaces"], state["tokenizer"].encode_batch
-
-    chunks = [[t] if _ODD_SPACE.search(t) else _SPACED.findall(t) if spaces else t.split() for t in texts]
-    new = list(set().union(*chunks).difference(known))
-    more = {}
-    for first in range(0, len(new), 4096):
-        part = new[first:first + 4096]
-        for chunk, e in zip(part, run(part, add_special_tokens=False)):
-            more[chunk] = np.array(e.ids, "<u4").tobytes()
-    room = CACHE_ENTRIES - len(known)
-    if len(more) <= room:
-        known.update(more)
-        look = known.__getitem__
-    else:
-        both = _Both(more)
-        both.known = known
-        look = both.__getitem__
-    out = [b"".join(map(look, row)) for row in chunks]
-    if len(more) > room > 0:
-        known.update(list(more.items())[:room])
-    return out
-
-
-class _Both(dict):
-    """Chunks of this batch, else the cached ones."""
-
-    known: dict
-
-    def __missing__(self, chunk):
-        return self.known[chunk]
+        tokenizer = Tokenizer.from_str(state["json"])
+        tokenizer.encode_special_tokens = True
+        kind = "<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        state["known"] = ChunkIds(tokenizer, state["spaces"], kind)
+    known = state["known"]
+    cut = _SPACED.findall if state["spaces"] else str.split
+    look = known.__getitem__
+    return [np.frombuffer(b"".join(map(look, [t] if _ODD_SPACE.search(t) else cut(t))), known.kind).astype("<u4")
+            for t in texts]
