@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, licenses, packing, shards, token_files
+from . import decontaminate, language, licenses, lines, near, packing, shards, token_files
 
 QUERIES = {
     "op1_license_scan": (licenses.op1_license_scan, licenses.OP1_SQL),
@@ -11,4 +11,6 @@ QUERIES = {
     "op4_interleave_shards": (shards.op4_interleave_shards, None),
     "op5_language_id": (language.op5_language_id, None),
     "op7_pack_sequences": (packing.op7_pack_sequences, None),
+    "op8_line_dedup": (lines.op8_line_dedup, lines.OP8_SQL),
+    "op9_near_duplicates": (near.op9_near_duplicates, None),
 }
