@@ -108,6 +108,15 @@ def dedup_lines(docs: DataFrame, with_counts: bool = False) -> DataFrame:
                        *(counts if with_counts else []))
 
 
+def with_length(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars``, where it has that column, set anew from the
+    text (left as it is for null text)."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return dedup_lines(docs, with_counts=True).select(
