@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, licenses, lines, near, packing, shards, token_files
+from . import decontaminate, language, licenses, lines, near, packing, shards, substrings, token_files, topk
 
 QUERIES = {
     "op1_license_scan": (licenses.op1_license_scan, licenses.OP1_SQL),
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_interleave_shards": (shards.op4_interleave_shards, None),
     "op5_language_id": (language.op5_language_id, None),
     "op7_pack_sequences": (packing.op7_pack_sequences, None),
+    "op3_substring_dedup": (substrings.op3_substring_dedup, substrings.OP3_SQL),
+    "op6_exact_top_k": (topk.op6_exact_top_k, topk.OP6_SQL),
     "op8_line_dedup": (lines.op8_line_dedup, lines.OP8_SQL),
     "op9_near_duplicates": (near.op9_near_duplicates, None),
 }
