@@ -214,7 +214,6 @@ class FunnelConfig:
     top_countries: tuple[str, ...] | None = TOP_COUNTRIES
     country_bridge: tuple[tuple[str, str], ...] = COUNTRY_BRIDGE
     min_visits: int = 5
-    cap: int = 30000
     entry_rule: str = "first_page"
     exclude_identified: bool = False
     signup_defaults: tuple[tuple[str, str], ...] = SIGNUP_DEFAULTS

@@ -335,18 +335,22 @@ _CUBE_OUT = ("period, landing_family, channel, geo_country AS country, device, n
              "activations, trials, paid")
 
 
-def _capped(k: int) -> str:
+def _upto(k: int | None) -> str:
+    return "" if k is None else f" WHERE rn <= {k}"
+
+
+def _capped(k: int | None) -> str:
     return _funnel_ctes() + f""",
     capped AS (
       SELECT *, ROW_NUMBER() OVER (PARTITION BY period ORDER BY visits + trials + paid DESC,
         landing_family, channel, geo_country, device, new_returning, is_placeholder) AS rn
       FROM alloc
     )
-    SELECT {_CUBE_OUT} FROM capped WHERE rn <= {k}"""
+    SELECT {_CUBE_OUT} FROM capped{_upto(k)}"""
 
 
 def funnel_cube() -> str:
-    return _capped(fx.cube_config().cap)
+    return _capped(None)
 
 
 def cube_document() -> str:
@@ -358,8 +362,8 @@ def cube_document() -> str:
     row = ", ".join(f"'{c}': {c}" for c in cols)
     windows = ", ".join(f"'{w.period}': {{'start': '{w.start.isoformat()}', 'end': '{w.end.isoformat()}'}}"
                         for w in cfg.windows)
-    body = _capped(cfg.cap).replace(f"SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap}",
-                                    f", cube AS (SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap})")
+    body = _capped(None).replace(f"SELECT {_CUBE_OUT} FROM capped",
+                                    f", cube AS (SELECT {_CUBE_OUT} FROM capped)")
     return body + f"""
     SELECT CAST(to_json({{'as_of': '{cfg.as_of.isoformat()}', 'windows': {{{windows}}},
       'stages': ['visits', 'activations', 'trials', 'paid'],
@@ -565,7 +569,7 @@ def period_totals() -> str:
     cols = ", ".join(f"COALESCE(per.{s}_{k}, 0) AS {s}_{k}" for s in ("visits", "activations", "trials", "paid")
                      for k in ("global", "scoped"))
     periods = ", ".join(f"('{w.period}')" for w in cfg.windows)
-    return _capped(cfg.cap).replace(f"SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap}", f"""
-    , cube AS (SELECT {_CUBE_OUT} FROM capped WHERE rn <= {cfg.cap}),
+    return _capped(None).replace(f"SELECT {_CUBE_OUT} FROM capped", f"""
+    , cube AS (SELECT {_CUBE_OUT} FROM capped),
     per AS (SELECT period, {aggs} FROM cube GROUP BY 1)
     SELECT w.period, {cols} FROM (VALUES {periods}) w(period) LEFT JOIN per ON per.period = w.period""")

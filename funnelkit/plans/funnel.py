@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FunnelConfig
-from ..operators.allocate import allocate, top_per_group
+from ..operators.allocate import allocate
 from ..operators.totals import aggregate_totals
 from .cube import web_cube
 
@@ -15,12 +15,12 @@ CUBE_COLUMNS = ("period", "landing_family", "channel", "country", "device", "new
 
 
 def allocated_cube(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
-    """Cube rows with all four measures, placeholders flagged, before the cap."""
+    """Cube rows with all four measures, placeholders flagged."""
     return allocate(web_cube(events, cfg), aggregate_totals(trials, paid, cfg), cfg)
 
 
 def funnel_cube(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
-    """P4 end to end: cube -> allocation -> per-period cap -> output columns."""
-    capped = top_per_group(allocated_cube(events, trials, paid, cfg), cfg.cap)
-    return capped.select(*[F.col("geo_country").alias("country") if c == "country" else F.col(c)
+    """P4 end to end: cube -> allocation -> output columns, every cell."""
+    cube = allocated_cube(events, trials, paid, cfg)
+    return cube.select(*[F.col("geo_country").alias("country") if c == "country" else F.col(c)
                            for c in CUBE_COLUMNS])

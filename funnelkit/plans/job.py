@@ -25,8 +25,8 @@ def run_build(spark: SparkSession, events: DataFrame, trials: DataFrame, paid: D
     ``trend_inputs`` optionally gives different (events, trials, paid) for the
     trend and calibration; by default the same frames serve every output.
     ``cube_json`` also writes the cube as one JSON document (header + rows),
-    the single-file form of the source job; it holds at most ``cfg.cap`` rows
-    per window.
+    the single-file form of the source job; the closed dimensions
+    bound its rows per window.
     """
     out = {k: f"{out_dir.rstrip('/')}/{k}" for k in
            ("cube", "cube_header", "trend", "calibration", "period_totals")}

@@ -7,7 +7,7 @@ prior year is 364 days back, which keeps weekdays aligned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FunnelConfig
@@ -41,12 +41,20 @@ def weekly_facts(events: DataFrame, cfg: FunnelConfig, ranges=None, signup_geo:
     return session_facts(ev, cfg, keys=TREND_KEYS, fields=TREND_FIELDS, signup_geo=signup_geo)
 
 
+def _is_visit(cfg: FunnelConfig, scope_country: str | None) -> Column:
+    """A session that counts as a visit: an acquisition entry, anonymous only
+    if asked for (F8), within the country scope (F9)."""
+    visit = F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq)
+    if cfg.exclude_identified:
+        visit = visit & (F.col("any_uid") == 0)
+    if scope_country is not None:
+        visit = visit & (F.col("entry.geo_country") == scope_country)
+    return visit
+
+
 def weekly_visits(facts: DataFrame, cfg: FunnelConfig, scope_country: str | None = None) -> DataFrame:
     """Acquisition sessions per week (F9 scope on the entry geo)."""
-    s = facts.filter(F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq))
-    if scope_country is not None:
-        s = s.filter(F.col("entry.geo_country") == scope_country)
-    return s.groupBy("wk").agg(F.count(F.lit(1)).alias("visits"))
+    return facts.filter(_is_visit(cfg, scope_country)).groupBy("wk").agg(F.count(F.lit(1)).alias("visits"))
 
 
 def weekly_signup_users(facts: DataFrame) -> DataFrame:
@@ -77,10 +85,7 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
     with the reference's FULL OUTER JOIN of the two weekly series.
     """
     facts = weekly_facts(events, cfg, signup_geo=scope_country is not None)
-    visit = F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq)
-    if scope_country is not None:
-        visit = visit & (F.col("entry.geo_country") == scope_country)
-    aggs = [F.count(F.when(visit, 1)).alias("visits"), F.min("signup_date").alias("signup_date")]
+    aggs = [F.count(F.when(_is_visit(cfg, scope_country), 1)).alias("visits"), F.min("signup_date").alias("signup_date")]
     if scope_country is not None:
         aggs.append(signup_in_scope(facts, scope_country).alias("in_scope"))
     g = (facts.groupingSets([["wk"], ["wk", "user_pseudo_id"]], "wk", "user_pseudo_id")

@@ -6,7 +6,7 @@ machine.  Here every output is a DataFrame written by Spark:
 * K1 cube: rows as parquet or JSON lines partitioned by ``period`` (written
   in parallel), plus a one-row header document (K3).  The reference's single
   document is header + rows; a consumer joins them, or ``cube_document``
-  builds it when the cube is known to be small (it is capped per period).
+  builds it when the cube is known to be small (its closed dimensions bound it).
 * K2 trend: one row of week-aligned arrays (44 weeks by configuration).
 * K4 reports: calibration and period totals stay DataFrames; printing is
   the caller's concern.
@@ -43,9 +43,12 @@ def write_cube(cube: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
 def cube_document(cube: DataFrame, cfg: FunnelConfig) -> DataFrame:
     """K1 + K3 as the reference's single document (one row).
 
-    Only for a capped cube: the rows array holds at most ``cfg.cap`` rows per
-    window, which is what bounds this one-row aggregate.
+    Only for closed dimensions: families, channels, listed countries, devices
+    and new/returning bound the rows of a window, and so this one-row
+    aggregate.  An open country list is refused; use ``write_cube`` for it.
     """
+    if cfg.top_countries is None:
+        raise ValueError("cube_document needs a closed country list; use write_cube")
     # sorted by the cell key (the leading struct fields), so the text is stable
     rows = cube.agg(F.array_sort(F.collect_list(F.struct(*cube.columns))).alias("rows"))
     return cube_header(cube.sparkSession, cfg).crossJoin(rows)

@@ -111,3 +111,14 @@ def test_trend_document_text(spark):
     for series in ("series_current", "series_prior"):
         assert list(doc[series]) == ["visits", "activations", "trials", "paid"]
         assert all(len(v) == 44 for v in doc[series].values())
+
+
+def test_anonymous_rule_holds_in_the_trend(spark):
+    """F8: with exclude_identified, sessions with a user id are no visits."""
+    import funnelkit.sources.fixtures as fx
+    from conftest import SF001
+    from dataclasses import replace
+    events, c = fx.order_events(spark, SF001), fx.trend_config()
+    every = weekly_web_trend(events, c).agg({"visits": "sum"}).first()[0]
+    anonymous = weekly_web_trend(events, replace(c, exclude_identified=True)).agg({"visits": "sum"}).first()[0]
+    assert (every, anonymous) == (1571, 1340)
