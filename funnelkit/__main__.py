@@ -22,9 +22,8 @@ if __package__ in (None, ""):
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from funnelkit.config import reference_config  # noqa: E402
+from funnelkit.config import COUNTRY_BRIDGE_HEADLINE, reference_config  # noqa: E402
 from funnelkit.plans.job import run_build  # noqa: E402
-from funnelkit.session import ensure_checkpoint_dir  # noqa: E402
 from funnelkit.sources import read_events, read_weekly  # noqa: E402
 
 
@@ -39,6 +38,11 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--min-visits", type=int, default=5)
     p.add_argument("--scope-country", default="United States")
     p.add_argument("--fiscal-year", default="FY26")
+    p.add_argument("--entry-rule", choices=("first_page", "first_event"), default="first_page")
+    p.add_argument("--exclude-identified", action="store_true", help="count anonymous sessions only")
+    p.add_argument("--raw-countries", action="store_true", help="keep every country by name")
+    p.add_argument("--headline-bridge", action="store_true", help="the older bridge of country groups")
+    p.add_argument("--all-cells", action="store_true", help="keep cells below --min-visits")
     p.add_argument("--out", required=True)
     p.add_argument("--cube-json", action="store_true", help="also write the cube as one JSON document")
     return p.parse_args(argv)
@@ -47,11 +51,15 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
     a = parse_args(argv)
     spark = spark or SparkSession.builder.appName("funnelkit").getOrCreate()
-    ensure_checkpoint_dir(spark)
     cfg = reference_config(a.site_host, a.brand).with_(
         as_of=a.as_of, min_visits=a.min_visits, scope_country=a.scope_country, fiscal_year=a.fiscal_year)
+    cfg = cfg.with_(entry_rule=a.entry_rule, exclude_identified=a.exclude_identified)
+    if a.raw_countries:
+        cfg = cfg.with_(top_countries=None)
+    if a.headline_bridge:
+        cfg = cfg.with_(country_bridge=COUNTRY_BRIDGE_HEADLINE)
     out = run_build(spark, read_events(spark, a.events), read_weekly(spark, a.trials),
-                    read_weekly(spark, a.paid), cfg, a.out, cube_json=a.cube_json)
+                    read_weekly(spark, a.paid), cfg, a.out, cube_json=a.cube_json, suppress=not a.all_cells)
     for name in ("calibration", "period_totals"):
         spark.read.parquet(out[name]).show(truncate=False)
     return out

@@ -237,19 +237,19 @@ class FunnelConfig:
         return _fill_rules(base, self.brand)
 
     def dimension_labels(self) -> dict[str, tuple[str, ...]] | None:
-        """Every value each cube dimension can take, in a fixed order, or
+        """Every value each cube dimension can take, in ascending order, or
         None when a dimension is open (raw country names, ``top_countries``
         None).  Used to pack a session's five dimensions into one BIGINT."""
         if self.top_countries is None:
             return None
 
         def labels(rules, default):
-            return tuple(dict.fromkeys([label for label, _ in rules] + [default]))
+            return tuple(sorted({label for label, _ in rules} | {default}))
 
         return {
             "landing_family": labels(self.families, LANDING_FAMILY_DEFAULT),
             "channel": labels(self.channel_rules, CHANNEL_DEFAULT),
-            "geo_country": tuple(dict.fromkeys([*self.top_countries, "Other"])),
+            "geo_country": tuple(sorted({*self.top_countries, "Other"})),
             "device": labels(self.device_rules, DEVICE_DEFAULT),
             "new_returning": ("new", "returning"),
         }

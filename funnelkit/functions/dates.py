@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .rules import _q
+
 
 def monday_week(d: Column) -> Column:
     """Monday on or before ``d`` as a DATE (``trunc`` keeps the DATE type)."""
@@ -41,10 +43,6 @@ def period_tags(d: str, windows) -> Column:
     """Array of the window names containing column ``d`` (0..n entries, no
     NULLs).  A per-row expression: tagging overlapping windows needs no join.
     """
-    arms = ", ".join(f"CASE WHEN {d} BETWEEN {_date_sql(w.start)} AND {_date_sql(w.end)} THEN '{w.period}' END"
+    arms = ", ".join(f"CASE WHEN {d} BETWEEN {_date_sql(w.start)} AND {_date_sql(w.end)} THEN {_q(w.period)} END"
                      for w in windows)
     return F.expr(f"filter(array({arms}), t -> t IS NOT NULL)")
-
-
-def iso(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")

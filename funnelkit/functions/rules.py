@@ -1,7 +1,7 @@
 """First-match-wins classification (searched CASE) driven by rule tables.
 
-A rule table renders to one SQL CASE expression (``classify_sql``) and
-``classify`` compiles that text with ``F.expr``: the result is the same
+A rule table renders to one SQL CASE expression (``classify_sql``), compiled
+with ``F.expr``: the result is the same
 Catalyst CaseWhen / In / Like tree a chain of ``F.when`` calls would build,
 evaluated inside whole-stage codegen, but created with one JVM round trip
 instead of one per literal (the rule tables hold about a hundred literals).
@@ -19,7 +19,13 @@ from ..config import Rule
 
 
 def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+    """``s`` as a SQL string literal (backslash is an escape character there)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _in(expr: str, values) -> str:
+    """``expr`` in ``values``; nothing is in an empty list."""
+    return f"{expr} IN ({sql_list(values)})" if values else "false"
 
 
 def classify_sql(rules: tuple[Rule, ...], default: str, fields: Mapping[str, str]) -> str:
@@ -29,7 +35,7 @@ def classify_sql(rules: tuple[Rule, ...], default: str, fields: Mapping[str, str
         for name, op, arg in preds:
             f = fields[name]
             if op == "in":
-                conds.append(f"{f} IN ({', '.join(_q(a) for a in arg)})")
+                conds.append(_in(f, arg))
             elif op == "like":
                 conds.append(f"{f} LIKE {_q(arg)}")
             elif op == "null":
@@ -37,6 +43,8 @@ def classify_sql(rules: tuple[Rule, ...], default: str, fields: Mapping[str, str
             else:
                 raise ValueError(op)
         arms.append(f"WHEN {' OR '.join(conds)} THEN {_q(label)}")
+    if not arms:
+        return _q(default)
     return "CASE " + " ".join(arms) + f" ELSE {_q(default)} END"
 
 
@@ -44,10 +52,6 @@ def sql_list(values) -> str:
     return ", ".join(_q(v) for v in values)
 
 
-def classify(rules: tuple[Rule, ...], default: str, fields: Mapping[str, str]) -> Column:
-    return F.expr(classify_sql(rules, default, fields))
-
-
 # -- the concrete classifiers (C1-C6); arguments are SQL expressions --------
 
 def channel_sql(medium: str, source: str, rules: tuple[Rule, ...], default: str) -> str:
@@ -69,7 +73,7 @@ def country_sql(geo: str, top: tuple[str, ...] | None) -> str:
     """Top-N collapse; NULL and unlisted -> Other.  ``top=None`` keeps names."""
     if top is None:
         return f"COALESCE({geo}, 'Other')"
-    return f"CASE WHEN {geo} IN ({sql_list(top)}) THEN {geo} ELSE 'Other' END"
+    return f"CASE WHEN {_in(geo, top)} THEN {geo} ELSE 'Other' END"
 
 
 def new_returning_sql(is_new: str) -> str:
@@ -79,7 +83,7 @@ def new_returning_sql(is_new: str) -> str:
 
 def in_list_sql(col: str, values) -> str:
     """F7-style membership flag; NULL -> false."""
-    return f"COALESCE({col} IN ({sql_list(values)}), false)"
+    return f"COALESCE({_in(col, values)}, false)"
 
 
 def channel(medium: str, source: str, rules: tuple[Rule, ...], default: str) -> Column:

@@ -11,8 +11,8 @@ Scale: the cells are the output of a group-by on closed dimension domains,
 so one (period, country) group holds at most the product of the other four
 dimension domains (756 cells with the reference rules) plus one placeholder,
 whatever the event volume; the per-group windows below therefore never pull
-an unbounded group into one task.  The totals table is bounded by
-windows x bridge buckets, which is what makes its broadcast safe.
+an unbounded group into one task.  The join with the totals is left to the
+planner, which broadcasts them when it finds them small.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def allocate(cells: DataFrame, totals: DataFrame, cfg: FunnelConfig) -> DataFram
     grp = Window.partitionBy(*GROUP)
     order = [F.col("is_placeholder"), *[F.col(c) for c in ORDER_DIMS]]
     # A missing totals row means 0 for both stages.
-    x = rows.join(F.broadcast(tot), list(GROUP), "left").select(
+    x = rows.join(tot, list(GROUP), "left").select(
         *rows.columns,
         F.coalesce("t_trials", F.lit(0)).alias("t_trials"),
         F.coalesce("t_paid", F.lit(0)).alias("t_paid"),

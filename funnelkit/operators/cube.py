@@ -7,14 +7,12 @@ most (#map tasks x #cells) rows whatever the event volume.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DIMENSIONS, FunnelConfig
 from ..functions.dates import period_tags
-from .sessions import picked_attrs, session_pick, signup_dimensions
+from .sessions import is_visit, picked_attrs, session_pick, signup_dimensions
 
 CELL_KEYS = ("period",) + DIMENSIONS
 
@@ -30,10 +28,7 @@ def tag_periods(df: DataFrame, date_col: str, windows) -> DataFrame:
 
 def visits_by_period(dims: DataFrame, cfg: FunnelConfig, windows=None, keys=CELL_KEYS) -> DataFrame:
     """A5: acquisition sessions per (period, 5 dims)."""
-    acq = dims.filter(F.col("is_acq") == 1)
-    if cfg.exclude_identified:
-        acq = acq.filter(F.col("any_uid") == 0)  # F8 (older rule)
-    tagged = tag_periods(acq, "session_date", windows or cfg.windows)
+    tagged = tag_periods(dims.filter(is_visit(F.col("is_acq") == 1, cfg)), "session_date", windows or cfg.windows)
     return tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("visits"))
 
 
@@ -47,22 +42,6 @@ def activations_by_period(users: DataFrame, cfg: FunnelConfig, windows=None, key
     return tagged.groupBy(*keys).agg(F.count("user_pseudo_id").alias("activations"))
 
 
-def outer_combine(frames: list[DataFrame], keys, measures) -> DataFrame:
-    """FULL OUTER JOIN of per-key aggregates, missing -> 0.
-
-    Done as union + sum: one shuffle instead of a join's two, and equal to
-    the join because every side has unique, non-NULL keys.
-    """
-    padded = []
-    for df in frames:
-        cols = [F.col(k) for k in keys]
-        for m in measures:
-            cols.append((F.col(m) if m in df.columns else F.lit(0)).cast("long").alias(m))
-        padded.append(df.select(*cols))
-    u = reduce(lambda a, b: a.unionByName(b), padded)
-    return u.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-
-
 def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
     """A5 + A6/A8/J5 + A9 + J1 in one pass over the session rows.
 
@@ -78,9 +57,7 @@ def cube_cells(dims: DataFrame, cfg: FunnelConfig, windows=None) -> DataFrame:
     the same cells as the visits (union + sum).
     """
     windows = windows or cfg.windows
-    visit = (F.col("is_acq") == 1) & F.col("period").isNotNull()
-    if cfg.exclude_identified:
-        visit = visit & (F.col("any_uid") == 0)  # F8 (older rule)
+    visit = is_visit(F.col("is_acq") == 1, cfg) & F.col("period").isNotNull()
     tagged = dims.select("*", F.explode_outer(period_tags("session_date", windows)).alias("period"))
     keys = ["period", *DIMENSIONS, "user_pseudo_id"]
     g = (tagged.groupingSets([["period", *DIMENSIONS], ["user_pseudo_id"]], *keys)

@@ -18,6 +18,8 @@ one task whole.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,12 @@ def sessions(facts: DataFrame) -> DataFrame:
     return facts.filter(F.col("entry").isNotNull())
 
 
+def is_visit(acquisition: Column, cfg: FunnelConfig) -> Column:
+    """A session counts as a visit: an acquisition entry, and anonymous if
+    the configuration asks for that (F8)."""
+    return acquisition & (F.col("any_uid") == 0) if cfg.exclude_identified else acquisition
+
+
 def entry_columns(prefix: str = "entry_", fields=ENTRY_FIELDS) -> list[Column]:
     return [F.col(f"entry.{f}").alias(prefix + f) for f in fields]
 
@@ -119,14 +127,15 @@ def classify_sessions(facts: DataFrame, cfg: FunnelConfig) -> DataFrame:
     )
 
 
-def order_key_sql(ts: str, seq: str, ts_type: T.DataType, low_when_null: str = "-1") -> str:
+def order_key_sql(ts: str, seq: str, ts_type: T.DataType, tie: str, ties: int) -> str:
     """The lexicographic order of (timestamp, seq) as one DECIMAL(38,0).
 
-    key = micros * 10^19 + seq: |micros| < 2^63 < 10^19 and 0 <= seq < 10^19,
+    key = micros * 10^19 + place: |micros| < 2^63 < 10^19 and 0 <= place < 10^19,
     so the value fits 38 digits and compares exactly like the pair.  A NULL
     timestamp takes the smallest value (NULLs first, as the source job's
-    ascending order); a NULL seq takes ``low_when_null`` (a SQL expression
-    >= -1 and < 10^19).  A fixed-width key lets Spark hash-aggregate a
+    ascending order).  NULL seqs come before all others, ordered among
+    themselves by ``tie`` (a SQL expression in 0 .. ties - 1); a seq, at least
+    0 and unique, is placed after them.  A fixed-width key lets Spark hash-aggregate a
     ``min_by`` over it, where a struct-valued minimum forces a sort.
     """
     if isinstance(ts_type, T.TimestampNTZType):
@@ -136,7 +145,7 @@ def order_key_sql(ts: str, seq: str, ts_type: T.DataType, low_when_null: str = "
     else:  # integral micros, as in raw web-analytics exports
         micros = f"CAST({ts} AS BIGINT)"
     return (f"CAST(COALESCE({micros}, -9223372036854775808) AS DECIMAL(38,0)) "
-            f"* CAST(10000000000000000000 AS DECIMAL(38,0)) + CAST(COALESCE({seq}, {low_when_null}) AS DECIMAL(38,0))")
+            f"* CAST(10000000000000000000 AS DECIMAL(38,0)) + COALESCE(CAST({seq} AS DECIMAL(38,0)) + {ties}, CAST({tie} AS DECIMAL(38,0)))")
 
 
 def signup_in_scope(facts: DataFrame, scope_country: str) -> Column:
@@ -146,7 +155,7 @@ def signup_in_scope(facts: DataFrame, scope_country: str) -> Column:
     fixed-width key, so it hash-aggregates (ties: out of scope first)."""
     ts_type = facts.schema["signup_geo"].dataType["ts"].dataType
     flag = f"CAST(signup_geo.geo = {C.sql_list([scope_country])} AS INT)"
-    key = order_key_sql("signup_geo.ts", "signup_geo.seq", ts_type, low_when_null=flag)
+    key = order_key_sql("signup_geo.ts", "signup_geo.seq", ts_type, flag, 2)
     return F.min_by(F.expr(flag), F.expr(f"CASE WHEN signup_geo IS NOT NULL THEN {key} END"))
 
 
@@ -181,8 +190,9 @@ def session_pick(dims: DataFrame, cfg: FunnelConfig) -> Column:
     the dimensions are packed into one BIGINT and the choice is a ``min_by``
     over a DECIMAL key, which Spark runs as a hash aggregate; otherwise it is
     the minimum of a struct (sort-based).  Read the result with
-    ``picked_attrs``.  Without ``event_seq``, ties on the timestamp go to the
-    smaller packed value (the struct form: the smaller dimensions).
+    ``picked_attrs``.  Both follow one order: timestamp, seq (NULL first),
+    then, without a seq, the dimensions in alphabetical order (the label
+    lists are sorted, so the packed value has it too).
     """
     labels = cfg.dimension_labels()
     has = F.col("entry").isNotNull()
@@ -190,7 +200,7 @@ def session_pick(dims: DataFrame, cfg: FunnelConfig) -> Column:
         return F.min(F.when(has, F.struct(F.col("entry.ts"), F.col("entry.seq"), *[F.col(d) for d in DIMENSIONS])))
     ts_type = dims.schema["entry"].dataType["ts"].dataType
     code = _pack_sql(labels)
-    key = order_key_sql("entry.ts", "entry.seq", ts_type, low_when_null=code)
+    key = order_key_sql("entry.ts", "entry.seq", ts_type, code, math.prod(map(len, labels.values())))
     return F.min_by(F.expr(code), F.when(has, F.expr(key)))
 
 
@@ -208,7 +218,7 @@ def signup_dimensions(attrs: str, user: str, cfg: FunnelConfig) -> dict[str, Col
     configured defaults."""
     out = {}
     for name, default in cfg.signup_defaults:
-        v = f"COALESCE(CASE WHEN {user} IS NOT NULL THEN {attrs}.{name} END, '{default}')"
+        v = f"COALESCE(CASE WHEN {user} IS NOT NULL THEN {attrs}.{name} END, {C.sql_list([default])})"
         if name == "geo_country":
             v = C.country_sql(v, cfg.top_countries)
         out[name] = F.expr(v)

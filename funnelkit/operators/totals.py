@@ -33,18 +33,19 @@ def bridge_buckets(df: DataFrame, cfg: FunnelConfig, col: str = "country_group",
     return joined.withColumn(out, F.coalesce(F.col("bucket"), F.lit("Other"))).drop("bridge_group", "bucket")
 
 
-def aggregate_totals(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
-    """(period, country) -> trials, paid.
+def window_totals(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """A10: (period, country_group) -> trials, paid as integers, NULL -> 0.
 
-    A weekly row belongs to a window when its week start does (A10).  Sums
-    are taken per (period, country_group) first and cast to integers before
-    the bucket roll-up, NULL -> 0 (A11).
+    A weekly row belongs to a window when its week start does.
     """
     u = union_measures(trials, paid).filter(in_ranges("week", [(w.start, w.end) for w in cfg.windows]))
-    per_group = (tag_periods(u, "week", cfg.windows)
-                 .groupBy("period", "country_group")
-                 .agg(F.sum("trials").alias("trials"), F.sum("paid").alias("paid")))
-    bucketed = bridge_buckets(per_group, cfg)
-    return (bucketed.groupBy("period", "country")
-            .agg(F.sum(F.coalesce(F.col("trials").cast("long"), F.lit(0))).alias("trials"),
-                 F.sum(F.coalesce(F.col("paid").cast("long"), F.lit(0))).alias("paid")))
+    return (tag_periods(u, "week", cfg.windows)
+            .groupBy("period", "country_group")
+            .agg(*[F.coalesce(F.sum(m).cast("long"), F.lit(0)).alias(m) for m in ("trials", "paid")]))
+
+
+def aggregate_totals(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """(period, country) -> trials, paid: the window totals rolled up to
+    the bridge's buckets (A11)."""
+    return (bridge_buckets(window_totals(trials, paid, cfg), cfg).groupBy("period", "country")
+            .agg(F.sum("trials").alias("trials"), F.sum("paid").alias("paid")))

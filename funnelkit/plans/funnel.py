@@ -14,13 +14,16 @@ CUBE_COLUMNS = ("period", "landing_family", "channel", "country", "device", "new
                 "visits", "activations", "trials", "paid")
 
 
-def allocated_cube(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
+def allocated_cube(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
+                   suppress: bool = True) -> DataFrame:
     """Cube rows with all four measures, placeholders flagged."""
-    return allocate(web_cube(events, cfg), aggregate_totals(trials, paid, cfg), cfg)
+    return allocate(web_cube(events, cfg, suppress), aggregate_totals(trials, paid, cfg), cfg)
 
 
-def funnel_cube(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
-    """P4 end to end: cube -> allocation -> output columns, every cell."""
-    cube = allocated_cube(events, trials, paid, cfg)
+def funnel_cube(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
+                suppress: bool = True) -> DataFrame:
+    """P4 end to end: cube -> allocation -> output columns, every cell;
+    ``suppress=False`` keeps the small cells too (F10 off)."""
+    cube = allocated_cube(events, trials, paid, cfg, suppress)
     return cube.select(*[F.col("geo_country").alias("country") if c == "country" else F.col(c)
                            for c in CUBE_COLUMNS])

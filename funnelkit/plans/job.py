@@ -19,18 +19,19 @@ from .trend import trend, trend_arrays
 
 
 def run_build(spark: SparkSession, events: DataFrame, trials: DataFrame, paid: DataFrame,
-              cfg: FunnelConfig, out_dir: str, trend_inputs=None, cube_json: bool = False) -> dict[str, str]:
+              cfg: FunnelConfig, out_dir: str, trend_inputs=None, cube_json: bool = False,
+              suppress: bool = True) -> dict[str, str]:
     """Write cube rows + header, trend document, calibration and period totals.
 
     ``trend_inputs`` optionally gives different (events, trials, paid) for the
     trend and calibration; by default the same frames serve every output.
     ``cube_json`` also writes the cube as one JSON document (header + rows),
     the single-file form of the source job; the closed dimensions
-    bound its rows per window.
+    bound its rows per window.  ``suppress=False`` keeps the small cells.
     """
     out = {k: f"{out_dir.rstrip('/')}/{k}" for k in
            ("cube", "cube_header", "trend", "calibration", "period_totals")}
-    cube_df = funnel_cube(events, trials, paid, cfg)
+    cube_df = funnel_cube(events, trials, paid, cfg, suppress)
     write_cube(cube_df, out["cube"])
     write_json_document(cube_header(spark, cfg), out["cube_header"])
     # the known schema: an empty cube writes no partition files to infer from

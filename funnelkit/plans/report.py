@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import STAGES, FunnelConfig
 from ..functions.rules import in_list
-from ..operators.sessions import filter_events, host_filter, session_facts, signup_in_scope
+from ..operators.sessions import host_filter, session_facts, signup_in_scope
 from ..sources.tables import targets_df, windows_df
 
 
@@ -27,41 +25,24 @@ def fiscal_bounds(trials: DataFrame, cfg: FunnelConfig) -> DataFrame:
 
 
 def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
-                         scope_country: str | None = None, bounds: str = "literal") -> DataFrame:
+                         scope_country: str | None = None) -> DataFrame:
     """A18-A20 + J8: one row with the four measured stage values.
 
-    ``bounds="literal"`` (default): the fiscal bounds, a one-row aggregate of
-    the small weekly table, are evaluated first and applied to the event scan
-    as literal dates, so the scan is pruned to the quarter (partition pruning
-    on ``event_date``).  ``bounds="join"``: one lazy plan with no action; the
-    one-row bounds are broadcast and range-joined to the events, which then
-    cannot be pruned and are read in full.
+    One aggregate of the trials gives the fiscal bounds and the scoped sum.
+    The bounds reach the event scan as scalar subqueries, which Spark runs
+    first and prunes ``event_date`` partitions with; nothing runs while the
+    plan is built.  An empty fiscal slice has NULL bounds and so no events.
     """
     scope = cfg.scope_country if scope_country is None else scope_country
-    if bounds == "join":
-        b_df = fiscal_bounds(trials, cfg).select(F.col("first_wk").alias("_s"), F.col("end_date").alias("_e"))
-        joined = events.join(F.broadcast(b_df), F.col("event_date").between(F.col("_s"), F.col("_e")))
-        ev_join = joined.drop("_s", "_e").filter(host_filter(cfg))
-        ranges = "join"
-    else:
-        b = fiscal_bounds(trials, cfg).first()
-        if b is None or b["first_wk"] is None:
-            ranges = None
-        else:
-            ranges = [(b["first_wk"], b["last_wk"] + timedelta(days=6))]
-
-    def scoped_sum(df, col):
-        s = fiscal_slice(df, cfg).filter(F.col("country_group") == scope)
-        return s.agg(F.coalesce(F.sum(col), F.lit(0)).cast("long").alias("v"))
-
-    tr = scoped_sum(trials, "free_trial_users").select(F.col("v").alias("trials"))
-    pd_ = scoped_sum(paid, "total_bookings_users").select(F.col("v").alias("paid"))
-    if ranges == "join":
-        ev = ev_join
-    elif ranges is None:
-        ev = events.limit(0)  # empty fiscal slice: nothing to measure
-    else:
-        ev = filter_events(events, cfg, ranges)
+
+    def scoped(col):
+        return F.coalesce(F.sum(F.when(F.col("country_group") == scope, F.col(col))), F.lit(0)).cast("long").alias("v")
+
+    quarter = fiscal_slice(trials, cfg).agg(
+        F.min("week").alias("first_wk"), F.date_add(F.max("week"), 6).alias("end_date"), scoped("free_trial_users"))
+    booked = fiscal_slice(paid, cfg).agg(scoped("total_bookings_users"))
+    ev = events.filter(F.col("event_date").between(quarter.select("first_wk").scalar(),
+                                                   quarter.select("end_date").scalar()) & host_filter(cfg))
     facts = session_facts(ev, cfg, fields=("page_group", "geo_country"), signup_geo=True)
     # Visits (a global count of sessions) and activations (users, each with
     # the geo of their earliest sign-up) from one GROUPING SETS pass, so the
@@ -78,18 +59,19 @@ def calibration_measures(events: DataFrame, trials: DataFrame, paid: DataFrame,
         F.coalesce(F.sum(F.when(~is_user, F.col("visits"))), F.lit(0)).cast("long").alias("visits"),
         F.count(F.when(is_user & F.col("signup_date").isNotNull() & (F.col("in_scope") == 1),
                        F.col("user_pseudo_id"))).alias("activations"))
-    # Every side is a one-row global aggregate, so the cross join is 1x1.
-    return web.crossJoin(tr).crossJoin(pd_)
+    # The other sides are one-row aggregates, added as scalars
+    return web.select("visits", "activations", quarter.select("v").scalar().alias("trials"),
+                      booked.select("v").scalar().alias("paid"))
 
 
 def calibrate(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
-              scope_country: str | None = None, bounds: str = "literal") -> DataFrame:
+              scope_country: str | None = None) -> DataFrame:
     """Stage, measured, reference, delta_pct (6 places), flag OK/OVER.
 
     OVER means outside the tolerance in either direction, as in the
     reference; a zero reference gives delta 0.
     """
-    m = calibration_measures(events, trials, paid, cfg, scope_country, bounds)
+    m = calibration_measures(events, trials, paid, cfg, scope_country)
     stack = F.explode(F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).cast("long").alias("measured"))
                                 for s in STAGES])).alias("x")
     return score_calibration(m.select(stack).select("x.stage", "x.measured"), cfg)

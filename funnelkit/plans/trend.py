@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import FunnelConfig
 from ..functions.dates import in_ranges
 from ..functions.rules import in_list
-from ..operators.sessions import filter_events, session_facts, signup_in_scope, with_week
+from ..operators.sessions import filter_events, is_visit, session_facts, signup_in_scope, with_week
 from ..operators.totals import union_measures
 from ..sources.tables import week_grid
 
@@ -26,6 +26,8 @@ def by_week(df: DataFrame) -> DataFrame:
     locally gives the total order without the sampling job and range
     shuffle of a global ``orderBy``."""
     return df.coalesce(1).sortWithinPartitions("wk")
+
+
 TREND_FIELDS = ("page_group", "geo_country")
 MEASURES = ("visits", "activations", "trials", "paid")
 
@@ -44,9 +46,7 @@ def weekly_facts(events: DataFrame, cfg: FunnelConfig, ranges=None, signup_geo:
 def _is_visit(cfg: FunnelConfig, scope_country: str | None) -> Column:
     """A session that counts as a visit: an acquisition entry, anonymous only
     if asked for (F8), within the country scope (F9)."""
-    visit = F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq)
-    if cfg.exclude_identified:
-        visit = visit & (F.col("any_uid") == 0)
+    visit = is_visit(F.col("entry").isNotNull() & in_list("entry.page_group", cfg.acq), cfg)
     if scope_country is not None:
         visit = visit & (F.col("entry.geo_country") == scope_country)
     return visit
@@ -57,26 +57,31 @@ def weekly_visits(facts: DataFrame, cfg: FunnelConfig, scope_country: str | None
     return facts.filter(_is_visit(cfg, scope_country)).groupBy("wk").agg(F.count(F.lit(1)).alias("visits"))
 
 
-def weekly_signup_users(facts: DataFrame) -> DataFrame:
-    """One row per (wk, user) with a sign-up; the geo is that of the
-    user's earliest sign-up event with a geo in the week."""
-    return (facts.filter(F.col("signup_date").isNotNull())
-            .groupBy("wk", "user_pseudo_id")
-            .agg(F.min("signup_geo").alias("g"))
-            .select("wk", "user_pseudo_id", F.col("g.geo").alias("geo_country")))
+def weekly_signup_users(facts: DataFrame, scope_country: str | None = None) -> DataFrame:
+    """One row per (wk, user) with a sign-up; with a scope, those whose
+    earliest sign-up event with a geo in the week is in that country."""
+    signed = facts.filter(F.col("signup_date").isNotNull())
+    if scope_country is None:
+        return signed.select("wk", "user_pseudo_id").distinct()
+    inside = signup_in_scope(signed, scope_country).alias("in_scope")
+    return signed.groupBy("wk", "user_pseudo_id").agg(inside).filter("in_scope = 1").drop("in_scope")
 
 
 def weekly_activations(facts: DataFrame, scope_country: str | None = None) -> DataFrame:
     """Distinct sign-up users per week; a user counts in every week
     with a sign-up.  ``count(user)`` on the (wk, user) grain = COUNT(DISTINCT)."""
-    u = weekly_signup_users(facts)
-    if scope_country is not None:
-        u = u.filter(F.col("geo_country") == scope_country)
-    return u.groupBy("wk").agg(F.count("user_pseudo_id").alias("activations"))
+    return weekly_signup_users(facts, scope_country).groupBy("wk").agg(F.count("user_pseudo_id").alias("activations"))
+
 
+def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str | None = None,
+                     ranges=None) -> DataFrame:
+    """P5: wk -> visits, activations (A12-A14, J3, F9), ordered by week, over
+    the two trend ranges or any given ``ranges`` [(start, end)]."""
+    return by_week(_web_series(events, cfg, scope_country, ranges))
 
-def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str | None = None) -> DataFrame:
-    """P5: wk -> visits, activations (A12-A14, J3, F9) in one pass.
+
+def _web_series(events: DataFrame, cfg: FunnelConfig, scope_country: str | None, ranges=None) -> DataFrame:
+    """The weekly web series in one pass.
 
     Visits per week and sign-up users per (week, user) come out of one
     GROUPING SETS aggregate over the session facts, so the events are
@@ -84,7 +89,7 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
     A week is present when it has a visit or a (scoped) sign-up user, as
     with the reference's FULL OUTER JOIN of the two weekly series.
     """
-    facts = weekly_facts(events, cfg, signup_geo=scope_country is not None)
+    facts = weekly_facts(events, cfg, ranges, signup_geo=scope_country is not None)
     aggs = [F.count(F.when(_is_visit(cfg, scope_country), 1)).alias("visits"), F.min("signup_date").alias("signup_date")]
     if scope_country is not None:
         aggs.append(signup_in_scope(facts, scope_country).alias("in_scope"))
@@ -98,20 +103,22 @@ def weekly_web_trend(events: DataFrame, cfg: FunnelConfig, scope_country: str |
         "wk",
         F.when(is_user, F.lit(0)).otherwise(F.col("visits")).cast("long").alias("visits"),
         F.when(is_user & F.col("user_pseudo_id").isNotNull(), 1).otherwise(0).cast("long").alias("activations"))
-    out = rows.groupBy("wk").agg(F.sum("visits").alias("visits"), F.sum("activations").alias("activations"))
-    return by_week(out)
+    return rows.groupBy("wk").agg(F.sum("visits").alias("visits"), F.sum("activations").alias("activations"))
 
 
 def weekly_aggregate_trend(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
                            scope_country: str | None = None) -> DataFrame:
     """Sunday aggregate weeks moved to Monday, summed per week."""
+    return by_week(_aggregate_series(trials, paid, cfg, scope_country))
+
+
+def _aggregate_series(trials: DataFrame, paid: DataFrame, cfg: FunnelConfig, scope_country: str | None) -> DataFrame:
     u = union_measures(trials, paid).filter(in_ranges("week", cfg.trend_week_ranges_sunday))
     if scope_country is not None:
         u = u.filter(F.col("country_group") == scope_country)
     return (u.groupBy(F.date_add("week", 1).alias("wk"))
             .agg(F.coalesce(F.sum("trials"), F.lit(0)).cast("long").alias("trials"),
-                 F.coalesce(F.sum("paid"), F.lit(0)).cast("long").alias("paid"))
-            .transform(by_week))
+                 F.coalesce(F.sum("paid"), F.lit(0)).cast("long").alias("paid")))
 
 
 def weekly_aggregate_prev_year(trials: DataFrame, paid: DataFrame, start, end,
@@ -171,9 +178,9 @@ def trend_grid(web: DataFrame, agg: DataFrame, cfg: FunnelConfig) -> DataFrame:
 
 def trend(events: DataFrame, trials: DataFrame, paid: DataFrame, cfg: FunnelConfig,
           scope_country: str | None = None) -> DataFrame:
-    """P5 + P6 + P7 together."""
-    return trend_grid(weekly_web_trend(events, cfg, scope_country),
-                      weekly_aggregate_trend(trials, paid, cfg, scope_country), cfg)
+    """P5 + P6 + P7 together; sorted once, at the end."""
+    return trend_grid(_web_series(events, cfg, scope_country),
+                      _aggregate_series(trials, paid, cfg, scope_country), cfg)
 
 
 def trend_arrays(grid: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from . import oracle as O
 from .operators.allocate import cell_visit_totals, missing_cells as _missing, top_per_group
 from .operators.cube import activations_by_period as _acts, visits_by_period as _visits
 from .operators.sessions import entry_columns, filter_events, session_facts, sessions, signup_users, user_attributes
-from .operators.totals import aggregate_totals as _totals
+from .operators.totals import aggregate_totals as _totals, window_totals as _window_totals
 from .plans import report as _report, trend as _trend
 from .plans.cube import session_dimensions, web_cube as _web_cube, window_cube as _window_cube
 from .plans.funnel import CUBE_COLUMNS, allocated_cube, funnel_cube as _funnel_cube
@@ -110,6 +110,14 @@ def q_aggregate_totals(spark: SparkSession, sf: str) -> DataFrame:
     return _totals(fx.web_trials(spark, sf), fx.web_paid(spark, sf), fx.cube_config())
 
 
+def q_aggregate_totals_headline(spark: SparkSession, sf: str) -> DataFrame:
+    return _totals(fx.web_trials(spark, sf), fx.web_paid(spark, sf), fx.headline_config())
+
+
+def q_window_totals_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    return _window_totals(fx.web_trials(spark, sf), fx.web_paid(spark, sf), fx.cube_config())
+
+
 def q_missing_cells(spark: SparkSession, sf: str) -> DataFrame:
     cfg = fx.cube_config()
     ev, tr, pd_ = _cube_inputs(spark, sf)
@@ -144,6 +152,8 @@ def q_cube_top_k(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES.update({
     "aggregate_totals": (q_aggregate_totals, O.aggregate_totals),
+    "aggregate_totals_headline": (q_aggregate_totals_headline, O.aggregate_totals_headline),
+    "window_totals_by_group": (q_window_totals_by_group, O.window_totals_by_group),
     "missing_cells": (q_missing_cells, O.missing_cells),
     "allocate_shares": (q_allocate_shares, O.allocate_shares),
     "allocate_even_split": (q_allocate_even_split, O.allocate_even_split),
@@ -178,6 +188,19 @@ def q_weekly_web_trend_scoped(spark: SparkSession, sf: str) -> DataFrame:
     return _trend.weekly_web_trend(fx.order_events(spark, sf), cfg, cfg.scope_country)
 
 
+def q_weekly_web_trend_anonymous(spark: SparkSession, sf: str) -> DataFrame:
+    return _trend.weekly_web_trend(fx.order_events(spark, sf), fx.trend_config().with_(exclude_identified=True))
+
+
+def q_weekly_web_trend_range(spark: SparkSession, sf: str) -> DataFrame:
+    return _trend.weekly_web_trend(fx.order_events(spark, sf), fx.trend_config(), ranges=[O.TREND_RANGE])
+
+
+def q_weekly_aggregate_trend_scoped(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.trend_config()
+    return _trend.weekly_aggregate_trend(fx.order_trials(spark, sf), fx.order_paid(spark, sf), cfg, cfg.scope_country)
+
+
 def q_weekly_aggregate_trend(spark: SparkSession, sf: str) -> DataFrame:
     return _trend.weekly_aggregate_trend(fx.order_trials(spark, sf), fx.order_paid(spark, sf), fx.trend_config())
 
@@ -210,7 +233,7 @@ def q_period_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_cube_document(spark: SparkSession, sf: str) -> DataFrame:
-    """K1 + K3: the whole cube document (header + capped rows) as JSON text."""
+    """K1 + K3: the whole cube document (header + rows) as JSON text."""
     cfg = fx.cube_config()
     return document_text(cube_document(_funnel_cube(*_cube_inputs(spark, sf), cfg), cfg))
 
@@ -221,6 +244,9 @@ QUERIES.update({
     "weekly_activations": (q_weekly_activations, O.weekly_activations),
     "weekly_web_trend": (q_weekly_web_trend, O.weekly_web_trend),
     "weekly_web_trend_scoped": (q_weekly_web_trend_scoped, O.weekly_web_trend_scoped),
+    "weekly_web_trend_anonymous": (q_weekly_web_trend_anonymous, O.weekly_web_trend_anonymous),
+    "weekly_web_trend_range": (q_weekly_web_trend_range, O.weekly_web_trend_range),
+    "weekly_aggregate_trend_scoped": (q_weekly_aggregate_trend_scoped, O.weekly_aggregate_trend_scoped),
     "weekly_aggregate_trend": (q_weekly_aggregate_trend, O.weekly_aggregate_trend),
     "weekly_aggregate_prev_year": (q_weekly_aggregate_prev_year, O.weekly_aggregate_prev_year),
     "trend_grid": (q_trend_grid, O.trend_grid),

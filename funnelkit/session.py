@@ -7,7 +7,6 @@ so tests and the bench get sane local settings without overriding a cluster's.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -32,18 +31,4 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (tests)
-    create a private scratch folder.  Returns the directory in use."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or tempfile.mkdtemp(prefix="funnelkit-ckpt-")
-    sc.setCheckpointDir(target)
-    return sc.getCheckpointDir() or target

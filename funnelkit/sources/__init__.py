@@ -1,7 +1,7 @@
 """Sources: readers for session events and weekly aggregates, literal tables."""
 
 from .tables import (EVENT_COLUMNS, EVENT_SCHEMA, bridge_df, read_events, read_weekly, targets_df,
-                     trend_week_list, week_grid, windows_df)
+                     week_grid, windows_df)
 
 __all__ = ["EVENT_COLUMNS", "EVENT_SCHEMA", "bridge_df", "read_events", "read_weekly", "targets_df",
-           "trend_week_list", "week_grid", "windows_df"]
+           "week_grid", "windows_df"]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..config import FunnelConfig
 from ..functions.dates import sunday_week
-from .tables import EVENT_COLUMNS
+from .tables import event_columns, load_table
 
 SITE_HOST = "site.example"
 APP_HOST = "app.site.example"
@@ -43,6 +43,7 @@ KB_NATION = 4          # every page of this nation is a help page (no acquisitio
 NO_GEO_NATION = 5      # this nation has no geo at all
 TOP_NATIONS = tuple(f"NATION_{i}" for i in range(7))
 BRIDGE = tuple((f"NATION_{i}", f"NATION_{i}") for i in range(6)) + (("NATION_6", "Other"), ("ROW", "Other"))
+BRIDGE_HEADLINE = tuple((f"NATION_{i}", f"NATION_{i}") for i in range(7)) + (("ROW", "Other"),)
 
 
 def cube_config() -> FunnelConfig:
@@ -53,6 +54,11 @@ def cube_config() -> FunnelConfig:
     )
 
 
+def headline_config() -> FunnelConfig:
+    """The cube settings with a headline bridge (one more group by name)."""
+    return cube_config().with_(country_bridge=BRIDGE_HEADLINE)
+
+
 def trend_config() -> FunnelConfig:
     """Settings for the trend and calibration over ``order_events``."""
     return FunnelConfig(
@@ -75,7 +81,7 @@ TABLE_SCHEMAS = {
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return load_table(spark, f"{sf_dir}/{name}.parquet", TABLE_SCHEMAS[name])
 
 
 def _pick(idx: str, values) -> Column:
@@ -111,7 +117,7 @@ def _shape(df: DataFrame) -> DataFrame:
         (seq % 3 + 1).alias("ga_session_number"),
         _pick("seq % 5", SOURCES).alias("traffic_source_source"),
         _pick("seq % 13", MEDIUMS).alias("traffic_source_medium"),
-    ).select(*EVENT_COLUMNS)
+    ).transform(event_columns)
 
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,6 @@ with literal bounds, so Catalyst pushes them into the parquet scan (and prunes
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +38,7 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
-def _load(spark: SparkSession, source: str, schema=None) -> DataFrame:
+def load_table(spark: SparkSession, source: str, schema=None) -> DataFrame:
     if "/" in source or source.endswith(".parquet"):
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(source)
@@ -51,7 +49,11 @@ def read_events(spark: SparkSession, source: str, schema=None) -> DataFrame:
     """Session events (parquet path or table name).  ``event_seq`` is
     optional.  Pass ``schema`` (e.g. EVENT_SCHEMA) to skip schema inference
     on a path; the partition column ``event_date`` is then taken from it."""
-    df = _load(spark, source, schema)
+    return event_columns(load_table(spark, source, schema))
+
+
+def event_columns(df: DataFrame) -> DataFrame:
+    """The event columns of ``df``, ``event_seq`` NULL where it has none."""
     if "event_seq" not in df.columns:
         df = df.withColumn("event_seq", F.lit(None).cast("long"))
     return df.select(*EVENT_COLUMNS)
@@ -59,7 +61,7 @@ def read_events(spark: SparkSession, source: str, schema=None) -> DataFrame:
 
 def read_weekly(spark: SparkSession, source: str, schema=None) -> DataFrame:
     """A weekly aggregate table (trials or bookings)."""
-    return _load(spark, source, schema)
+    return load_table(spark, source, schema)
 
 
 # -- S4 literal tables --------------------------------------------------------
@@ -105,9 +107,3 @@ def week_grid(spark: SparkSession, cfg: FunnelConfig) -> DataFrame:
     return (spark.range(cfg.trend_weeks, numPartitions=1)
             .select(F.date_add(F.lit(start), (F.col("id") * 7).cast("int")).alias("wk"))
             .withColumn("prior_wk", F.date_sub("wk", cfg.trend_shift_days)))
-
-
-def trend_week_list(cfg: FunnelConfig):
-    """The same grid as Python dates (for documents built from config)."""
-    weeks = [cfg.trend_start_week + timedelta(weeks=i) for i in range(cfg.trend_weeks)]
-    return weeks, [w - timedelta(days=cfg.trend_shift_days) for w in weeks]

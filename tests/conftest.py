@@ -25,8 +25,6 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    from funnelkit.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(s)
     yield s
 
 

@@ -1,5 +1,6 @@
 """Physical-plan properties that the scale design relies on."""
 
+import re
 import tempfile
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from conftest import SF001
 from funnelkit.operators.allocate import top_per_group
 from funnelkit.plans.cube import web_cube
-from funnelkit.plans.funnel import allocated_cube
+from funnelkit.plans.funnel import allocated_cube, funnel_cube
 from funnelkit.plans.report import calibrate
 from funnelkit.plans.trend import weekly_web_trend
 from funnelkit.sources import fixtures as fx
@@ -50,10 +51,9 @@ def test_trend_scans_once(spark, stored_events):
 def test_calibration_prunes_to_fiscal_quarter(spark):
     tc = fx.trend_config()
     df = calibrate(fx.order_events(spark, SF001), fx.order_trials(spark, SF001), fx.order_paid(spark, SF001), tc)
-    plan = _plan(df)
-    # the fiscal bounds arrive as literal dates on the orders scan
-    orders_scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "orders" in ln and "o_orderdate" in ln]
-    assert any("2000-01-02" in ln for ln in orders_scans)
+    # the fiscal bounds arrive as scalar subqueries on the orders scan, run once
+    orders_scans = [ln for ln in _plan(df).splitlines() if "FileScan" in ln and "orders" in ln and "o_orderdate" in ln]
+    assert any("subquery" in ln.lower() for ln in orders_scans), orders_scans
 
 
 def test_allocation_reads_cube_once_and_top_k_is_limited(spark):
@@ -76,10 +76,26 @@ def test_trend_grid_computes_the_series_once(spark):
     assert not [ln for ln in final.splitlines() if "Join [wk" in ln or "Join [k#" in ln]  # no lookup joins
 
 
-def test_calibration_bounds_join_variant_agrees(spark):
+def test_calibration_is_lazy_and_prunes_by_the_bounds(spark, tmp_path):
+    from pyspark.sql import functions as F
+
     tc = fx.trend_config()
-    args = (fx.order_events(spark, SF001), fx.order_trials(spark, SF001), fx.order_paid(spark, SF001), tc)
-    lit = sorted(tuple(r) for r in calibrate(*args).collect())
-    joined = calibrate(*args, bounds="join")
-    assert sorted(tuple(r) for r in joined.collect()) == lit
-    assert "BroadcastNestedLoopJoin" in _plan(joined) or "BroadcastHashJoin" in _plan(joined)
+    path = str(tmp_path / "events")
+    ev = fx.order_events(spark, SF001).withColumn("month", F.trunc("event_date", "month"))
+    ev.repartition(4).write.partitionBy("month").parquet(path)
+    stored = spark.read.parquet(path).drop("event_date").withColumnRenamed("month", "event_date")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "building the plan")
+    df = calibrate(stored, fx.order_trials(spark, SF001), fx.order_paid(spark, SF001), tc)
+    assert not list(tracker.getJobIdsForGroup("lazy"))
+    spark.sparkContext.setJobGroup("run", "running it")
+    assert df.count() == 4
+    scans = [ln for ln in _plan(df).splitlines() if "PartitionFilters" in ln and "month" in ln]
+    assert any("subquery" in ln.lower() for ln in scans), scans
+
+
+def test_funnel_cube_sorts_no_period_in_one_task(spark):
+    cfg = fx.cube_config()
+    cube = funnel_cube(fx.web_events(spark, SF001), fx.web_trials(spark, SF001), fx.web_paid(spark, SF001), cfg)
+    plan = _plan(cube)
+    assert not re.search(r"hashpartitioning\(period#\d+, \d+\)", plan)

@@ -81,3 +81,31 @@ def test_sql_rendering_matches_rules():
     assert sql.startswith("CASE WHEN LOWER(m) IN ('cpc'")
     assert "LOWER(m) IS NULL" in sql and sql.endswith("ELSE 'Display / Other' END")
     assert F is not None
+
+
+def test_quotes_and_empty_lists(spark):
+    """Values with apostrophes and backslashes are data; nothing is in an empty list."""
+    from datetime import date
+
+    from funnelkit.config import Window
+    from funnelkit.functions.dates import period_tags
+    odd = "Cote d'Ivoire \\ n"
+    df = spark.createDataFrame([(odd, date(2024, 1, 1)), ("US", date(2024, 1, 1)), (None, date(2024, 1, 9))],
+                               "c string, d date")
+    one = df.select(R.country("c", (odd,)).alias("v")).collect()
+    assert [r.v for r in one] == [odd, "Other", "Other"]
+    assert {r.v for r in df.select(R.country("c", ()).alias("v")).collect()} == {"Other"}
+    assert {r.v for r in df.select(R.in_list("c", ()).alias("v")).collect()} == {False}
+    assert R.classify_sql((), "it's", {}) == "'it\\'s'"
+    tags = df.select(period_tags("d", [Window("last year's", date(2024, 1, 1), date(2024, 1, 2))]).alias("t")).collect()
+    assert [r.t for r in tags] == [["last year's"], ["last year's"], []]
+
+
+def test_default_with_an_apostrophe(spark):
+    from conftest import cfg, ev, events_df
+    from funnelkit.config import SIGNUP_DEFAULTS
+    from funnelkit.operators.sessions import classify_sessions, session_facts, signup_users
+    c = cfg(signup_defaults=tuple((k, "Editor's pick" if k == "landing_family" else v) for k, v in SIGNUP_DEFAULTS))
+    rows = [ev(user="u", name="sign_up", host="app.site.example")]
+    users = signup_users(classify_sessions(session_facts(events_df(spark, rows), c), c), c).collect()
+    assert [u.landing_family for u in users] == ["Editor's pick"]

@@ -1,14 +1,16 @@
 """F1-F8, A1-A9, J5, J7, J1, F10 on literal frames (FIXTURES.md section 5)."""
 
+import random
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SITE, cfg, ev, events_df
 from funnelkit.config import SIGNUP_DEFAULTS_OLDER, Window
 from funnelkit.operators.cube import tag_periods
 from funnelkit.operators.sessions import (classify_sessions, filter_events, host_filter, session_facts, sessions,
-                                          signup_users)
+                                          signup_users, user_attributes)
 from funnelkit.plans.cube import session_dimensions, web_cube, window_cube
 
 
@@ -156,6 +158,36 @@ def test_pick_ties_without_sequence_are_deterministic(spark):
         assert [u.landing_family for u in users] == ["Homepage"]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pick_is_the_same_for_closed_and_open_countries(spark, seed):
+    """Ties on the timestamp, some without a sequence; the families' list
+    order (Homepage first) is not the alphabetical one."""
+    rng = random.Random(seed)
+    groups = ("homepage", "solutions_pages_email_marketing", "marketing_pricing_page", "sales", None)
+    rows = []
+    for u in range(60):
+        for s in range(4):
+            row = ev(user=f"u{u}", session=str(s), ts=datetime(2024, 1, 20, 8, 0, rng.randrange(2)),
+                     group=rng.choice(groups), device=rng.choice(("mobile", "desktop", "tablet")),
+                     medium=rng.choice(("cpc", "email", "organic")), geo=rng.choice(("US", "CA")))
+            rows.append(row if rng.random() < 0.5 else (None,) + row[1:])
+    df = events_df(spark, rows)
+    picked = []
+    for c in (cfg(), cfg(top_countries=None)):
+        users = user_attributes(classify_sessions(session_facts(df, c), c), c)
+        picked.append(sorted(tuple(r) for r in users.collect()))
+    assert picked[0] == picked[1] and len(picked[0]) == 60
+
+
+def test_pick_goes_by_the_alphabet_without_a_sequence(spark):
+    t = datetime(2024, 1, 20, 8)
+    rows = [(None,) + ev(user="u", session=s, ts=t, group=g)[1:]
+            for s, g in (("a", "homepage"), ("b", "solutions_pages_email_marketing"))]
+    for c in (cfg(), cfg(top_countries=None)):
+        users = user_attributes(classify_sessions(session_facts(events_df(spark, rows), c), c), c).collect()
+        assert [u.landing_family for u in users] == ["Email Marketing solution"]
+
+
 def test_order_key_is_exact(spark):
     from pyspark.sql import types as T
 
@@ -163,7 +195,7 @@ def test_order_key_is_exact(spark):
     vals = [(datetime(1969, 12, 31, 23, 59, 59), 5), (datetime(2024, 1, 1), 9223372036854775807),
             (datetime(2024, 1, 1, 0, 0, 0, 1), 0), (None, 3), (datetime(2024, 1, 1), None)]
     df = spark.createDataFrame(vals, "ts timestamp_ntz, seq long")
-    key = F.expr(order_key_sql("ts", "seq", T.TimestampNTZType()))
+    key = F.expr(order_key_sql("ts", "seq", T.TimestampNTZType(), "0", 1))
     got = [(r.ts, r.seq) for r in df.orderBy(key).collect()]
     assert got == [(None, 3), (datetime(1969, 12, 31, 23, 59, 59), 5), (datetime(2024, 1, 1), None),
                    (datetime(2024, 1, 1), 9223372036854775807), (datetime(2024, 1, 1, 0, 0, 0, 1), 0)]

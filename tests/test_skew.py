@@ -46,7 +46,8 @@ def test_hot_key_cube_matches_sql_and_partitioning(spark):
     assert a == b and len(a) > 0
 
     con = duckdb.connect()
-    sql = O.cube_ctes(c, f"SELECT * FROM read_parquet('{path}/*.parquet')") + " SELECT * FROM cells"
+    steps = O.cube_steps(c, source=f"SELECT * FROM read_parquet('{path}/*.parquet')")
+    sql = O.query([*steps, O.kept_cells(c)], "SELECT * FROM big_cell")
     rel = con.sql(sql)
     cols = rel.columns
     d = sorted(tuple(_norm(r[cols.index(k)]) for k in many.columns) for r in rel.fetchall())
