@@ -50,34 +50,62 @@ _SMOOTH = 0.8
 # -- the cutting-stock problem (driver, sizes bounded by the sequence length) --
 
 
-def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The most valuable pattern: unbounded knapsack by dynamic programming."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    by_size = np.argsort(sizes, kind="stable")
-    ordered, worth = sizes[by_size], values[by_size]
-    fits = np.searchsorted(ordered, np.arange(capacity + 1), side="right")
+def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack by dynamic programming: per room the highest value
+    and the item taken last (-1: none, the room stays empty by one)."""
+    worth = np.full(capacity + 1, -np.inf)
+    item = np.full(capacity + 1, -1)
+    worth[sizes], item[sizes] = values, np.arange(len(sizes))
+    back = worth[::-1].copy()  # back[capacity - size] is the worth of size
+    best, taken = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     for room in range(1, capacity + 1):
+        got = best[:room] + back[capacity - room:capacity]
+        k = int(got.argmax())
         best[room] = best[room - 1]
-        n = fits[room]
-        if n:
-            got = best[room - ordered[:n]] + worth[:n]
-            k = int(np.argmax(got))
-            if got[k] > best[room] + 1e-12:
-                best[room], taken[room] = got[k], by_size[k]
-    pattern, room = np.zeros(len(sizes)), capacity
+        if got[k] > best[room] + 1e-12:
+            best[room], taken[room] = got[k], item[room - k]
+    return best, taken
+
+
+def pattern_for(room: int, taken: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many of each item the best filling of ``room`` holds."""
+    pattern = np.zeros(len(sizes))
     while room > 0:
         if taken[room] < 0:
             room -= 1
         else:
             pattern[taken[room]] += 1
             room -= sizes[taken[room]]
-    return float(best[capacity]), pattern
+    return pattern
+
+
+def times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """matrix @ vector.  Like ``inverted`` without BLAS, whose threads can
+    block for good in a driver process that has started a JVM."""
+    return np.einsum("ij,j->i", matrix, vector)
+
+
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by Gauss-Jordan elimination with row pivots."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for k in range(n):
+        top = k + int(np.abs(both[k:, k]).argmax())
+        both[[k, top]] = both[[top, k]]
+        both[k] /= both[k, k]
+        factor = both[:, k].copy()
+        factor[k] = 0
+        both -= np.outer(factor, both[k])
+    return both[:, n:].copy()
 
 
 def cutting_patterns(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int], float]]:
     """Patterns {size: how many} and how often to use each (LP optimum within
-    ``_GAP``) so that every item of ``demand`` {size: how many} is covered."""
+    ``_GAP``) so that every item of ``demand`` {size: how many} is covered.
+
+    One knapsack table prices many columns: the best pattern that holds a
+    given item, for every item.  Each enters the basis if it still improves
+    the solution at the prices of that moment."""
     sizes = np.array(sorted(demand), np.int64)
     if not len(sizes):
         return []
@@ -86,29 +114,37 @@ def cutting_patterns(demand: dict[int, int], capacity: int) -> list[tuple[dict[i
     inverse = np.diag(1 / np.diag(columns))
     least, center = 0.0, inverse.sum(axis=0)
     for step in range(_STEPS * len(sizes)):
-        use, duals = inverse @ need, inverse.sum(axis=0)
+        duals, entered = inverse.sum(axis=0), False
         # prices smoothed towards the best bound's; the plain ones if that finds nothing
         for prices in (_SMOOTH * center + (1 - _SMOOTH) * duals, duals):
             prices = np.maximum(prices, 0)
-            value, pattern = price(prices, sizes, capacity)
-            if prices @ need / value > least:
-                least, center = prices @ need / value, prices
-            if duals @ pattern > 1 + 1e-7:
+            best, taken = knapsack(prices, sizes, capacity)
+            if prices @ need / best[capacity] > least:
+                least, center = prices @ need / best[capacity], prices
+            tried = set()
+            for k in np.argsort(-(prices + best[capacity - sizes]), kind="stable"):
+                pattern = pattern_for(capacity - sizes[k], taken, sizes)
+                pattern[k] += 1
+                if inverse.sum(axis=0) @ pattern <= 1 + 1e-7 or pattern.tobytes() in tried:
+                    continue
+                tried.add(pattern.tobytes())
+                use, direction = times(inverse, need), times(inverse, pattern)
+                limit = np.where(direction > 1e-9, use / np.where(direction > 1e-9, direction, 1), np.inf)
+                out = int(np.argmin(limit))
+                columns[:, out] = pattern
+                row = inverse[out] / direction[out]
+                inverse -= np.outer(direction, row)
+                inverse[out] = row
+                entered = True
+            if entered:
                 break
         else:
             break
-        if use.sum() <= least * (1 + _GAP):
+        if step % 10 == 9:
+            inverse = inverted(columns)
+        if times(inverse, need).sum() <= least * (1 + _GAP):
             break
-        direction = inverse @ pattern
-        limit = np.where(direction > 1e-9, use / np.where(direction > 1e-9, direction, 1), np.inf)
-        out = int(np.argmin(limit))
-        columns[:, out] = pattern
-        row = inverse[out] / direction[out]
-        inverse -= np.outer(direction, row)
-        inverse[out] = row
-        if step % 200 == 199:
-            inverse = np.linalg.inv(columns)
-    use = np.maximum(inverse @ need, 0)
+    use = np.maximum(times(inverse, need), 0)
     return [({int(s): int(a) for s, a in zip(sizes, columns[:, k]) if a}, float(use[k])) for k in range(len(sizes))]
 
 
