@@ -6,6 +6,14 @@ depends on nothing but those lines, so chunks of a passage are found again
 wherever it stands.  Chunks with at least two non-blank lines whose bytes
 occur elsewhere are removed, but for the first occurrence by (doc_id, place).
 Equal hashes only nominate a chunk; grouping by its whole text compares bytes.
+That is operator 8, whose rows its SQL twin fixes; a shared passage goes there
+only as far as whole chunks reach.
+
+The pipeline removes shared passages whole (``drop_passages``): there every two
+non-blank lines in a row, with the blank ones between, are a chunk.  A line
+goes if one of its chunks occurs earlier, in another document or in the same
+one without sharing a line; so each line that goes has an equal one before it,
+and a run of one repeated line keeps two.
 
 Scale: DataFrame functions only.  Three passes over the documents: hashes of
 all chunks (partial counts, so a chunk that a third of all documents hold is
@@ -22,6 +30,8 @@ columns pass through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +40,7 @@ from .storage import written
 WINDOW = 3
 BASE = 31
 MEAN_LINES = 4
+BLANK = " \t\n\f\r"
 
 
 def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -55,25 +66,46 @@ def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
     return step.select(*own, F.explode(F.array(F.transform("__ends", chunk))).alias("__chunks"))
 
 
+def paired(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``__lines``, ``__filled`` (places of the non-blank lines)
+    and ``__chunks``, an array of every two non-blank lines in a row with the
+    blank ones between (null for null)."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    step = docs.select(*own, F.inline_outer(F.array(F.struct(F.split(F.col(text), "\n", -1).alias("__lines")))))
+    filled = F.filter(_places("__lines"), lambda i: F.btrim(F.get("__lines", i), F.lit(BLANK)) != "")
+    step = step.select(*own, F.inline_outer(F.array(F.struct("__lines", filled.alias("__filled")))))
+
+    def pair(start: Column, k: Column) -> Column:
+        return F.array_join(F.slice("__lines", start + 1, F.get("__filled", k + 1) - start + 1), "\n")
+
+    starts = F.slice("__filled", 1, F.greatest(F.size("__filled") - 1, F.lit(0)))
+    return step.select(*own, "__lines", "__filled", F.explode(F.array(F.transform(starts, pair))).alias("__chunks"))
+
+
+def _places(lines: str) -> Column:
+    return F.when(F.col(lines).isNotNull(), F.sequence(F.lit(0), F.size(lines) - 1))
+
+
 def _key() -> list[Column]:
     return [F.col("doc_id").alias("k_id"), F.xxhash64("text").alias("k_text")]
 
 
 def _multi_line(chunk: str) -> Column:
     """At least two non-blank lines."""
-    return F.contains(F.btrim(chunk, F.lit(" \t\n\f\r")), F.lit("\n"))
+    return F.contains(F.btrim(chunk, F.lit(BLANK)), F.lit("\n"))
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
+def repeated_chunks(docs: DataFrame, cut: Callable[[DataFrame], DataFrame] = chunked, apart: int = 1) -> DataFrame:
     """(k_id, k_text, gone): per document the places of its chunks to remove;
-    ``docs`` has doc_id and text."""
+    ``docs`` has doc_id and text.  In the document of a chunk's first
+    occurrence only chunks ``apart`` places behind it go."""
     docs = docs.select(F.col("doc_id"), "text")
-    chunks = chunked(docs).select(*_key(), F.posexplode("__chunks").alias("place", "chunk"))
+    chunks = cut(docs).select(*_key(), F.posexplode("__chunks").alias("place", "chunk"))
     found = chunks.filter(_multi_line("chunk")).select("k_id", "k_text", "place", F.xxhash64("chunk").alias("h"))
     found = written(found, "found")
     often = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "often")
     nominated = found.join(often, "h").groupBy("k_id", "k_text").agg(F.collect_set("place").alias("places"))
-    texts = chunked(docs).select(*_key(), "__chunks").join(
+    texts = cut(docs).select(*_key(), "__chunks").join(
         nominated.select(F.col("k_id").alias("o_id"), F.col("k_text").alias("o_text"), "places"),
         F.col("k_id").eqNullSafe(F.col("o_id")) & (F.col("k_text") == F.col("o_text")))
     texts = texts.select("k_id", "k_text", "__chunks", F.explode("places").alias("place")).select(
@@ -82,18 +114,31 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     order = F.struct("k_id", "k_text", "place")
     firsts = texts.distinct().groupBy("chunk").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = written(firsts.filter("n > 1").select("chunk", "first"), "firsts")
-    return texts.join(firsts, "chunk").filter(~order.eqNullSafe(F.col("first"))).groupBy("k_id", "k_text").agg(
+    own = F.col("k_id").eqNullSafe(F.col("first.k_id")) & (F.col("k_text") == F.col("first.k_text"))
+    return texts.join(firsts, "chunk").filter(~own | (F.col("place") - F.col("first.place") >= apart)).groupBy("k_id", "k_text").agg(
         F.collect_set("place").alias("gone"))
 
 
+def _with_gone(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = gone.select(F.col("k_id").alias("__id"), F.col("k_text").alias("__text"), F.col("gone").alias("__gone"))
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text")), "left")
+
+
+def drop_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without the passages of two or more
+    non-blank lines that occur earlier."""
+    rows = paired(_with_gone(docs, repeated_chunks(docs, paired, apart=2)))
+    lost = F.flatten(F.transform("__gone", lambda k: F.sequence(F.get("__filled", k), F.get("__filled", k + 1))))
+    kept = F.transform(F.array_except(_places("__lines"), lost), lambda i: F.get("__lines", i))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
+    return rows.select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+
+
 def dedup_lines(docs: DataFrame, with_counts: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, ...) with the repeated chunks taken out of
     ``text``; ``with_counts`` adds n_lines and n_removed (lines)."""
-    gone = repeated_chunks(docs).select(F.col("k_id").alias("__id"), F.col("k_text").alias("__text"),
-                                        F.col("gone").alias("__gone"))
-    # a later chunking of the same text gives the same chunks; only documents that lose some are cut again
-    rows = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text")), "left")
-    rows = chunked(rows)
+    # a later chunking of the same text gives the same chunks
+    rows = chunked(_with_gone(docs, repeated_chunks(docs)))
     kept = F.filter("__chunks", lambda c, k: ~F.array_contains("__gone", k))
     lost = F.filter("__chunks", lambda c, k: F.array_contains("__gone", k))
 

@@ -104,6 +104,51 @@ def test_repeated_line_chunks_go_but_for_the_first(docs):
     assert rows[13]["text"] == before[13] and rows[13]["n_lines"] == 501
 
 
+def _without_passages(rows):
+    """Brute force over (doc_id, text) with distinct doc_ids."""
+    cut, first = {}, {}
+    for d, text in sorted(rows):
+        cut[d] = [x for x in text.split("\n")]
+        filled = [i for i, x in enumerate(cut[d]) if x.strip(" \t\f\r")]
+        for k, (i, j) in enumerate(zip(filled, filled[1:])):
+            first.setdefault(tuple(cut[d][i:j + 1]), (d, k))
+    out = {}
+    for d, text in rows:
+        filled, gone = [i for i, x in enumerate(cut[d]) if x.strip(" \t\f\r")], set()
+        for k, (i, j) in enumerate(zip(filled, filled[1:])):
+            e, q = first[tuple(cut[d][i:j + 1])]
+            if e != d or k - q >= 2:
+                gone |= set(range(i, j + 1))
+        out[d] = "\n".join(x for i, x in enumerate(cut[d]) if i not in gone)
+    return out
+
+
+def test_shared_passages_of_two_lines_and_more_go_whole(spark):
+    rng = random.Random(7)
+    line = lambda: _text(rng, 7, 10**6)
+    rows, expected = [], {}
+    for k in range(40):
+        passage = [line() for _ in range(2 + k % 4)]
+        if k % 3 == 0:
+            passage.insert(1, " ")
+        for d in (2 * k, 2 * k + 1):
+            head, tail = [line() for _ in range(k % 3)], [line() for _ in range(k % 2)]
+            rows.append((d, "\n".join([*head, *passage, *tail])))
+            expected[d] = "\n".join([*head, *(passage if d == 2 * k else []), *tail])
+    rows += [(90, "\n".join(["a"] * 9)), (91, "b\nc\n" * 5), (92, "x\na\na\ny"), (93, "one\n\n"), (94, "lone\none")]
+    expected |= {90: "a\na", 91: "b\nc\n", 92: "x\ny", 93: "one\n\n", 94: "lone\none"}
+    found = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert dict(map(tuple, found)) == expected == _without_passages(rows)
+
+
+def test_passages_match_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(d, "\n".join(rng.choice(["a", "b", "c", "d", "e", "", " "]) for _ in range(rng.randrange(9)))) for d in range(60)]
+    docs = spark.createDataFrame([*rows, rows[5], (None, None)], "doc_id long, text string").repartition(3)
+    found = lines.drop_passages(docs).collect()
+    assert {r[0]: r[1] for r in found} == _without_passages(rows) | {None: None} and len(found) == 62
+
+
 def test_exact_top_k_matches_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(k, rng.normal(size=8).round(1).tolist()) for k in range(140)] + [(k, [0.5] * 8) for k in range(140, 300)]
