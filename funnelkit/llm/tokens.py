@@ -7,8 +7,9 @@ row; chunks repeat, and a chunk in the cache is not encoded again.  A chunk of
 ASCII and Latin-1 letters only is cut by the vocabulary's own pattern and its
 pieces go straight to the library's BPE model; any other chunk goes through
 the whole library pipeline.  A text with ``\\x1c-\\x1f`` (white space to
-Python, not to the tokenizer) is encoded whole.  Strings of special tokens in
-a text are ordinary text.
+Python, not to the tokenizer) is encoded whole, and so is one that holds the
+content of an added token of the file, which the library finds before it
+pre-tokenises.
 
 The tokenizer file is read on the driver (its size is checked) and sent as one
 broadcast; the chunk cache lives in that broadcast's copy in each Python
@@ -52,6 +53,10 @@ class ChunkIds(dict):
         self.tokenizer, self.spaces, self.kind = tokenizer, spaces, kind
         self.model, self.byte_letters = tokenizer.model.tokenize, _byte_letters()
         self.plain, self.pieces = _PLAIN.fullmatch, (_SPACED_PIECE if spaces else _WORD_PIECE).findall
+        added = list(tokenizer.get_added_tokens_decoder().values())
+        self.added = [t.content for t in added if not t.normalized]
+        # matched after normalisation, so without regard to case; too many found cost only time
+        self.odd = re.compile("|".join([_ODD_SPACE.pattern, *(re.escape(t.content) for t in added if t.normalized)]), re.I).search
 
     def __missing__(self, chunk: str) -> bytes:
         if self.plain(chunk):
@@ -60,13 +65,19 @@ class ChunkIds(dict):
                 if not piece.isascii() or piece[0] <= " ":
                     piece = piece.encode().decode("latin-1").translate(self.byte_letters)
                 ids += [t.id for t in self.model(piece)]
+            found = np.array(ids, self.kind).tobytes()
         else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        found = np.array(ids, self.kind).tobytes()
+            found = self.whole(chunk)
         if len(self) < CACHE_ENTRIES and len(chunk) <= CACHED_LENGTH:
             self[chunk] = found
         return found
 
+    def uncut(self, text: str) -> bool:
+        return any(map(text.__contains__, self.added)) or self.odd(text) is not None
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
 
 def shared_tokenizer(spark: SparkSession, path: str, spaces: bool):
     """Broadcast state of the tokenizer file at ``path``; ``spaces``: white
@@ -85,11 +96,10 @@ def encode(state: dict, texts: list[str]) -> list[np.ndarray]:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(state["json"])
-        tokenizer.encode_special_tokens = True
         kind = "<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         state["known"] = ChunkIds(tokenizer, state["spaces"], kind)
     known = state["known"]
     cut = _SPACED.findall if state["spaces"] else str.split
     look = known.__getitem__
-    return [np.frombuffer(b"".join(map(look, [t] if _ODD_SPACE.search(t) else cut(t))), known.kind).astype("<u4")
+    return [np.frombuffer(known.whole(t) if known.uncut(t) else b"".join(map(look, cut(t))), known.kind).astype("<u4")
             for t in texts]

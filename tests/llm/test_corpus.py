@@ -266,6 +266,23 @@ def test_token_files_hold_the_library_ids(spark):
     assert sorted(map(tuple, found.collect())) == expected
 
 
+@pytest.mark.parametrize("name, spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_ids_of_texts_with_added_tokens_are_the_librarys(spark, name, spaces):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from funnelkit.llm import tokens
+
+    path = public_tokenizers.path(name)
+    texts = ["end <|endoftext|> go", "<|endoftext|>", "<|startoftext|>a  b<|endoftext|>", "x<|endoftext|><|endoftext|>y", "",
+             "a <|ENDOFTEXT|> b", "<|endoftext |>", "<|endoftext|>\u0338 é\n\nend", "un\x1cdeux <|endoftext|>", "Plain text, 12 words"]
+    tokenizer = Tokenizer.from_file(path)
+    state = dict(tokens.shared_tokenizer(spark, path, spaces).value)
+    for _ in range(2):  # the second time from the cache
+        assert [r.tolist() for r in tokens.encode(state, texts)] == [
+            tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(docs, spark, tmp_path):
     rows = _rows()
     spark.createDataFrame([(1, rows[8][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
