@@ -103,16 +103,16 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, max_block_bytes: int) -> list[list[tuple[str | None, bytes | None]]]:
-    """The benchmark as lists of (item_id, text), each of bounded size."""
+def _blocks(benchmark: DataFrame, max_block_bytes: int) -> Iterator[tuple[int, list[tuple[str | None, bytes | None]], bool]]:
+    """The benchmark as lists of (item_id, text), each of bounded size and
+    collected when it is asked for; before each its number, after it whether
+    it is the last."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // max_block_bytes) or 1
-    blocks = []
     for k in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        blocks.append([(r[0], r[1].encode() if r[1] is not None else None) for r in part.distinct().collect()])
-    return blocks
+        yield k, [(r[0], r[1].encode() if r[1] is not None else None) for r in part.distinct().collect()], k == n - 1
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
@@ -121,10 +121,10 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     [start, end) of words inside benchmark windows (merged, ascending) and the
     sorted ids of the items that have an occurring window."""
     spark = docs.sparkSession
-    blocks = _blocks(benchmark, max_block_bytes)
     out = None
-    for k, rows in enumerate(blocks):
+    for k, rows, last in _blocks(benchmark, max_block_bytes):
         tables = spark.sparkContext.broadcast([t.parts() for t in pattern_tables(rows, window)])
+        del rows  # the next block is collected without this one
         marked = (docs if out is None else out).withColumn("__found", _search(tables)(F.col(text)))
         if out is None:
             out = marked.withColumn(into, F.col("__found")).drop("__found")
@@ -135,8 +135,9 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                 F.concat(f"{into}.ends", "__found.ends").alias("ends"),
                 F.array_sort(F.array_distinct(F.concat(f"{into}.items", "__found.items"))).alias("items"))
             out = marked.withColumn(into, joined).drop("__found")
-        if k < len(blocks) - 1:
+        if not last:
             out = written(out, f"block-{k}")
+            tables.unpersist()
     return out
 
 

@@ -219,6 +219,18 @@ def test_benchmark_in_blocks_equals_one_block(docs, spark):
     assert hit == {8: ["i1"], 9: ["i1"], 14: ["i2"]}
 
 
+def test_one_benchmark_block_is_collected_at_a_time(spark, monkeypatch):
+    steps, collect, tables = [], type(spark.range(1)).collect, decontaminate.pattern_tables
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: steps.append("collect") or collect(df))
+    monkeypatch.setattr(decontaminate, "pattern_tables", lambda *a: steps.append("tables") or tables(*a))
+    benchmark = spark.createDataFrame([(f"i{k}", f"a{k} b{k}") for k in range(6)], "item_id string, text string")
+    docs = spark.createDataFrame([(k, f"x a{k} b{k}") for k in range(7)], "doc_id long, text string")
+    found = collect(decontaminate.mark_contamination(docs, benchmark, max_block_bytes=10).select("doc_id", "contamination.items"))
+    steps = steps[steps.index("tables") - 1:]  # first() collects too
+    assert len(steps) > 4 and steps == ["collect", "tables"] * (len(steps) // 2)
+    assert {r[0]: r[1] for r in found} == {k: [f"i{k}"] for k in range(6)} | {6: []}
+
+
 EMPTY = {
     "near": lambda d: near.near_duplicates(d.select("doc_id", "text")),
     "one_of_each": near.one_of_each,
