@@ -1,4 +1,4 @@
-"""Corpus operators for training-data pipelines (ten methods, one module each).
+"""Corpus operators for training-data pipelines (one method and module each).
 
 Nothing outside this package imports it.  ``registry.QUERIES`` maps the query
 names ``opN_<name>`` to (query, DuckDB SQL or None).

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, licenses, lines, near, packing, shards, substrings, token_files, topk
+from . import (conversations, decontaminate, language, licenses, lines, merkle, near, packing, quality, shards,
+               substrings, token_files, topk)
 
 QUERIES = {
     "op1_license_scan": (licenses.op1_license_scan, licenses.OP1_SQL),
@@ -15,4 +16,7 @@ QUERIES = {
     "op6_exact_top_k": (topk.op6_exact_top_k, topk.OP6_SQL),
     "op8_line_dedup": (lines.op8_line_dedup, lines.OP8_SQL),
     "op9_near_duplicates": (near.op9_near_duplicates, None),
+    "op11_quality": (quality.op11_quality, None),
+    "op12_merkle_manifest": (merkle.op12_merkle_manifest, merkle.OP12_SQL),
+    "op13_conversation_repair": (conversations.op13_conversation_repair, conversations.OP13_SQL),
 }

@@ -38,3 +38,11 @@ def space_words(text: bytes | None, lower: bool = False) -> list[bytes]:
     if not text:
         return []
     return (text.translate(_LOWER) if lower else text).split()
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit (reflected, polynomial 0xEDB88320)."""
+    bits = (f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_transform(range(0, 8), "
+            f"lambda k: ((ascii(substr({text}, i::INT, 1)) >> k::INT) & 1)::BIGINT)))")
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), "
+            "lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)")
