@@ -6,8 +6,9 @@
         --as-of 2026-05-02 --out s3://bucket/funnel/2026-05-02
 
 Inputs are table names or parquet paths.  Writes the cube rows (partitioned
-by period), the cube header, the trend document, the calibration report and
-the period totals under ``--out``; prints the two reports.
+by period), the cube header, the trend document, the calibration report, the
+period totals and the row counts as one publication under ``--out``; prints the
+three reports.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--all-cells", action="store_true", help="keep cells below --min-visits")
     p.add_argument("--out", required=True)
     p.add_argument("--cube-json", action="store_true", help="also write the cube as one JSON document")
+    p.add_argument("--cube-lines", action="store_true", help="also write that document as ordered text parts")
+    p.add_argument("--top-rows", type=int, help="keep this many rows per period, the largest by visits + trials + paid")
     return p.parse_args(argv)
 
 
@@ -59,8 +62,9 @@ def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
     if a.headline_bridge:
         cfg = cfg.with_(country_bridge=COUNTRY_BRIDGE_HEADLINE)
     out = run_build(spark, read_events(spark, a.events), read_weekly(spark, a.trials),
-                    read_weekly(spark, a.paid), cfg, a.out, cube_json=a.cube_json, suppress=not a.all_cells)
-    for name in ("calibration", "period_totals"):
+                    read_weekly(spark, a.paid), cfg, a.out, cube_json=a.cube_json, suppress=not a.all_cells,
+                    top_rows=a.top_rows, cube_lines=a.cube_lines)
+    for name in ("row_counts", "calibration", "period_totals"):
         spark.read.parquet(out[name]).show(truncate=False)
     return out
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from .config import SIGNUP_DEFAULTS_OLDER, STAGES, FunnelConfig, Window
+from .config import SIGNUP_DEFAULTS_OLDER, FunnelConfig
 from .sources import fixtures as fx
 
 # Expected labels of the raw values in the fixtures and tests (None is NULL).
@@ -61,6 +61,32 @@ DEVICE_LABELS = {"Mobile": "mobile", "mobile": "mobile", "desktop": "desktop", "
 KEPT_COUNTRIES = ("NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_5", "NATION_6",
                   "US", "CA")
 
+# The calendar of the fixtures, written out: cube windows, their scan ranges,
+# and the trend weeks (Monday to Sunday) of this year and of 364 days before.
+CUBE_WINDOWS = (
+    ("current_7d", date(2024, 1, 24), date(2024, 1, 30)),
+    ("prior_yr_7d", date(2024, 1, 9), date(2024, 1, 15)),
+    ("current_14d", date(2024, 1, 17), date(2024, 1, 30)),
+    ("prior_yr_14d", date(2024, 1, 2), date(2024, 1, 15)),
+)
+CUBE_RANGES = ((date(2024, 1, 2), date(2024, 1, 15)), (date(2024, 1, 17), date(2024, 1, 30)))
+TREND_FIRST_WEEK, TREND_WEEKS, TREND_SHIFT = date(2000, 2, 28), 44, 364
+TREND_RANGES = ((date(1999, 3, 1), date(2000, 1, 2)), (date(2000, 2, 28), date(2000, 12, 31)))
+SUNDAY_RANGE = (date(2000, 2, 27), date(2000, 12, 30))
+AS_OF = date(2024, 1, 30)
+# country group of the weekly tables -> country of the cube (others: Other)
+GROUP_COUNTRY = (("NATION_0", "NATION_0"), ("NATION_1", "NATION_1"), ("NATION_2", "NATION_2"), ("NATION_3", "NATION_3"),
+                 ("NATION_4", "NATION_4"), ("NATION_5", "NATION_5"), ("NATION_6", "Other"), ("ROW", "Other"))
+GROUP_COUNTRY_HEADLINE = (*GROUP_COUNTRY[:6], ("NATION_6", "NATION_6"), ("ROW", "Other"))
+# a sign-up user without a session, and a group without visits
+NO_SESSION = {"landing_family": "Direct to Signup", "channel": "Direct", "geo_country": "Other", "device": "desktop",
+              "new_returning": "new"}
+NO_VISITS = {"landing_family": "Other", "channel": "Direct", "device": "desktop", "new_returning": "new"}
+MIN_VISITS = 2
+STAGES = ("visits", "activations", "trials", "paid")
+TARGETS = (("visits", 7711102), ("activations", 131765), ("trials", 42284), ("paid", 27030))
+TOLERANCE_PCT = 10
+
 DIMS = "landing_family, channel, geo_country, device, new_returning"
 CUBE_TOP_K = 25
 
@@ -85,8 +111,8 @@ def table(name: str, columns: str, rows) -> str:
     return f"{name}({columns}) AS (VALUES {body})"
 
 
-def windows_table(windows: list[Window]) -> str:
-    return table("win", "period, opens, closes", [(w.period, w.start, w.end) for w in windows])
+def windows_table(windows=CUBE_WINDOWS) -> str:
+    return table("win", "period, opens, closes", windows)
 
 
 def label_tables(cfg: FunnelConfig) -> list[str]:
@@ -139,7 +165,7 @@ def session_steps(cfg: FunnelConfig, raw: str, keys: str = "user_pseudo_id, sess
 def web_steps(cfg: FunnelConfig, ranges=None, source: str = fx.WEB_EVENTS_SQL) -> list[str]:
     raw = (f"SELECT * FROM ({source}) e WHERE EXISTS "
            "(SELECT 1 FROM span WHERE e.event_date BETWEEN span.opens AND span.closes)")
-    return [spans_table(ranges or cfg.scan_ranges), *session_steps(cfg, raw)]
+    return [spans_table(ranges or CUBE_RANGES), *session_steps(cfg, raw)]
 
 
 def labelled_steps(cfg: FunnelConfig) -> list[str]:
@@ -158,12 +184,11 @@ def labelled_steps(cfg: FunnelConfig) -> list[str]:
 
 # -- the cube --------------------------------------------------------------------
 
-def cube_steps(cfg: FunnelConfig, windows: list[Window] | None = None, ranges=None,
+def cube_steps(cfg: FunnelConfig, windows=CUBE_WINDOWS, ranges=None,
                source: str = fx.WEB_EVENTS_SQL) -> list[str]:
     """Up to ``cell``: every (period, dimensions) with visits, activations."""
-    windows = windows or cfg.windows
-    dims = ", ".join(f"coalesce(c.{k}, {lit(v)}) AS {k}" for k, v in sorted(
-        cfg.signup_defaults, key=lambda kv: DIMS.split(", ").index(kv[0])))
+    older = {"landing_family": "Other"} if cfg.entry_rule == "first_event" else {}
+    dims = ", ".join(f"coalesce(c.{k}, {lit((NO_SESSION | older)[k])}) AS {k}" for k in DIMS.split(", "))
     counted = "acquisition" + (" AND NOT identified" if cfg.exclude_identified else "")
     return [
         *web_steps(cfg, ranges, source), *labelled_steps(cfg), windows_table(windows),
@@ -185,8 +210,8 @@ def cube_steps(cfg: FunnelConfig, windows: list[Window] | None = None, ranges=No
     ]
 
 
-def kept_cells(cfg: FunnelConfig) -> str:
-    return f"big_cell AS (SELECT * FROM cell WHERE activations > 0 OR visits >= {cfg.min_visits})"
+def kept_cells() -> str:
+    return f"big_cell AS (SELECT * FROM cell WHERE activations > 0 OR visits >= {MIN_VISITS})"
 
 
 def _sessions_query(cfg: FunnelConfig, extra: str = "") -> str:
@@ -248,7 +273,7 @@ def user_attrs() -> str:
 
 def web_cube() -> str:
     cfg = fx.cube_config()
-    return query([*cube_steps(cfg), kept_cells(cfg)], "SELECT * FROM big_cell")
+    return query([*cube_steps(cfg), kept_cells()], "SELECT * FROM big_cell")
 
 
 def window_cube_args():
@@ -257,7 +282,7 @@ def window_cube_args():
 
 def window_cube() -> str:
     cfg, start, end = window_cube_args()
-    return query(cube_steps(cfg, [Window("window", start, end)], [(start, end)]),
+    return query(cube_steps(cfg, [("window", start, end)], [(start, end)]),
                  f"SELECT {DIMS}, visits, activations FROM cell")
 
 
@@ -274,17 +299,17 @@ def stage_sums(*stages: str) -> str:
     return ", ".join(f"coalesce(sum(n) FILTER (stage = '{s}'), 0)::BIGINT AS {s}" for s in stages)
 
 
-def totals_steps(cfg: FunnelConfig, with_windows: bool = True) -> list[str]:
-    return [*([windows_table(cfg.windows)] if with_windows else []), weekly_step(fx.WEB_TRIALS_SQL, fx.WEB_PAID_SQL),
-            table("bridge", "name, bucket", cfg.country_bridge), f"""want AS (
+def totals_steps(bridge=GROUP_COUNTRY, with_windows: bool = True) -> list[str]:
+    return [*([windows_table()] if with_windows else []), weekly_step(fx.WEB_TRIALS_SQL, fx.WEB_PAID_SQL),
+            table("bridge", "name, bucket", bridge), f"""want AS (
       SELECT period, coalesce(bucket, 'Other') AS country, {stage_sums('trials', 'paid')}
       FROM weekly JOIN win ON week BETWEEN opens AND closes LEFT JOIN bridge ON name = country_group GROUP BY ALL)"""]
 
 
 def allocation_steps() -> list[str]:
     cfg = fx.cube_config()
-    ph = dict(cfg.placeholder_dims)
-    return [*cube_steps(cfg), kept_cells(cfg), *totals_steps(cfg, with_windows=False), f"""lone AS (
+    ph = NO_VISITS
+    return [*cube_steps(cfg), kept_cells(), *totals_steps(with_windows=False), f"""lone AS (
       SELECT period, {lit(ph['landing_family'])} AS landing_family, {lit(ph['channel'])} AS channel,
              country AS geo_country, {lit(ph['device'])} AS device, {lit(ph['new_returning'])} AS new_returning,
              0::BIGINT AS visits, 0::BIGINT AS activations, TRUE AS is_placeholder
@@ -325,15 +350,15 @@ def allocation_steps() -> list[str]:
 
 
 def aggregate_totals() -> str:
-    return query(totals_steps(fx.cube_config()), "SELECT * FROM want")
+    return query(totals_steps(), "SELECT * FROM want")
 
 
 def aggregate_totals_headline() -> str:
-    return query(totals_steps(fx.headline_config()), "SELECT * FROM want")
+    return query(totals_steps(GROUP_COUNTRY_HEADLINE), "SELECT * FROM want")
 
 
 def window_totals_by_group() -> str:
-    return query(totals_steps(fx.cube_config()), f"""SELECT period, country_group, {stage_sums('trials', 'paid')}
+    return query(totals_steps(), f"""SELECT period, country_group, {stage_sums('trials', 'paid')}
       FROM weekly JOIN win ON week BETWEEN opens AND closes GROUP BY ALL""")
 
 
@@ -365,15 +390,16 @@ def cube_top_k() -> str:
         ORDER BY visits + trials + paid DESC, {_CUBE_KEYS}, is_placeholder) <= {CUBE_TOP_K}""")
 
 
+def _header_fields() -> str:
+    windows = ", ".join(f"'{p}': {{'start': '{s.isoformat()}', 'end': '{e.isoformat()}'}}" for p, s, e in CUBE_WINDOWS)
+    return f"'as_of': '{AS_OF.isoformat()}', 'windows': {{{windows}}}, 'stages': {list(STAGES)}"
+
+
 def cube_document() -> str:
     """K1 + K3: {as_of, windows, stages, rows} as compact JSON text, rows
     ordered by the cell key."""
-    cfg = fx.cube_config()
     row = "{" + ", ".join(f"'{c}': {c}" for c in (*_CUBE_KEYS.split(", "), *STAGES)) + "}"
-    windows = ", ".join(f"'{w.period}': {{'start': '{w.start.isoformat()}', 'end': '{w.end.isoformat()}'}}"
-                        for w in cfg.windows)
-    return query(allocation_steps(), f"""SELECT CAST(to_json({{'as_of': '{cfg.as_of.isoformat()}',
-        'windows': {{{windows}}}, 'stages': {list(STAGES)},
+    return query(allocation_steps(), f"""SELECT CAST(to_json({{{_header_fields()},
         'rows': list({row} ORDER BY {_CUBE_KEYS}, {', '.join(STAGES)})}}) AS VARCHAR) AS document FROM cube""")
 
 
@@ -404,7 +430,7 @@ def series_steps(cfg: FunnelConfig, scope: str | None = None, ranges=None) -> li
     if scope is not None:
         counted.append(f"e.geo_country = {lit(scope)}")
     inside = "TRUE" if scope is None else f"geo_country = {lit(scope)}"
-    return [*spine_table(ranges or cfg.trend_ranges), *session_steps(cfg, raw, "wk, user_pseudo_id, session_id"),
+    return [*spine_table(ranges or TREND_RANGES), *session_steps(cfg, raw, "wk, user_pseudo_id, session_id"),
             *label_tables(cfg), f"""week_user AS (
       SELECT wk, user_pseudo_id, geo_country FROM seen WHERE event_name = {lit(cfg.signup_event)}
       QUALIFY row_number() OVER (PARTITION BY wk, user_pseudo_id
@@ -453,7 +479,7 @@ def weekly_web_trend_range() -> str:
 
 def _aggregate_query(cfg: FunnelConfig, scope: str | None = None) -> str:
     inside = "TRUE" if scope is None else f"country_group = {lit(scope)}"
-    return query([*spine_table(cfg.trend_ranges), weekly_step(fx.ORDER_TRIALS_SQL, fx.ORDER_PAID_SQL)],
+    return query([*spine_table(TREND_RANGES), weekly_step(fx.ORDER_TRIALS_SQL, fx.ORDER_PAID_SQL)],
                  f"""SELECT wk, {stage_sums('trials', 'paid')}
       FROM weekly JOIN spine ON wk = week + 1 WHERE {inside} GROUP BY wk""")
 
@@ -468,18 +494,22 @@ def weekly_aggregate_trend_scoped() -> str:
 
 
 def prev_year_range(cfg: FunnelConfig):
-    return cfg.trend_week_ranges_sunday[-1]
+    return SUNDAY_RANGE
+
+
+def weekly_aggregate_prev_year_scoped() -> str:
+    return weekly_aggregate_prev_year(f"AND country_group = {lit(fx.HOT_COUNTRY)}")
 
 
-def weekly_aggregate_prev_year() -> str:
-    s, e = prev_year_range(fx.trend_config())
+def weekly_aggregate_prev_year(scope: str = "") -> str:
+    s, e = SUNDAY_RANGE
     return query([f"""weekly AS (
-      SELECT week, 'trials' AS stage, free_trial_users AS n, free_trial_users_prev_yr AS old FROM ({fx.ORDER_TRIALS_SQL}) t
-      UNION ALL SELECT week, 'paid', total_bookings_users, total_bookings_users_prev_yr FROM ({fx.ORDER_PAID_SQL}) b)"""],
+      SELECT week, country_group, 'trials' AS stage, free_trial_users AS n, free_trial_users_prev_yr AS old FROM ({fx.ORDER_TRIALS_SQL}) t
+      UNION ALL SELECT week, country_group, 'paid', total_bookings_users, total_bookings_users_prev_yr FROM ({fx.ORDER_PAID_SQL}) b)"""],
                  f"""SELECT week AS wk, {stage_sums('trials', 'paid')},
              coalesce(sum(old) FILTER (stage = 'trials'), 0)::BIGINT AS trials_prev_yr,
              coalesce(sum(old) FILTER (stage = 'paid'), 0)::BIGINT AS paid_prev_yr
-      FROM weekly WHERE week BETWEEN {lit(s)} AND {lit(e)} GROUP BY week""")
+      FROM weekly WHERE week BETWEEN {lit(s)} AND {lit(e)} {scope} GROUP BY week""")
 
 
 def grid_steps(cfg: FunnelConfig) -> list[str]:
@@ -487,10 +517,10 @@ def grid_steps(cfg: FunnelConfig) -> list[str]:
         return ", ".join(f"coalesce(sum(n) FILTER (stage = '{s}' AND s.wk = g.wk{shift}), 0)::BIGINT AS {s}{suffix}"
                          for s in STAGES)
 
-    back = f" - {cfg.trend_shift_days}"
+    back = f" - {TREND_SHIFT}"
     return [*series_steps(cfg), weekly_step(fx.ORDER_TRIALS_SQL, fx.ORDER_PAID_SQL), f"""grid AS (
       SELECT g.wk, g.wk{back} AS prior_wk, {at('', '')}, {at(back, '_prior')}
-      FROM (SELECT {lit(cfg.trend_start_week)} + (7 * i)::INT AS wk FROM range({cfg.trend_weeks}) r(i)) g
+      FROM (SELECT {lit(TREND_FIRST_WEEK)} + (7 * i)::INT AS wk FROM range({TREND_WEEKS}) r(i)) g
       LEFT JOIN (SELECT wk, stage, sum(n) AS n FROM (
                    FROM series UNION ALL SELECT week + 1, stage, n FROM weekly) a GROUP BY ALL) s
         ON s.wk = g.wk OR s.wk = g.wk{back}
@@ -533,7 +563,7 @@ def calibration() -> str:
     scope = lit(cfg.scope_country)
     raw = f"SELECT e.* FROM ({fx.ORDER_EVENTS_SQL}) e SEMI JOIN quarter ON event_date BETWEEN first_wk AND end_date"
     steps = [*quarter_steps(cfg), *session_steps(cfg, raw), *label_tables(cfg),
-             table("target", "stage, reference", cfg.calibration_targets), f"""fact AS (
+             table("target", "stage, reference", TARGETS), f"""fact AS (
       SELECT 'visits' AS stage, e.geo_country AS place, 1 AS n
       FROM entry e JOIN page_label p ON p.raw IS NOT DISTINCT FROM e.page_group WHERE p.acquisition
       UNION ALL
@@ -546,5 +576,123 @@ def calibration() -> str:
       SELECT stage, reference::BIGINT AS reference, coalesce(sum(n) FILTER (place = {scope}), 0)::BIGINT AS measured
       FROM target LEFT JOIN fact USING (stage) GROUP BY ALL)"""]
     return query(steps, f"""SELECT stage, measured, reference, round(off, 6)::DOUBLE AS delta_pct,
-        if(abs(off) > {cfg.tolerance_pct}, 'OVER', 'OK') AS flag
+        if(abs(off) > {TOLERANCE_PCT}, 'OVER', 'OK') AS flag
       FROM (SELECT *, coalesce((measured - reference) / nullif(reference, 0) * 100, 0) AS off FROM score) s""")
+
+
+# -- open domains, window tables, publication ------------------------------------------
+
+OPEN_DIMS = "landing_page, medium, entry_day, device, new_returning"
+CUBE_CAP = 30000
+#: days and lengths of the rolling windows: every day seen x 1 to 40 days
+ROLLING_RANGE, ROLLING_DAYS = (date(2024, 1, 1), date(2024, 1, 30)), 40
+
+
+def open_steps() -> list[str]:
+    """Up to ``shared``: open cells and placeholders with what each is given."""
+    cfg = fx.cube_config()
+    return [
+        *web_steps(cfg, source=fx.HOT_EVENTS_SQL), *label_tables(cfg), windows_table(),
+        *totals_steps(with_windows=False), f"""signed AS (
+      SELECT DISTINCT user_pseudo_id, session_id FROM seen WHERE event_name = {lit(cfg.signup_event)})""",
+        f"""open_cell AS (
+      SELECT period, coalesce(e.geo_country, 'Other') AS geo_country, coalesce(e.page_group, '(none)') AS landing_page,
+             coalesce(e.traffic_source_medium, '(none)') AS medium, CAST(e.session_date AS VARCHAR) AS entry_day, d.device,
+             if(e.fresh, 'new', 'returning') AS new_returning, count(*) FILTER (p.acquisition) AS visits,
+             count(s.session_id) AS activations, FALSE AS is_placeholder
+      FROM entry e JOIN win ON e.session_date BETWEEN opens AND closes
+      LEFT JOIN page_label p ON p.raw IS NOT DISTINCT FROM e.page_group
+      LEFT JOIN device_label d ON d.raw IS NOT DISTINCT FROM e.device_category
+      LEFT JOIN signed s ON s.user_pseudo_id = e.user_pseudo_id AND s.session_id = e.session_id
+      GROUP BY ALL)""",
+        f"""open_row AS (
+      SELECT *, sum(visits) OVER g AS group_visits, count(*) OVER g AS members,
+             row_number() OVER (PARTITION BY period, geo_country ORDER BY is_placeholder, {OPEN_DIMS}) AS pos
+      FROM (FROM open_cell UNION ALL
+            SELECT period, country, {", ".join(["'(aggregate)'"] * 5)}, 0, 0, TRUE FROM want
+            WHERE greatest(trials, paid) > 0 AND NOT EXISTS (SELECT 1 FROM open_cell o
+              WHERE o.period = want.period AND o.geo_country = want.country AND o.visits > 0)) u
+      WINDOW g AS (PARTITION BY period, geo_country))""",
+        """owed AS (
+      SELECT r.period, r.geo_country, pos, stage, total, visits, members, group_visits, (visits * total) % nullif(group_visits, 0) AS rest
+      FROM open_row r JOIN (UNPIVOT want ON trials, paid INTO NAME stage VALUE total) w
+        ON w.period = r.period AND w.country = r.geo_country)""",
+        """given AS (
+      SELECT period, geo_country, pos, stage, CASE
+        WHEN group_visits = 0 THEN floor((total + members - pos) / members)
+        WHEN total <= 0 THEN 0
+        ELSE (visits * total - rest) // group_visits
+           + (row_number() OVER (PARTITION BY period, geo_country, stage ORDER BY rest DESC, pos) * group_visits
+              <= sum(rest) OVER (PARTITION BY period, geo_country, stage))::INT END AS n
+      FROM owed)""",
+        f"""shared AS (
+      SELECT period, geo_country, {OPEN_DIMS}, visits::BIGINT AS visits, activations::BIGINT AS activations,
+             coalesce((SELECT n FROM given g WHERE g.period = r.period AND g.geo_country = r.geo_country AND g.pos = r.pos AND stage = 'trials'), 0)::BIGINT AS trials,
+             coalesce((SELECT n FROM given g WHERE g.period = r.period AND g.geo_country = r.geo_country AND g.pos = r.pos AND stage = 'paid'), 0)::BIGINT AS paid,
+             is_placeholder, group_visits::BIGINT AS group_visits
+      FROM open_row r)"""]
+
+
+def allocate_shares_open() -> str:
+    return query(open_steps(), "SELECT * FROM shared WHERE group_visits > 0")
+
+
+def allocate_even_split_open() -> str:
+    return query(open_steps(), "SELECT * EXCLUDE (group_visits) FROM shared WHERE group_visits = 0")
+
+
+def cube_top_30000() -> str:
+    return f"""SELECT * FROM ({fx.LINE_CELLS_SQL}) c
+      QUALIFY row_number() OVER (PARTITION BY period ORDER BY visits + trials + paid DESC, landing_family, channel, geo_country,
+        device, new_returning, activations, trials, paid) <= {CUBE_CAP}"""
+
+
+def rolling_step() -> str:
+    """``roll``: every day of ``seen`` as the last of 1 to 40 days."""
+    return f"""roll AS (
+      SELECT event_date || '/' || n AS period, event_date - (n - 1)::INT AS opens, event_date AS closes
+      FROM (SELECT DISTINCT event_date FROM seen) d, range(1, {ROLLING_DAYS + 1}) r(n))"""
+
+
+def window_table_sums() -> str:
+    cfg = fx.cube_config()
+    steps = [*web_steps(cfg, [ROLLING_RANGE]), *labelled_steps(cfg), rolling_step(), f"""dated AS (
+      SELECT session_date AS day, 1 AS visit, 0 AS activation FROM labelled WHERE acquisition
+      UNION ALL
+      SELECT min(event_date), 0, 1 FROM seen WHERE event_name = {lit(cfg.signup_event)} AND user_pseudo_id IS NOT NULL
+      GROUP BY user_pseudo_id)"""]
+    return query(steps, """SELECT period, sum(visit)::BIGINT AS visits, sum(activation)::BIGINT AS activations
+      FROM roll JOIN dated ON day BETWEEN opens AND closes GROUP BY period""")
+
+
+def window_signup_users() -> str:
+    cfg = fx.cube_config()
+    return query([*web_steps(cfg, [ROLLING_RANGE]), rolling_step()], f"""SELECT period, count(DISTINCT user_pseudo_id) AS users
+      FROM roll JOIN seen ON event_date BETWEEN opens AND closes WHERE event_name = {lit(cfg.signup_event)} GROUP BY period""")
+
+
+def weekly_violations() -> str:
+    return f"""WITH weekly AS ({fx.WEB_TRIALS_SQL}), dirty AS (
+      SELECT if(country_group = 'NATION_2', week + 1, week) AS week, country_group, agg_key FROM weekly
+      UNION ALL SELECT week, country_group, agg_key FROM weekly WHERE country_group = 'NATION_1'),
+    key AS (SELECT *, count(*) AS n, concat_ws(', ', week, coalesce(country_group, 'NULL'), agg_key) AS name FROM dirty GROUP BY ALL)
+    SELECT 'week is a Sunday' AS "check", coalesce(sum(n), 0)::BIGINT AS violations, min(week)::VARCHAR AS example
+    FROM key WHERE dayofweek(week) <> 0
+    UNION ALL SELECT 'key is unique', count(*), min(name) FROM key WHERE n > 1"""
+
+
+def extract_counts() -> str:
+    """K4: rows of the totals, the web cube, the cube and the trend grid."""
+    return query(allocation_steps(), f"""SELECT 'aggregate_totals' AS extract, count(*) AS rows FROM want
+      UNION ALL SELECT 'web_cube', count(*) FROM big_cell
+      UNION ALL SELECT 'cube', count(*) FROM cube
+      UNION ALL SELECT 'trend_weeks', {TREND_WEEKS}""")
+
+
+def cube_document_lines() -> str:
+    row = "{" + ", ".join(f"'{c}': {c}" for c in (*_CUBE_KEYS.split(", "), *STAGES)) + "}"
+    order = f"ORDER BY {_CUBE_KEYS}, {', '.join(STAGES)}"
+    return query(allocation_steps(), f"""SELECT row_number() OVER ({order}) AS line,
+             if(row_number() OVER ({order}) > 1, ',', '') || CAST(to_json({row}) AS VARCHAR) AS text FROM cube
+      UNION ALL SELECT 0, rtrim(CAST(to_json({{{_header_fields()}}}) AS VARCHAR), '}}') || ',"rows":['
+      UNION ALL SELECT count(*) + 1, ']}}' FROM cube""")

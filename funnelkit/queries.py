@@ -11,15 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from .config import DIMENSIONS
+from .functions.dates import monday_week
 from .operators.allocate import cell_visit_totals, missing_cells as _missing, top_per_group
+from .operators.bitmaps import daily_bitmaps, users_by_window
 from .operators.cube import activations_by_period as _acts, visits_by_period as _visits
 from .operators.sessions import entry_columns, filter_events, session_facts, sessions, signup_users, user_attributes
+from .operators.ranking import top_per_group_exact
 from .operators.totals import aggregate_totals as _totals, window_totals as _window_totals
+from .operators.windows import rolling_windows, sums_by_window
 from .plans import report as _report, trend as _trend
 from .plans.cube import session_dimensions, web_cube as _web_cube, window_cube as _window_cube
 from .plans.funnel import CUBE_COLUMNS, allocated_cube, funnel_cube as _funnel_cube
-from .sinks import cube_document, document_text, trend_document
-from .sources import fixtures as fx
+from .plans.job import run_build
+from .plans.open_cube import OPEN_DIMS, open_cube
+from .sinks import cube_document, cube_document_lines, document_text, read_published, trend_document
+from .sources import fixtures as fx, read_weekly, weekly_violations, windows_df
+from .storage import new_path
 
 
 def q_events_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,3 +263,140 @@ QUERIES.update({
     "calibration": (q_calibration, O.calibration),
     "period_totals": (q_period_totals, O.period_totals),
 })
+
+
+# -- open domains, window tables, publication ------------------------------------
+
+
+def _open_cube(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.cube_config().with_(top_countries=None)
+    return open_cube(fx.hot_events(spark, sf), fx.web_trials(spark, sf), fx.web_paid(spark, sf), cfg)
+
+
+_OPEN = ("period", "geo_country", *OPEN_DIMS, "visits", "activations", "trials", "paid", "is_placeholder")
+
+
+def q_allocate_shares_open(spark: SparkSession, sf: str) -> DataFrame:
+    """M3, M4 where one (period, country) holds a third of the cells and more."""
+    return _open_cube(spark, sf).filter(F.col("group_visits") > 0).select(*_OPEN, "group_visits")
+
+
+def q_allocate_even_split_open(spark: SparkSession, sf: str) -> DataFrame:
+    """M6 and J10 on groups of any size."""
+    return _open_cube(spark, sf).filter(F.col("group_visits") == 0).select(*_OPEN)
+
+
+def q_cube_top_30000(spark: SparkSession, sf: str) -> DataFrame:
+    """M8 at the source job's cap, on more rows than that."""
+    order = ("landing_family", "channel", "geo_country", "device", "new_returning", "activations", "trials", "paid")
+    return top_per_group_exact(fx.line_cells(spark, sf), O.CUBE_CAP, F.col("visits") + F.col("trials") + F.col("paid"),
+                               ("period",), order)
+
+
+def _rolling(spark: SparkSession, sf: str) -> DataFrame:
+    days = filter_events(fx.web_events(spark, sf), fx.cube_config(), [O.ROLLING_RANGE]).select("event_date")
+    return rolling_windows(days, O.ROLLING_DAYS)
+
+
+def q_window_table_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """J7 with 1,000+ overlapping windows as a table: visits and sign-up users."""
+    cfg = fx.cube_config()
+    dims = session_dimensions(fx.web_events(spark, sf), cfg, [O.ROLLING_RANGE])
+    visits = dims.filter("is_acq = 1").select(F.col("session_date").alias("day"), F.lit(1).alias("visits"),
+                                              F.lit(0).alias("activations"))
+    users = signup_users(dims, cfg).filter(F.col("user_pseudo_id").isNotNull()).select(
+        F.col("signup_date").alias("day"), F.lit(0).alias("visits"), F.lit(1).alias("activations"))
+    return sums_by_window(visits.unionByName(users), "day", _rolling(spark, sf), (),
+                          {"visits": F.col("visits"), "activations": F.col("activations")})
+
+
+def q_activations_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """A9 from daily bitmaps."""
+    cfg = fx.cube_config()
+    users = signup_users(session_dimensions(fx.web_events(spark, sf), cfg), cfg)
+    return users_by_window(daily_bitmaps(users, "user_pseudo_id", "signup_date", DIMENSIONS), "signup_date",
+                           windows_df(spark, cfg), DIMENSIONS, into="activations")
+
+
+def _signup_days(spark: SparkSession, sf: str, events: DataFrame, cfg, ranges) -> DataFrame:
+    return filter_events(events, cfg, ranges).filter(F.col("event_name") == cfg.signup_event).select(
+        "user_pseudo_id", "event_date")
+
+
+def q_weekly_activations_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """A14 from daily bitmaps: the weeks are windows."""
+    cfg = fx.trend_config()
+    rows = _signup_days(spark, sf, fx.order_events(spark, sf), cfg, cfg.trend_ranges)
+    weeks = rows.select(monday_week(F.col("event_date")).alias("start")).distinct().select(
+        F.col("start").alias("period"), "start", F.date_add("start", 6).alias("end"))
+    return users_by_window(daily_bitmaps(rows, "user_pseudo_id", "event_date"), "event_date", weeks,
+                           into="activations").withColumnRenamed("period", "wk")
+
+
+def q_window_signup_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct users with a sign-up in each of 1,000+ overlapping windows."""
+    rows = _signup_days(spark, sf, fx.web_events(spark, sf), fx.cube_config(), [O.ROLLING_RANGE])
+    return users_by_window(daily_bitmaps(rows, "user_pseudo_id", "event_date"), "event_date", _rolling(spark, sf))
+
+
+def q_weekly_aggregate_prev_year_scoped(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = fx.trend_config()
+    s, e = O.prev_year_range(cfg)
+    return _trend.weekly_aggregate_prev_year(fx.order_trials(spark, sf), fx.order_paid(spark, sf), s, e, cfg.scope_country)
+
+
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A weekly frame as a stored table, read by the library's weekly reader."""
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    return read_weekly(spark, path, df.schema)
+
+
+def q_weekly_reader_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Both weekly tables through ``read_weekly``, checked."""
+    return _window_totals(_stored(spark, fx.web_trials(spark, sf), "trials.parquet"),
+                          _stored(spark, fx.web_paid(spark, sf), "paid.parquet"), fx.cube_config())
+
+
+def q_weekly_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar checks as counts, on a table with moved and repeated weeks."""
+    rows = fx.web_trials(spark, sf)
+    moved = rows.withColumn("week", F.when(F.col("country_group") == "NATION_2", F.date_add("week", 1)).otherwise(F.col("week")))
+    return weekly_violations(moved.unionByName(rows.filter(F.col("country_group") == "NATION_1")))
+
+
+def q_extract_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: the rows of the extracts, as the build reports them."""
+    out = run_build(spark, *_cube_inputs(spark, sf), fx.cube_config(), new_path(spark, "counted"),
+                    trend_inputs=_trend_inputs(spark, sf), top_rows=O.CUBE_CAP)
+    return spark.read.parquet(out["row_counts"])
+
+
+def q_published_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 + K3 as one publication: the cube that the newest manifest names."""
+    root = new_path(spark, "published")
+    run_build(spark, *_cube_inputs(spark, sf), fx.cube_config(), root, trend_inputs=_trend_inputs(spark, sf))
+    return read_published(spark, root, "cube")
+
+
+def q_cube_document_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 + K3 as a stream of numbered pieces."""
+    cfg = fx.cube_config()
+    return cube_document_lines(_funnel_cube(*_cube_inputs(spark, sf), cfg), cfg)
+
+
+QUERIES.update({
+    "allocate_shares_open": (q_allocate_shares_open, O.allocate_shares_open),
+    "allocate_even_split_open": (q_allocate_even_split_open, O.allocate_even_split_open),
+    "cube_top_30000": (q_cube_top_30000, O.cube_top_30000),
+    "window_table_sums": (q_window_table_sums, O.window_table_sums),
+    "activations_bitmap": (q_activations_bitmap, O.activations_by_period),
+    "weekly_activations_bitmap": (q_weekly_activations_bitmap, O.weekly_activations),
+    "window_signup_users": (q_window_signup_users, O.window_signup_users),
+    "weekly_aggregate_prev_year_scoped": (q_weekly_aggregate_prev_year_scoped, O.weekly_aggregate_prev_year_scoped),
+    "weekly_reader_totals": (q_weekly_reader_totals, O.window_totals_by_group),
+    "weekly_violations": (q_weekly_violations, O.weekly_violations),
+    "extract_counts": (q_extract_counts, O.extract_counts),
+    "published_cube": (q_published_cube, O.funnel_cube),
+    "cube_document_lines": (q_cube_document_lines, O.cube_document_lines),
+})

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import STAGES, FunnelConfig
+from ..operators.ranking import numbered
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}  # Spark drops null fields by default
 
@@ -54,6 +55,29 @@ def cube_document(cube: DataFrame, cfg: FunnelConfig) -> DataFrame:
     return cube_header(cube.sparkSession, cfg).crossJoin(rows)
 
 
+def cube_document_lines(cube: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """K1 + K3 as a stream: the text of ``cube_document`` in numbered pieces
+    (line, text) that joined in order give the same bytes, for any number of
+    rows and an open country list.  Line 0 opens the document, each row is a
+    line, the last line closes it; no row count bounds it, since the rows are
+    numbered by one range-partitioned sort (``numbered``)."""
+    spark = cube.sparkSession
+    rows = numbered(cube, [], [F.col(c).asc_nulls_first() for c in cube.columns], "document_rows", into="line")
+    comma = F.when(F.col("line") > 0, ",").otherwise("")
+    lines = rows.select((F.col("line") + 1).alias("line"), F.concat(comma, F.to_json(F.struct(*cube.columns))).alias("text"))
+    header = cube_header(spark, cfg).select(F.to_json(F.struct("as_of", "windows", "stages")).alias("text"))
+    opening = header.select(F.lit(0).cast("long").alias("line"), F.concat(
+        F.expr("left(text, length(text) - 1)"), F.lit(',"rows":[')).alias("text"))
+    closing = rows.agg((F.count(F.lit(1)) + 1).alias("line")).withColumn("text", F.lit("]}"))
+    return opening.unionByName(lines).unionByName(closing)
+
+
+def write_document_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write numbered lines as text parts in order: the part files, read by
+    name, are the document, with a line break (white space to JSON) after each piece."""
+    lines.repartitionByRange("line").sortWithinPartitions("line").select("text").write.mode(mode).text(path)
+
+
 def trend_document(arrays: DataFrame) -> DataFrame:
     """K2: {weeks, weeks_prior_year, stages, series_current{..}, series_prior{..}}."""
     return arrays.select(

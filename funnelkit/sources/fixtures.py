@@ -41,6 +41,7 @@ MEDIUMS = ("CPC", "paid_social", "organic", "social", "Email", "affiliate", "ref
            "(none)", "podcast", "qr", None)
 KB_NATION = 4          # every page of this nation is a help page (no acquisition visits)
 NO_GEO_NATION = 5      # this nation has no geo at all
+HOT_COUNTRY = "NATION_1"
 TOP_NATIONS = tuple(f"NATION_{i}" for i in range(7))
 BRIDGE = tuple((f"NATION_{i}", f"NATION_{i}") for i in range(6)) + (("NATION_6", "Other"), ("ROW", "Other"))
 BRIDGE_HEADLINE = tuple((f"NATION_{i}", f"NATION_{i}") for i in range(7)) + (("ROW", "Other"),)
@@ -72,6 +73,9 @@ def trend_config() -> FunnelConfig:
 # Declared schemas of the driver tables that are read: no inference job per
 # read, and a changed file fails fast instead of silently re-typing a column.
 TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -134,6 +138,25 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").alias("nk"), "n_name"))
 
 
+def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``web_events`` with a third of the users in one country."""
+    hot = F.col("user_pseudo_id").cast("long") % 3 == 0
+    return web_events(spark, sf_dir).withColumn("geo_country", F.when(hot, HOT_COUNTRY).otherwise(F.col("geo_country")))
+
+
+def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as cube cells, most of them in one period, with many equal
+    scores: more rows than the source job's cap from sf0.01 on."""
+    line = read_table(spark, sf_dir, "lineitem")
+    text = {"landing_family": "l_returnflag", "channel": "l_linenumber", "geo_country": "l_suppkey",
+            "device": "l_orderkey", "new_returning": "l_partkey"}
+    return line.select(
+        F.when(F.col("l_linenumber") == 7, "prior").otherwise("current").alias("period"),
+        *[F.col(c).cast("string").alias(k) for k, c in text.items()],
+        F.col("l_quantity").cast("long").alias("visits"), F.col("l_linenumber").cast("long").alias("activations"),
+        F.round(F.col("l_tax") * 100).cast("long").alias("trials"), F.round(F.col("l_discount") * 100).cast("long").alias("paid"))
+
+
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
@@ -236,6 +259,17 @@ WEB_EVENTS_SQL = _shape_sql("""
              c.c_nationkey AS nk, n.n_name AS n_name
       FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 
+HOT_EVENTS_SQL = f"""SELECT * REPLACE (CASE WHEN CAST(user_pseudo_id AS BIGINT) % 3 = 0 THEN '{HOT_COUNTRY}'
+      ELSE geo_country END AS geo_country) FROM ({WEB_EVENTS_SQL}) w"""
+
+LINE_CELLS_SQL = """
+      SELECT CASE WHEN l_linenumber = 7 THEN 'prior' ELSE 'current' END AS period, l_returnflag AS landing_family,
+             CAST(l_linenumber AS VARCHAR) AS channel, CAST(l_suppkey AS VARCHAR) AS geo_country,
+             CAST(l_orderkey AS VARCHAR) AS device, CAST(l_partkey AS VARCHAR) AS new_returning,
+             CAST(l_quantity AS BIGINT) AS visits, CAST(l_linenumber AS BIGINT) AS activations,
+             CAST(round(l_tax * 100) AS BIGINT) AS trials, CAST(round(l_discount * 100) AS BIGINT) AS paid
+      FROM lineitem"""
+
 ORDER_EVENTS_SQL = _shape_sql("""
       SELECT o.o_orderkey AS seq, o.o_custkey AS uid, o.o_orderdate AS ts,
              CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS VARCHAR) AS session_id,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FunnelConfig
+from .checks import checked_weekly
 
 EVENT_COLUMNS = (
     "event_seq", "user_pseudo_id", "session_id", "event_name", "event_timestamp", "event_date",
@@ -59,9 +60,11 @@ def event_columns(df: DataFrame) -> DataFrame:
     return df.select(*EVENT_COLUMNS)
 
 
-def read_weekly(spark: SparkSession, source: str, schema=None) -> DataFrame:
-    """A weekly aggregate table (trials or bookings)."""
-    return load_table(spark, source, schema)
+def read_weekly(spark: SparkSession, source: str, schema=None, check: bool = True) -> DataFrame:
+    """A weekly aggregate table (trials or bookings), with its weeks and
+    keys checked inside the plan (``checked_weekly``)."""
+    weekly = load_table(spark, source, schema)
+    return checked_weekly(weekly) if check else weekly
 
 
 # -- S4 literal tables --------------------------------------------------------
