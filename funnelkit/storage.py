@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.  Where it is unset a temporary
     folder takes its place, on one machine only: on a cluster the executors
@@ -17,8 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError(f"spark.checkpoint.dir must name a shared folder (master {master})")
-        folder = tempfile.mkdtemp(prefix="funnelkit-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        # a running session does not take the setting; its folder is kept here
+        folder = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="funnelkit-shared-"))
     return folder.rstrip("/")
 
 
@@ -31,4 +34,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     result survives lost executors and is computed once."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written``, after the last one that reads them
+    has itself been written."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

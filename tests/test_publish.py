@@ -158,8 +158,12 @@ def test_the_shared_folder_is_required_on_a_cluster():
 
         class sparkContext:
             master = "local-cluster[3,2,1024]"
+            applicationId = "app"
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
     Session.conf["spark.checkpoint.dir"] = "hdfs://shared/"
     assert shared_folder(Session()) == "hdfs://shared"
+    Session.conf.clear()
+    Session.sparkContext.master = "local[2]"
+    assert shared_folder(Session()) == shared_folder(Session())
