@@ -10,22 +10,33 @@ of 5 a pair at similarity 0.8 escapes with probability (1 - 0.8**5)**40, about
 1e-7, and the signature filter sits six standard deviations lower.
 
 Candidates come in two rounds, so that a bucket never emits all its pairs.
-First each member meets its bucket's hub (the member first by a fixed hash).
-After the components of those links are known, members outside the bucket's
-largest component meet the bucket's members of other components; pairs inside
-one component can change nothing.  Components are found by alternating
-large-star and small-star until the links stay as they are.
+First each member meets its bucket's hub: the member that shares most buckets,
+which for edited copies is the text they were made from.  The components of
+those links are known then.  The classes of buckets that still hold several
+components go through an exact prefix-filter join on their full sets: shingles
+are ordered by how rare they are among these classes, and two sets at the
+threshold share one of the first n - ceil(t * n) + 1, at places that leave room
+for the overlap they need.  A list of at most ``LIST``
+classes for a shingle is compared whole; a longer one meets ``HUBS`` of its
+members at a time, which then leave it, until it is short or one component.
+Pairs inside one component can change nothing and are never compared.
+Components are found by alternating large-star and small-star until the links
+stay as they are.
 
 Scale: buckets, hubs and star minima are salted partial aggregates, so a
 group that holds a third of all rows is split over ``SALTS`` tasks or more;
-sets are built again from the text for candidate classes only.  Every round is
-written to the shared folder, which cuts lineage.
+sets are built again from the text for candidate classes only.  Shingles are
+counted in 2**20 hashed counters, whose table has that size for any input.
+Every round is written to the shared folder, which cuts lineage; a table is
+deleted when what reads it is written.
 
 Defined results: null or empty text, or one without words, has an empty set,
 is linked with nothing and is its own component; a text with fewer words than
 a shingle is one shingle; a component's id is its smallest doc_id (null only
-if all are); rows that repeat a doc_id take part each; an empty table gives no
-rows; other columns are ignored.
+if all are); rows that repeat a doc_id take part each, with their own text; an
+empty table gives no rows; other columns are ignored.  ``one_of_each`` keeps of
+each component the row of the smallest (doc_id, hash of the text), nulls last,
+and one of the rows that are equal in both.
 """
 
 from __future__ import annotations
@@ -39,10 +50,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .storage import written
+from ..operators.ranking import salted_join
+from .storage import discard, written
 from .text import space_words, utf8
 
 BANDS, ROWS = 40, 5
+LIST, HUBS = 64, 32
+_COUNTERS = 1 << 20
 SALTS = 32
 SEED = 11
 _WORDS_KEPT = 1 << 18
@@ -88,45 +102,54 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
-def _signatures(docs: DataFrame, shingle: int, hashes: int) -> DataFrame:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (a, b) = WordHashes(), multipliers(hashes)
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """64-bit bucket keys (documents, bands) of signatures (documents, bands, rows)."""
+    key = np.broadcast_to(np.arange(1, sig.shape[1] + 1, dtype=np.uint64), sig.shape[:2]).copy()
+    for k in range(sig.shape[2]):
+        key = (key ^ sig[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(32)
+    return key
+
+
+def _signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """Per row of ``docs`` (doc_id, place, text): set size, class, band keys, and
+    the low byte of every minimum (equal minima have equal bytes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, (a, b) = WordHashes(), multipliers(bands * rows)
+        none = np.zeros(bands * rows, "<u4")
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                sets = [shingle_set(space_words(t, lower=True), shingle, known) for t in utf8(part.column(1))]
+                sets = [shingle_set(space_words(t, lower=True), shingle, known) for t in utf8(part.column(2))]
+                sig = np.stack([signature(s, a, b) if len(s) else none for s in sets])
+                keys = band_keys(sig.reshape(-1, bands, rows))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                     pa.array([signature(s, a, b).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "n", "cls", "sig"])
+                     pa.array([k.tobytes() for k in keys], pa.binary()),
+                     pa.array([x.tobytes() for x in sig.astype(np.uint8)], pa.binary())],
+                    ["doc_id", "place", "n", "cls", "keys", "sig"])
 
-    return docs.mapInArrow(rows, "doc_id long, n long, cls binary, sig binary")
+    return docs.mapInArrow(run, "doc_id long, place long, n long, cls binary, keys binary, sig binary")
 
 
-def _band_rows(classes: DataFrame, bands: int, rows: int) -> DataFrame:
+def _band_rows(classes: DataFrame, bands: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4").reshape(-1, bands, rows)
-            key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), sig.shape[:2]).copy()
-            for k in range(rows):
-                key = (key ^ sig[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(32)
-            who = np.repeat(np.arange(batch.num_rows), bands)
+            key = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<i8")
+            who = pa.array(np.repeat(np.arange(batch.num_rows), bands))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.reshape(-1).view(np.int64)), batch.column(0).take(pa.array(who)),
-                 batch.column(1).take(pa.array(who))], ["bucket", "cls", "n"])
+                [pa.array(key), batch.column(0).take(who), batch.column(1).take(who)], ["bucket", "cls", "n"])
 
-    return classes.select("cls", "n", "sig").mapInArrow(cut, "bucket long, cls binary, n long")
+    return classes.select("cls", "n", "keys").mapInArrow(cut, "bucket long, cls binary, n long")
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """``rows`` (bucket, cls, n) of buckets with more than one class, with the
-    bucket's ``hub``.  The counts are partial sums, so a hot bucket is read by
+    """``rows`` (bucket, cls, n) of buckets with more than one class, with their
+    number, ``many``.  The counts are partial sums, so a hot bucket is read by
     many tasks; the rows join them in the salted key."""
-    first = F.struct(F.xxhash64("cls").alias("h"), "cls", "n")
-    many = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), F.min(first).alias("hub")).filter("many > 1")
-    many = written(many, "buckets")
+    many = written(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).filter("many > 1"), "buckets")
     parts = many.withColumn("salt", F.explode(F.sequence(
         F.lit(0), F.least(F.lit(SALTS - 1), F.expr("cast(many div 64 as int)")))))
     # rows do not know whether their bucket is hot: salt 0 unless it is
@@ -134,7 +157,20 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
                                            .alias("salts"))
     rows = rows.join(hot, "bucket", "left") if hot.head(1) else rows.withColumn("salts", F.lit(None).cast("int"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("cls"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
-    return rows.join(parts, ["bucket", "salt"]).select("bucket", "cls", "n", "hub")
+    found = written(rows.join(parts, ["bucket", "salt"]).select("bucket", "cls", "n", "many"), "shared")
+    discard(many)
+    return found
+
+
+def hub_pairs(shared: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of every member with its bucket's hub: the member whose
+    buckets hold most members together, ties by a fixed hash."""
+    degree = shared.groupBy("cls").agg(F.sum("many").alias("degree"))
+    rows = shared.join(degree, "cls").select("bucket", "cls", "n", "degree")
+    hubs = rows.groupBy("bucket").agg(F.max(F.struct("degree", F.xxhash64("cls").alias("h"), "cls", "n")).alias("hub"))
+    return salted_join(rows, hubs, ["bucket"]).filter("cls <> hub.cls").select(
+        F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b"),
+        F.col("n").alias("n_a"), F.col("hub.n").alias("n_b")).filter(_alike(similarity)).select("a", "b").distinct()
 
 
 def _alike(similarity: int) -> str:
@@ -142,16 +178,37 @@ def _alike(similarity: int) -> str:
     return f"100 * least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)"
 
 
+def class_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(cls, items): the sets of the ``wanted`` classes (cls), built again from
+    the text of one row of each."""
+    first = classes.join(wanted, "cls").select("cls", F.col("doc_id").alias("rep"), "place")
+    texts = docs.join(first, (docs["place"] == first["place"]) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                found = [shingle_set(space_words(t, lower=True), shingle, known).tobytes() for t in utf8(part.column(1))]
+                same = [k for k, (x, s) in enumerate(zip(part.column(0).to_pylist(), found)) if x == xxhash.xxh3_128_digest(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(same, pa.int64())), pa.array([found[k] for k in same], pa.binary())],
+                    ["cls", "items"])
+
+    # rows that are equal in id and text give the same set more than once
+    return written(texts.mapInArrow(sets, "cls binary, items binary").dropDuplicates(["cls"]), "sets")
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, similarity: int,
-              hashes: int) -> DataFrame:
-    """The pairs (a, b) that hold on signatures and then on full sets."""
+              hashes: int, sets: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) that hold on signatures and then on full sets, written."""
     share = similarity / 100
     least = hashes * (share - 6 * (share * (1 - share) / hashes) ** 0.5)
 
     @F.arrow_udf("boolean")
     def agree(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for x, y in batches:
-            same = [int((np.frombuffer(p, "<u4") == np.frombuffer(q, "<u4")).sum()) >= least
+            same = [int((np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)).sum()) >= least
                     for p, q in zip(x.to_pylist(), y.to_pylist())]
             yield pa.array(same, pa.bool_())
 
@@ -172,22 +229,101 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
 
     likely = written(joined(pairs, classes, "sig").filter(agree.asNondeterministic()("v_a", "v_b")).select("a", "b"),
                      "likely")
-    wanted = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct()
-    wanted = classes.select("cls", F.col("doc_id").alias("rep")).join(wanted, "cls")
+    own = sets is None
+    if own:
+        sets = class_sets(likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct(), classes, docs, shingle)
+    links = written(joined(likely, sets, "items").filter(near.asNondeterministic()("v_a", "v_b")).select("a", "b"), "links")
+    discard(likely, *([sets] if own else []))
+    return links
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+
+# -- the exact join of what the hubs left apart -----------------------------------
+
+
+def _counter(items: np.ndarray) -> np.ndarray:
+    return (items * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(44)).astype(np.int64)
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets of ``sets`` (cls, items) hold a shingle of each counter."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(_COUNTERS, np.int64)
         for batch in batches:
-            found = [shingle_set(space_words(t, lower=True), shingle, known).tobytes() for t in utf8(batch.column(1))]
-            own = [xxhash.xxh3_128_digest(s) for s in found]
-            at = [k for k, (x, y) in enumerate(zip(batch.column(0).to_pylist(), own)) if x == y]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([own[k] for k in at], pa.binary()), pa.array([found[k] for k in at], pa.binary())],
-                ["cls", "items"])
+            for items in batch.column(0).to_pylist():
+                np.add.at(sums, _counter(np.frombuffer(items, "<u8")), 1)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())], ["counter", "n"])
+
+    table = sets.select("items").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(_COUNTERS, np.int64)
+    counts[table["counter"].to_numpy()] = table["n"].to_numpy()
+    return counts
+
+
+def _prefixes(sets: DataFrame, similarity: int) -> DataFrame:
+    """(token, cls, place): the rarest shingles of each set, as many as the
+    threshold asks for, with their place in its order."""
+    shared = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))  # _COUNTERS numbers
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                firsts = []
+                for items in part.column(1).to_pylist():
+                    items = np.frombuffer(items, "<u8")
+                    order = np.lexsort((items, counts[_counter(items)]))
+                    least = -(-similarity * len(items) // 100)
+                    firsts.append(items[order[:len(items) - least + 1]])
+                who = pa.array(np.repeat(np.arange(part.num_rows), [len(f) for f in firsts]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(firsts).view(np.int64)), part.column(0).take(who),
+                     pa.array(np.concatenate([np.arange(len(f)) for f in firsts]))], ["token", "cls", "place"])
+
+    return sets.select("cls", "items").mapInArrow(cut, "token long, cls binary, place long")
 
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
-    table = written(texts.mapInArrow(sets, "cls binary, items binary").dropDuplicates(["cls"]), "sets")
-    return joined(likely, table, "items").filter(near.asNondeterministic()("v_a", "v_b")).select("a", "b")
+
+def apart_links(apart: DataFrame, known: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int,
+                similarity: int, hashes: int) -> DataFrame:
+    """``known`` (cls, root) with all links between the classes of ``apart``
+    (cls, n) that lie in different components."""
+    sets = class_sets(apart.select("cls"), classes, docs, shingle)
+    lists = written(_prefixes(sets, similarity).join(apart, "cls").select("token", "cls", "n", "place"), "lists")
+    # sizes that allow the similarity, and an overlap from these places on that does
+    fits = f"{_alike(similarity)} AND {100 + similarity} * least(n_a - place_a, n_b - place_b) >= {similarity} * (n_a + n_b)"
+    while True:
+        rooted = lists.join(known, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        kinds = rooted.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("root").alias("low"),
+                                            F.max("root").alias("high")).filter("low <> high").select("token", "k")
+        table = written(salted_join(rooted, kinds, ["token"]), "mixed")
+        discard(lists)
+        if not table.head(1):
+            discard(sets, table)
+            return known
+        mixed = table.withColumnsRenamed({"n": "n_a", "place": "place_a"})
+        other = lambda t: t.select("token", F.col("cls").alias("other"), F.col("n_a").alias("n_b"),
+                                   F.col("place_a").alias("place_b"), F.col("root").alias("root_b"))
+        short, long = mixed.filter(F.col("k") <= LIST), mixed.filter(F.col("k") > LIST)
+        every = short.join(other(short), "token").filter(f"cls < other AND root <> root_b AND {fits}").select("cls", "other")
+        # one member of each of HUBS parts of a long list
+        hubs = long.groupBy("token", F.pmod(F.xxhash64("cls"), F.lit(HUBS)).alias("part")).agg(
+            F.min(F.struct(F.xxhash64("cls", "token").alias("h"), "cls", "n_a", "place_a", "root")).alias("hub")).select(
+            "token", "hub.cls", "hub.n_a", "hub.place_a", "hub.root")
+        hubs = written(hubs, "hubs")
+        some = salted_join(long, other(hubs), ["token"]).filter(f"cls <> other AND root <> root_b AND {fits}").select("cls", "other")
+        pairs = written(every.union(some).select(
+            F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct(), "pairs")
+        lists = written(long.join(hubs, ["token", "cls"], "left_anti").select(
+            "token", "cls", F.col("n_a").alias("n"), F.col("place_a").alias("place")), "lists")
+        links = confirmed(pairs, classes, docs, shingle, similarity, hashes, sets)
+        discard(table, hubs, pairs)
+        if links.head(1):
+            before = known
+            known = components(known.select(F.col("cls").alias("a"), F.col("root").alias("b")).union(links))
+            discard(before)
+        discard(links)
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -207,64 +343,78 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         print_ = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if print_ == seen or not print_[0]:
-            return edges.select(F.col("u").alias("cls"), F.col("v").alias("root")).union(
-                edges.select("v", "v").distinct())
+            found = written(edges.select(F.col("u").alias("cls"), F.col("v").alias("root")).union(
+                edges.select("v", "v").distinct()), "components")
+            discard(edges)
+            return found
         seen = print_
         both = edges.select("u", "v").union(edges.select("v", "u"))
         large = _star(both).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         small = _star(large)
         small = small.select("u", F.col("m").alias("v")).union(
             small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = written(small.distinct(), "edges")
+        before, edges = edges, written(small.distinct(), "edges")
+        discard(before)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, bands: int = BANDS,
-                    rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)
-    of every row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def judged(docs: DataFrame, shingle: int = 5, similarity: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, place, n, root, component_id) of every row of ``docs`` (doc_id,
+    text): ``place`` is a hash of its text, ``root`` its component (null without
+    words)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("place"), "text")
     hashes = bands * rows
-    members = written(_signatures(docs, shingle, hashes), "members")
-    classes = written(members.filter("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    buckets = written(shared_buckets(_band_rows(classes, bands, rows)), "shared")
-    hubs = buckets.filter("cls <> hub.cls").select(
-        F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b"),
-        F.col("n").alias("n_a"), F.col("hub.n").alias("n_b")).filter(_alike(similarity)).select("a", "b").distinct()
-    links = written(confirmed(hubs, classes, docs, shingle, similarity, hashes), "links")
+    full = written(_signatures(docs, shingle, bands, rows), "signatures")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("first")
+    classes = written(full.filter("n > 0").groupBy("cls").agg(
+        first, F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")).select(
+        "cls", "first.doc_id", "first.place", "n", "keys", "sig"), "classes")
+    members = written(full.select("doc_id", "place", "n", "cls"), "members")
+    discard(full)
+    shared = shared_buckets(_band_rows(classes, bands))
+    links = confirmed(hub_pairs(shared, similarity), classes, docs, shingle, similarity, hashes)
     known = components(links)
-    known = written(known, "known")
-
-    labelled = buckets.select("bucket", "cls", "n").join(known, "cls", "left").select(
-        "bucket", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    sizes = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
-    mixed = sizes.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("roots"), F.max(F.struct("k", "root")).alias("top")).filter("roots > 1")
-    labelled = written(labelled.join(mixed.select("bucket", F.col("top.root").alias("top")), "bucket"), "mixed")
-    minor = labelled.filter("root <> top").select("bucket", F.col("cls").alias("x"), F.col("n").alias("n_a"),
-                                                  F.col("root").alias("root_x"))
-    rest = minor.join(labelled.select("bucket", "cls", F.col("n").alias("n_b"), "root", "top"), "bucket").filter(
-        f"root <> root_x AND (root = top OR x < cls) AND {_alike(similarity)}").select(
-        F.least("x", "cls").alias("a"), F.greatest("x", "cls").alias("b")).distinct()
-    rest = written(rest, "rest")
-    if rest.head(1):
-        more = confirmed(rest, classes, docs, shingle, similarity, hashes)
-        known = components(known.select(F.col("cls").alias("a"), F.col("root").alias("b")).union(more))
-        known = written(known, "components")
+    labelled = shared.join(known, "cls", "left").select("bucket", "cls", "n", F.coalesce("root", "cls").alias("root"))
+    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
+        "low <> high").select("bucket")
+    apart = written(salted_join(labelled, mixed, ["bucket"]).select("cls", "n").distinct(), "apart")
+    discard(shared, links)
+    if apart.head(1):
+        known = apart_links(apart, known, classes, docs, shingle, similarity, hashes)
+    discard(apart)
     whole = classes.select("cls", "doc_id").join(known, "cls").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = known.join(whole, "root").select("cls", "component_id")
+    linked = known.join(whole, "root").select("cls", "root", "component_id")
     own = classes.select("cls", F.col("doc_id").alias("first_id")).join(linked, "cls", "left").select(
-        "cls", F.coalesce("component_id", "first_id").alias("component_id"))
-    full = members.filter("n > 0").select("doc_id", "n", "cls").join(own, "cls").select("doc_id", "n", "component_id")
-    return full.union(members.filter("n = 0").select("doc_id", "n", "doc_id")).withColumnRenamed("n", "n_shingles")
+        "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("component_id", "first_id").alias("component_id"))
+    found = members.filter("n > 0").join(own, "cls").select("doc_id", "place", "n", "root", "component_id")
+    return found.union(members.filter("n = 0").select("doc_id", "place", "n", F.lit(None).cast("binary"), "doc_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, bands: int = BANDS,
+                    rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)
+    of every row of ``docs`` (doc_id, text)."""
+    return judged(docs, shingle, similarity, bands, rows).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group (five words,
-    0.8): the one with the smallest doc_id; columns as they are."""
-    judged = near_duplicates(docs.select("doc_id", "text"))
-    go = judged.filter("doc_id <> component_id").select(F.col("doc_id").alias("__go")).distinct()
-    return docs.join(go, docs["doc_id"] == go["__go"], "left_anti")
+    """``docs`` with one row of each near-duplicate group (five words, 0.8); rows
+    without words stay; columns as they are."""
+    rows = written(judged(docs.select("doc_id", "text")).filter("n > 0").groupBy("root", "doc_id", "place").agg(
+        F.count(F.lit(1)).alias("k")), "judged")
+    # one row per component: the key that stays
+    stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("s")).select(
+        "root", F.col("s.doc_id").alias("__id"), F.col("s.place").alias("__place"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("place") == F.col("__place"))
+    kept = salted_join(rows, stays, ["root"]).select("doc_id", "place", "k", same.alias("stays"))
+    key = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("place").alias("__at"))
+    match = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__at"))
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    left = keyed.join(key(kept.filter("NOT stays")), match, "left_anti")
+    again = key(kept.filter("stays AND k > 1"))
+    if again.head(1):
+        equal = left.join(again, match, "left_semi").dropDuplicates(["doc_id", "__key"])
+        left = left.join(again, match, "left_anti").unionByName(equal)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,29 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from ..storage import discard, new_path, shared_folder, written
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary one is set only
-    where it is unset (tests on one machine)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet into the shared folder and read back: the
-    result survives lost executors and is computed once."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["discard", "new_path", "shared_folder", "written"]
