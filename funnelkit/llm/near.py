@@ -16,10 +16,10 @@ those links are known then.  The classes of buckets that still hold several
 components go through an exact prefix-filter join on their full sets: shingles
 are ordered by how rare they are among these classes, and two sets at the
 threshold share one of the first n - ceil(t * n) + 1, at places that leave room
-for the overlap they need.  A list of at most ``LIST``
-classes for a shingle is compared whole; a longer one meets ``HUBS`` of its
-members at a time, which then leave it, until it is short or one component.
-Pairs inside one component can change nothing and are never compared.
+for the overlap they need.  The members of a shingle's list outside its largest
+component meet the members of other components; sizes and places are part of
+the join's condition, so only pairs that can still hold leave it.  Pairs inside
+one component can change nothing and are never compared.
 Components are found by alternating large-star and small-star until the links
 stay as they are.
 
@@ -55,7 +55,6 @@ from .storage import discard, written
 from .text import space_words, utf8
 
 BANDS, ROWS = 40, 5
-LIST, HUBS = 64, 32
 _COUNTERS = 1 << 20
 SALTS = 32
 SEED = 11
@@ -288,42 +287,30 @@ def _prefixes(sets: DataFrame, similarity: int) -> DataFrame:
 def apart_links(apart: DataFrame, known: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int,
                 similarity: int, hashes: int) -> DataFrame:
     """``known`` (cls, root) with all links between the classes of ``apart``
-    (cls, n) that lie in different components."""
+    (cls, n, root) that lie in different components."""
     sets = class_sets(apart.select("cls"), classes, docs, shingle)
-    lists = written(_prefixes(sets, similarity).join(apart, "cls").select("token", "cls", "n", "place"), "lists")
+    lists = written(_prefixes(sets, similarity).join(apart, "cls").select(
+        "token", "cls", F.col("n").alias("n_a"), F.col("place").alias("place_a"), "root"), "lists")
+    # lists of several components, with the one that has most members there
+    top = lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("roots"), F.max(F.struct("k", "root")).alias("top")).filter("roots > 1").select(
+        "token", F.col("top.root").alias("top"))
+    mixed = written(salted_join(lists, top, ["token"]), "mixed")
+    other = mixed.filter("root <> top").select("token", F.col("cls").alias("other"), F.col("n_a").alias("n_b"),
+                                               F.col("place_a").alias("place_b"), F.col("root").alias("root_b"))
     # sizes that allow the similarity, and an overlap from these places on that does
     fits = f"{_alike(similarity)} AND {100 + similarity} * least(n_a - place_a, n_b - place_b) >= {similarity} * (n_a + n_b)"
-    while True:
-        rooted = lists.join(known, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        kinds = rooted.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("root").alias("low"),
-                                            F.max("root").alias("high")).filter("low <> high").select("token", "k")
-        table = written(salted_join(rooted, kinds, ["token"]), "mixed")
-        discard(lists)
-        if not table.head(1):
-            discard(sets, table)
-            return known
-        mixed = table.withColumnsRenamed({"n": "n_a", "place": "place_a"})
-        other = lambda t: t.select("token", F.col("cls").alias("other"), F.col("n_a").alias("n_b"),
-                                   F.col("place_a").alias("place_b"), F.col("root").alias("root_b"))
-        short, long = mixed.filter(F.col("k") <= LIST), mixed.filter(F.col("k") > LIST)
-        every = short.join(other(short), "token").filter(f"cls < other AND root <> root_b AND {fits}").select("cls", "other")
-        # one member of each of HUBS parts of a long list
-        hubs = long.groupBy("token", F.pmod(F.xxhash64("cls"), F.lit(HUBS)).alias("part")).agg(
-            F.min(F.struct(F.xxhash64("cls", "token").alias("h"), "cls", "n_a", "place_a", "root")).alias("hub")).select(
-            "token", "hub.cls", "hub.n_a", "hub.place_a", "hub.root")
-        hubs = written(hubs, "hubs")
-        some = salted_join(long, other(hubs), ["token"]).filter(f"cls <> other AND root <> root_b AND {fits}").select("cls", "other")
-        pairs = written(every.union(some).select(
-            F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct(), "pairs")
-        lists = written(long.join(hubs, ["token", "cls"], "left_anti").select(
-            "token", "cls", F.col("n_a").alias("n"), F.col("place_a").alias("place")), "lists")
-        links = confirmed(pairs, classes, docs, shingle, similarity, hashes, sets)
-        discard(table, hubs, pairs)
-        if links.head(1):
-            before = known
-            known = components(known.select(F.col("cls").alias("a"), F.col("root").alias("b")).union(links))
-            discard(before)
-        discard(links)
+    pairs = salted_join(mixed, other, ["token"]).filter(
+        f"root <> root_b AND (root = top OR cls < other) AND {fits}").select(
+        F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+    pairs = written(pairs, "pairs")
+    links = confirmed(pairs, classes, docs, shingle, similarity, hashes, sets)
+    discard(sets, lists, mixed, pairs)
+    if links.head(1):
+        before, known = known, components(known.select(F.col("cls").alias("a"), F.col("root").alias("b")).union(links))
+        discard(before)
+    discard(links)
+    return known
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -376,7 +363,7 @@ def judged(docs: DataFrame, shingle: int = 5, similarity: int = 80, bands: int =
     labelled = shared.join(known, "cls", "left").select("bucket", "cls", "n", F.coalesce("root", "cls").alias("root"))
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
         "low <> high").select("bucket")
-    apart = written(salted_join(labelled, mixed, ["bucket"]).select("cls", "n").distinct(), "apart")
+    apart = written(salted_join(labelled, mixed, ["bucket"]).select("cls", "n", "root").distinct(), "apart")
     discard(shared, links)
     if apart.head(1):
         known = apart_links(apart, known, classes, docs, shingle, similarity, hashes)
