@@ -1,26 +1,29 @@
 """Token ids of whole texts with a public tokenizer file.
 
-A text is cut where a non-space character is followed by white space.  Both
-public vocabularies pre-tokenise so that no token crosses such a place and no
-look-around sees past it, so the ids of a text are the ids of its chunks in a
-row; chunks repeat, and a chunk in the cache is not encoded again.  A chunk of
-ASCII and Latin-1 letters only is cut by the vocabulary's own pattern and its
-pieces go straight to the library's BPE model; any other chunk goes through
-the whole library pipeline.  A text with ``\\x1c-\\x1f`` (white space to
-Python, not to the tokenizer) is encoded whole, and so is one that holds the
-content of an added token of the file, which the library finds before it
-pre-tokenises.
+A text of ASCII and Latin-1 letters only is cut by the public vocabularies' own
+pre-tokenisation pattern, and each piece goes to the library's BPE model once:
+pieces repeat, and one in the cache is not encoded again.  Any other text, and
+every text for a vocabulary that drops white space, is cut where a non-space character is followed by white space; both vocabularies
+pre-tokenise so that no token crosses such a place and no look-around sees past
+it, so its ids are the ids of these chunks in a row, each by its pieces or, with
+other characters, through the whole library pipeline.  A text with
+``\\x1c-\\x1f`` (white space to Python, not to the tokenizer) is encoded whole,
+and so is one that holds the content of an added token of the file, which the
+library finds before it pre-tokenises, and every text with a file whose ids on
+``_PROBE`` the pattern does not give.
 
 The tokenizer file is read on the driver (its size is checked) and sent as one
-broadcast; the chunk cache lives in that broadcast's copy in each Python
-worker and holds at most ``CACHE_ENTRIES`` chunks, which bounds memory and
-never changes an id.
+broadcast; the caches live in that broadcast's copy in each Python worker and
+hold at most ``CACHE_ENTRIES`` pieces and chunks, which bounds memory and never
+changes an id.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import SparkSession
@@ -30,12 +33,13 @@ VOCABULARY_BOUND = 64 << 20
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACED = re.compile(r"\s*\S+|\s+")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(f"[ \t\n\r]*[!-~{_LETTERS}]+")
+_PLAIN = re.compile(f"[ \t\n\r!-~{_LETTERS}]*")
 
 # The two files' pre-tokenisation patterns, for the characters of _PLAIN.
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 _SPACED_PIECE = re.compile(rf"{_ENDINGS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 _WORD_PIECE = re.compile(rf"{_ENDINGS}|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
+_PROBE = " Don't  we'll\t\tI'M 'sure 120x7 3.14,0 a_b-c (é)Àß ÿ\n\nZwei!? ..$$%%\r\n don'trust'd 's It's|x@y.z #1&2 {}[]<>~`^"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -45,29 +49,52 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in seen)}
 
 
+class PieceIds(dict):
+    """Piece -> its ids as little-endian integers, filled as pieces are met."""
+
+    def __init__(self, tokenizer, kind: str):
+        super().__init__()
+        self.model, self.letters = tokenizer.model.tokenize, _byte_letters()
+        self.space, self.code = chr(self.letters[32]), {2: "H", 4: "I"}[np.dtype(kind).itemsize]
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece.isascii() or piece[0] in "\t\n\r" or piece.isspace():
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        else:
+            letters = piece.replace(" ", self.space)
+        found = array(self.code, [t.id for t in self.model(letters)]).tobytes()
+        if len(self) < CACHE_ENTRIES and len(piece) <= CACHED_LENGTH:
+            self[piece] = found
+        return found
+
+
+def _joined(keys: list[str], known: dict) -> bytes:
+    return b"".join(itemgetter(*keys)(known)) if len(keys) > 1 else known[keys[0]] if keys else b""
+
+
 class ChunkIds(dict):
     """Chunk -> its ids as little-endian integers, filled as chunks are met."""
 
     def __init__(self, tokenizer, spaces: bool, kind: str):
         super().__init__()
         self.tokenizer, self.spaces, self.kind = tokenizer, spaces, kind
-        self.model, self.byte_letters = tokenizer.model.tokenize, _byte_letters()
-        self.plain, self.pieces = _PLAIN.fullmatch, (_SPACED_PIECE if spaces else _WORD_PIECE).findall
+        self.plain = _PLAIN.fullmatch
         added = list(tokenizer.get_added_tokens_decoder().values())
         self.added = [t.content for t in added if not t.normalized]
         # matched after normalisation, so without regard to case; too many found cost only time
         self.odd = re.compile("|".join([_ODD_SPACE.pattern, *(re.escape(t.content) for t in added if t.normalized)]), re.I).search
+        self.pieces, self.of_piece = (_SPACED_PIECE if spaces else _WORD_PIECE).findall, PieceIds(tokenizer, kind)
+        self.cut = _SPACED.findall if spaces else str.split
+        try:
+            self.fits = self.by_pieces(_PROBE) == self.whole(_PROBE)
+        except Exception:  # the model knows no byte-level pieces
+            self.fits = False
+
+    def by_pieces(self, text: str) -> bytes:
+        return _joined(self.pieces(text if self.spaces else text.lower()), self.of_piece)
 
     def __missing__(self, chunk: str) -> bytes:
-        if self.plain(chunk):
-            ids = []
-            for piece in self.pieces(chunk if self.spaces else chunk.lower()):
-                if not piece.isascii() or piece[0] <= " ":
-                    piece = piece.encode().decode("latin-1").translate(self.byte_letters)
-                ids += [t.id for t in self.model(piece)]
-            found = np.array(ids, self.kind).tobytes()
-        else:
-            found = self.whole(chunk)
+        found = self.by_pieces(chunk) if self.plain(chunk) else self.whole(chunk)
         if len(self) < CACHE_ENTRIES and len(chunk) <= CACHED_LENGTH:
             self[chunk] = found
         return found
@@ -78,6 +105,12 @@ class ChunkIds(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def ids(self, text: str) -> bytes:
+        if not self.fits or self.uncut(text):
+            return self.whole(text)
+        # without white space tokens a word and its marks are one look-up as a chunk
+        return self.by_pieces(text) if self.spaces and self.plain(text) else _joined(self.cut(text), self)
+
 
 def shared_tokenizer(spark: SparkSession, path: str, spaces: bool):
     """Broadcast state of the tokenizer file at ``path``; ``spaces``: white
@@ -99,7 +132,4 @@ def encode(state: dict, texts: list[str]) -> list[np.ndarray]:
         kind = "<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         state["known"] = ChunkIds(tokenizer, state["spaces"], kind)
     known = state["known"]
-    cut = _SPACED.findall if state["spaces"] else str.split
-    look = known.__getitem__
-    return [np.frombuffer(known.whole(t) if known.uncut(t) else b"".join(map(look, cut(t))), known.kind).astype("<u4")
-            for t in texts]
+    return [np.frombuffer(known.ids(t), known.kind).astype("<u4") for t in texts]
