@@ -254,7 +254,7 @@ def test_top_k_of_nothing(spark):
 @pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if sql))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings"):
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     query, sql = QUERIES[name]
     found = query(spark, SF)
