@@ -9,7 +9,9 @@ from conftest import ROOT
 MODULES = ["funnelkit.sources.tables", "funnelkit.sinks", "funnelkit.plans.trend", "funnelkit.functions.dates",
            "funnelkit.operators.sessions", "funnelkit.functions.rules", "funnelkit.operators.totals",
            "funnelkit.operators.cube", "funnelkit.operators.allocate", "funnelkit.plans.report",
-           "funnelkit.plans.cube", "funnelkit.plans.funnel", "funnelkit.plans.job", "funnelkit.config"]
+           "funnelkit.plans.cube", "funnelkit.plans.funnel", "funnelkit.plans.job", "funnelkit.config",
+           "funnelkit.operators.ranking", "funnelkit.operators.apportion", "funnelkit.operators.windows",
+           "funnelkit.operators.bitmaps", "funnelkit.sources.checks", "funnelkit.sinks.publish"]
 
 
 def test_operator_map_names_exist():
