@@ -3,14 +3,21 @@
 Every window of ``window`` words has a minimiser: the smallest hash of its
 ``MINIMISER``-word grams.  Consecutive windows of a document with the same
 minimiser travel together, as one packed string of words, to the bucket of
-that minimiser.  In a bucket rows are sorted by minimiser, and the windows of
-one minimiser are counted by their words: the smallest doc_id of each decides
-which other places are repeats.
+that minimiser.  In a bucket the windows are sorted by minimiser and words, and
+equal ones stream past: the smallest doc_id of each decides which other places
+are repeats.
 
-Scale: a task that meets the same packed string in several documents sends
-only the smallest doc_id's on; the others are repeats already, so a passage
-that a third of all documents hold reaches its bucket once per task.  That
-table is bounded and emptied when full, which changes no result.
+Scale: a minimiser found in one document only has no window to count, so its
+strings stay where they are.  A first pass sends (minimiser, doc_id) alone, a
+few bytes in place of the string, and nominates the minimisers of two or more
+documents; only their strings travel.  A task that meets a minimiser, or later
+a packed string, in several documents sends one of them on; the others are
+known already, so a passage that a third of all documents hold reaches its
+bucket once per task.  The windows of a minimiser that more than ``split``
+documents hold go to buckets of their own, by the hash of the window's words:
+no bucket grows with a frequent phrase.  The buffers of a task are bounded and
+emptied when full, which changes no result.  Only documents with a nominated
+minimiser are shuffled again for the removal.
 
 Defined results: null or empty text has no words; a document with fewer words
 than a window has no window; within one document a repeat is no repeat; rows
@@ -29,14 +36,18 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .near import WordHashes
+from .storage import discard, written
 from .text import space_words, utf8
 
 WINDOW = 13
-MINIMISER = 3
+MINIMISER = 5
+SPLIT = 4096  # documents of a minimiser above which its windows part
 TABLE_BYTES = 64 << 20
+BUFFER = 1 << 20
 _NAMES = ["bucket", "doc_id", "key", "start", "n", "packed"]
 _SCHEMA = "bucket long, doc_id long, key long, start long, n long, packed binary"
 
@@ -68,9 +79,52 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], _NAMES)
 
 
+def _pairs(buckets: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
+    """(part, bucket, doc_id) without repeats.  ``part`` is the bucket for the
+    smallest and the largest doc_id of each; those between are known to be
+    shared and get a part that spreads them."""
+    bucket, doc = np.concatenate(buckets), np.concatenate(docs)
+    order = np.lexsort((doc, bucket))
+    bucket, doc = bucket[order], doc[order]
+    new = np.ones(len(bucket), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (doc[1:] != doc[:-1])
+    bucket, doc = bucket[new], doc[new]
+    outer = np.ones(len(bucket), bool)
+    outer[1:-1] = (bucket[1:-1] != bucket[:-2]) | (bucket[1:-1] != bucket[2:])
+    spread = (doc.view(np.uint64) | np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    part = np.where(outer, bucket, bucket ^ spread.view(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (part, bucket, doc)], ["part", "bucket", "doc_id"])
+
+
+def shared_minimisers(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(bucket, doc_id): the minimisers of each document that another document
+    also has; ``docs`` has doc_id and text."""
+
+    def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, buckets, owners, held = WordHashes(), [], [], 0
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                found = [run[0] for run in super_kmers(space_words(text), window, known)]
+                buckets.append(np.array(found, np.int64))
+                owners.append(np.full(len(found), doc, np.int64))
+                held += len(found)
+                if held > BUFFER:
+                    yield _pairs(buckets, owners)
+                    buckets, owners, held = [], [], 0
+        if held:
+            yield _pairs(buckets, owners)
+
+    pairs = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(
+        fingerprints, "part long, bucket long, doc_id long")
+    part = W.partitionBy("part")
+    shared = (F.min("doc_id").over(part) < F.max("doc_id").over(part)) | (F.col("part") != F.col("bucket"))
+    return pairs.select("*", shared.alias("shared")).filter("shared").select("bucket", "doc_id")
+
+
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, key, start, n): runs of windows that also start in a document
-    with a smaller id; ``docs`` has doc_id, text and key (a hash of the text)."""
+    with a smaller id; ``docs`` has doc_id, key (a hash of the text), text,
+    buckets (its shared minimisers) and parted (those whose windows part)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows to a bucket carry their packed string; rows without one are decided
@@ -78,20 +132,30 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         first: dict[bytes, tuple] = {}
         held = 0
         for batch in batches:
-            for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
-                words = space_words(text)
+            for doc, key, text, buckets, parted in zip(
+                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)),
+                    batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                words, buckets, parted = space_words(text), set(buckets), set(parted)
                 for bucket, start, n in super_kmers(words, window, known):
-                    packed = b" ".join(words[start:start + n + window - 1])
-                    row, other = (bucket, doc, key, start, n, packed), first.get(packed)
-                    if other is None:
-                        first[packed] = row
-                        held += len(packed) + 200
-                    elif doc == other[1]:
-                        out.append(row)
-                    else:
-                        if doc < other[1]:
-                            first[packed], row = row, other
-                        out.append((row[2] ^ row[3], *row[1:5], None))
+                    if bucket not in buckets:
+                        continue
+                    size = 1 if bucket in parted else n
+                    for at in range(start, start + n, size):
+                        packed = b" ".join(words[at:at + size + window - 1])
+                        if bucket in parted:
+                            row = (xxhash.xxh3_64_intdigest(packed) - (1 << 63), doc, key, at, 1, packed)
+                        else:
+                            row = (bucket, doc, key, at, n, packed)
+                        other = first.get(packed)
+                        if other is None:
+                            first[packed] = row
+                            held += len(packed) + 200
+                        elif doc == other[1]:
+                            out.append(row)
+                        else:
+                            if doc < other[1]:
+                                first[packed], row = row, other
+                            out.append((row[2] ^ row[3], *row[1:5], None))
                 if held > TABLE_BYTES:
                     out += first.values()
                     first, held = {}, 0
@@ -109,40 +173,53 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for _, group in groupby(rows_of(batches), key=lambda r: r[0]):
-            rows, least = [], {}
-            for row in group:
-                if row[5] is None:
-                    out.append(row)
+            windows = []
+            for bucket, doc, key, start, n, packed in group:
+                if packed is None:
+                    out.append((bucket, doc, key, start, n, None))
                     continue
-                words = row[5].split(b" ")
-                own = [b" ".join(words[k:k + window]) for k in range(row[4])] if row[4] > 1 else [row[5]]
-                for w in own:
-                    if least.setdefault(w, row[1]) > row[1]:
-                        least[w] = row[1]
-                rows.append((row, own))
-            if len(rows) > 1:
-                for row, own in rows:
-                    for repeat, run in groupby(range(len(own)), key=lambda k: least[own[k]] < row[1]):
-                        if repeat:
-                            places = list(run)
-                            out.append((*row[:3], row[3] + places[0], len(places), None))
+                words = packed.split(b" ")
+                windows += [(b" ".join(words[k:k + window]), doc, key, start + k) for k in range(n)]
+            windows.sort()
+            gone, last, least = [], None, None
+            for words, doc, key, place in windows:
+                if words != last:
+                    last, least = words, doc
+                elif doc > least:
+                    gone.append((doc, key, place))
+            gone.sort()
+            at = 0
+            for k, (doc, key, place) in enumerate(gone):
+                if k + 1 == len(gone) or gone[k + 1] != (doc, key, place + 1):
+                    out.append((0, doc, key, gone[at][2], k + 1 - at, None))
+                    at = k + 1
             while len(out) > 8192:
                 yield _batch(out[:8192])
                 out = out[8192:]
         yield _batch(out)
 
-    packed = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "key", "text").mapInArrow(pack, _SCHEMA)
+    packed = docs.select("doc_id", "key", "text", "buckets", "parted").mapInArrow(pack, _SCHEMA)
     return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(decide, _SCHEMA).select(
         "doc_id", "key", "start", "n")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, split: int = SPLIT) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words joined by one space, as UTF-8
     bytes) and its sha256 per row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
-    spans = repeats(docs, window).groupBy("doc_id", "key").agg(
+    shared = written(shared_minimisers(docs, window), "shared")
+    frequent = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > split).select(
+        "bucket", F.col("bucket").alias("parted"))
+    nominated = shared.join(frequent, "bucket", "left").groupBy("doc_id").agg(
+        F.collect_set("bucket").alias("buckets"), F.collect_set("parted").alias("parted"))
+    known = written(docs.join(nominated, "doc_id", "left").select("doc_id", "key", "text", "buckets", "parted"), "known")
+    discard(shared)
+    some = known.filter("buckets IS NOT NULL")
+    spans = repeats(some, window).groupBy("doc_id", "key").agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("sizes"))
-    joined = docs.join(spans, ["doc_id", "key"], "left").select("doc_id", "text", "starts", "sizes")
+    none = F.lit(None).cast("array<long>")
+    joined = some.join(spans, ["doc_id", "key"], "left").select("doc_id", "text", "starts", "sizes").unionAll(
+        known.filter("buckets IS NULL").select("doc_id", "text", none.alias("starts"), none.alias("sizes")))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
