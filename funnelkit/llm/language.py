@@ -56,6 +56,12 @@ def ngrams(text: str) -> Iterator[np.ndarray]:
         yield np.concatenate([two, three]) >> np.uint32(18)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a Unicode letter category occurs (numbers such as
+    a half or a superscript are none)."""
+    return any(found.group().isalpha() for found in _LETTER.finditer(text))
+
+
 def codewords(languages: int) -> np.ndarray:
     """A (languages, bits) matrix of -1 and +1 with distinct rows."""
     if languages <= 6:
@@ -87,7 +93,7 @@ class Model:
         self.languages, self.weights, self.code, self.trust = languages, weights, code, trust
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if text is None or not self.languages or not _LETTER.search(text):
+        if text is None or not self.languages or not has_letter(text):
             return "und", 0.0, True
         loss = (self.trust * np.log1p(np.exp(-self.code * margins(text, self.weights)))).sum(axis=1)
         share = np.exp(loss.min() - loss)

@@ -17,7 +17,8 @@ thing broadcast; candidates are scored in place, without a shuffle of vectors.
 Defined results: vectors that are null, empty, or hold null or non-finite
 components, and rows without an id, take no part; vectors of different length
 are not compared; rows with the query's id are its own; a query with no
-candidate has no rows; rows that repeat an id are each a candidate, and equal
+candidate has no rows; where the norm of a query times the largest norm
+reaches 2**62, so that a score may not fit 64 bits, an error is raised; rows that repeat an id are each a candidate, and equal
 query rows are one query; other columns are ignored.
 """
 
@@ -147,7 +148,10 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, bins: int = BINS) -> D
             continue
         reach = np.zeros(n, np.int64)  # no score lies beyond the product of the norms
         for numbers, _, q in block["by_length"].values():
-            reach[numbers] = np.ceil(np.sqrt((q.astype(float) ** 2).sum(axis=1) * largest) * 1.000001 + 1).astype(np.int64)
+            far = np.ceil(np.sqrt((q.astype(float) ** 2).sum(axis=1)) * np.sqrt(largest) * 1.000001 + 1)
+            if far.max() >= 2.0**62:
+                raise OverflowError("a score may not fit 64 bits: scaled norms multiply to 2**62 or more")
+            reach[numbers] = far.astype(np.int64)
         shared = spark.sparkContext.broadcast(block)
         low, width = -reach, -(-(2 * reach + 1) // bins)
         while True:

@@ -87,6 +87,16 @@ def test_substring_repeats_match_brute_force(docs):
     assert sum(r[2] for r in expected) > 100
 
 
+@pytest.mark.parametrize("split", [0, 2, 100])
+def test_windows_of_a_frequent_phrase_part(spark, split):
+    rng, phrase = random.Random(5), _text(random.Random(2), 6)
+    rows = [(k, " ".join([_text(rng, 15), phrase, _text(rng, 15)])) for k in range(40)]
+    rows += [(100 + k, rows[k][1] + " " + _text(rng, 20)) for k in range(0, 40, 3)] + [(200, rows[0][1]), (200, rows[1][1])]
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), split=split)
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {
+        k: 36 if k >= 100 else 0 for k in [r[0] for r in rows]}
+
+
 def test_a_row_without_doc_id_keeps_its_words(spark):
     t = _text(random.Random(1), 40)
     found = substrings.remove_repeats(spark.createDataFrame([(None, t), (1, t), (2, t)], "doc_id long, text string"))
@@ -247,6 +257,25 @@ def test_empty_table(docs, name):
     assert EMPTY[name](docs.limit(0)).count() == 0
 
 
+def test_letters_only_name_a_language():
+    assert language.has_letter("1 a") and language.has_letter("½ 語") and not language.has_letter("½ ² Ⅷ 3 _")
+    assert not language.has_letter("")
+
+
+def test_top_k_of_large_components_is_exact(spark):
+    rows = [(0, [2.0**16, 1.0]), (1, [2.0**17, 2.0]), (2, [-(2.0**17), 2.0]), (3, [2.0**17, 1.0])]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    scores = {v: sum(int(256 * a) * int(256 * b) for a, b in zip(x, rows[0][1])) for v, x in rows[1:]}
+    assert {r["vec_id"]: r["score"] for r in found} == scores and max(scores.values()) == 2**49 + 2**17
+
+
+@pytest.mark.parametrize("size", [1e18, 2.0**30])
+def test_top_k_that_does_not_fit_fails(spark, size):
+    rows = spark.createDataFrame([(0, [size, 1.0]), (1, [size, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="may not fit 64 bits"):
+        topk.top_k(rows, F.col("vec_id") % 50 == 0).collect()
+
+
 def test_top_k_of_nothing(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).count() == 0
 
