@@ -16,8 +16,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 sys.path.insert(0, ROOT)
 
 import corpus_pipeline  # noqa: E402
-from funnelkit.llm import (decontaminate, language, lines, near, packing, shards, substrings,  # noqa: E402
-                           topk)
+from funnelkit.llm import (decontaminate, language, licenses, lines, near, packing, shards,  # noqa: E402
+                           substrings, topk)
 from funnelkit.llm.registry import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -191,6 +191,40 @@ def test_pieces_hold_every_id_once(docs):
     assert len(per_doc) == len({r[0] for r in _rows()})
 
 
+def test_pieces_hold_the_library_ids(docs):
+    import public_tokenizers
+    import zlib
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole = {r[0]: [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 1] for r in _rows()}
+    for r in packing.pack(docs.select("doc_id", "text"), with_ids=True).collect():
+        ids = np.array(whole[r["doc_id"]][r["start"]:r["start"] + r["length"]], "<u4").tobytes()
+        assert len(ids) == 4 * r["length"] > 0 and r["doc_tokens"] == len(whole[r["doc_id"]])
+        assert bytes(r["ids"]) == ids and r["ids_crc32"] == zlib.crc32(ids)
+
+
+def test_interleaving_matches_brute_force(docs):
+    import zlib
+
+    rows = docs.select("doc_id", "text", "source", F.shiftrightunsigned(
+        F.xxhash64(F.lit(shards.SEED), "doc_id", F.coalesce("text", F.lit(""))), 8).alias("h")).collect()
+    sources, order = {}, []
+    for r in rows:
+        data = (r["text"] or "").encode()
+        sources.setdefault(r["source"], []).append((r["h"], r["doc_id"], zlib.crc32(data), len(data) + 8))
+    for source, own in sources.items():
+        order += [((2 * k + 1) / (2 * len(own)), source is not None, source or "", k, own[k]) for k in range(len(own)) if own.sort() is None]
+    order.sort()
+    expected, next_slot = [], {}
+    for place, (*_, (_, doc, crc, size)) in enumerate(order):
+        shard = place * 5 // len(order)
+        next_slot[shard] = next_slot.get(shard, -1) + 1
+        expected.append((doc, size, crc, shard, next_slot[shard]))
+    found = shards.interleave(docs.select("doc_id", "text", "source"), shards=5)
+    assert sorted(map(tuple, found.select("doc_id", "size", "text_crc32", "shard", "slot").collect())) == sorted(expected)
+
+
 def test_interleaving_is_gapless_and_even(docs):
     rows = shards.interleave(docs.select("doc_id", "text", "source"), shards=4).collect()
     counts = {s: sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(4)}
@@ -249,6 +283,9 @@ EMPTY = {
     "shards": lambda d: shards.interleave(d),
     "packing": lambda d: packing.pack(d.select("doc_id", "text")),
     "language": language.keep_identified,
+    "passages": lines.drop_passages,
+    "decontaminate": lambda d: decontaminate.decontaminate(d, d.select(F.col("source").alias("item_id"), "text")),
+    "licenses": licenses.scan_licenses,
 }
 
 
@@ -324,6 +361,54 @@ def test_ids_of_texts_with_added_tokens_are_the_librarys(spark, name, spaces):
             tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def _one_of_each(rows):
+    """Brute force: the smallest doc_id of each group linked at 0.8 over five-word shingles."""
+    sets = []
+    for d, text in rows:
+        w = _lower(text)
+        k = min(5, len(w))
+        sets.append((d, {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set()))
+    least = {d: d for d, _ in sets}
+    pairs = [(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= 80 * len(x | y) > 0]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                changed = True
+    return [(d, t) for d, t in rows if least[d] == d]
+
+
+def test_pipeline_end_to_end_matches_brute_force(spark):
+    import public_tokenizers
+    from funnelkit.llm.text import term_words
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in language.keep_identified(docs).select("doc_id", "text").collect())
+    assert 0 < len(rows) <= docs.count() and all(t for _, t in rows)
+    rows = _one_of_each(sorted(_without_passages(rows).items()))
+    windows = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        w = term_words((r["text"] or "").encode())
+        windows |= {tuple(w[k:k + 10]) for k in range(max(1, len(w) - 9))} if w else set()
+    sizes = {len(w) for w in windows}
+
+    def clean(text):
+        w = term_words(text.encode())
+        return not any(tuple(w[k:k + n]) in windows for n in sizes for k in range(len(w) - n + 1))
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = {d: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for d, t in rows if clean(t)}
+    found = {}
+    for r in sorted(corpus_pipeline.run(spark, SF).collect(), key=lambda r: (r["doc_id"], r["start"])):
+        own = found.setdefault(r["doc_id"], [])
+        assert r["start"] == len(own)
+        own += np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+    assert found == expected
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(docs, spark, tmp_path):
     rows = _rows()
     spark.createDataFrame([(1, rows[8][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
