@@ -5,12 +5,17 @@ with fewer words is one shorter window).  Patterns of one length form one
 Wu-Manber table over *words*: the shift table maps a block of two words to the
 distance the search may skip (a block that no pattern holds skips the whole
 pattern length but one), the suffix buckets list the patterns that end in a
-block, and a direct comparison of the words confirms an occurrence.
-
-Scale: the benchmark is cut into blocks of at most ``max_block_bytes`` of
-normalised text (measured before anything is sent); a block's table is the
-only thing broadcast.  Documents are scanned in place, one pass per block, no
-shuffle; with more than one block the passes are separated by a written table.
+block, parted by the block they begin with, and a direct comparison of the
+words confirms an occurrence.
+
+Scale: a benchmark above ``max_block_bytes`` is cut into segments of
+``SEGMENT_WINDOWS`` windows (an item of any length parts), and running sums of
+their sizes put them into blocks of at most ``max_block_bytes`` and one segment;
+a block's table is the only thing broadcast.  Documents are scanned in place,
+one pass per block.  Each pass but the last writes only what it found, once per
+text that holds a window; the last one joins that to the documents by the hash
+of the text, so no document is rewritten between passes.  One block needs no
+shuffle at all.
 
 Defined results: null or empty text has no words and no hits; a null
 benchmark text has no windows; an item whose ``item_id`` is null marks words
@@ -22,16 +27,19 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .order import bucket_count, running_sums
 from .storage import written
-from .text import TERM_WORDS_SQL, term_words, utf8
+from .text import TERM_WORD, TERM_WORDS_SQL, term_words, utf8
 
 WINDOW = 10
 MAX_BLOCK_BYTES = 4 << 20
+SEGMENT_WINDOWS = 4096
 RESULT = "struct<n_words:bigint,starts:array<int>,ends:array<int>,items:array<string>>"
 _ARROW = pa.struct([("n_words", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())),
                     ("items", pa.list_(pa.string()))])
@@ -45,7 +53,8 @@ class PatternTable:
         self.length, self.block = length, min(2, length)
         self.flat = flat or []  # the items' words, one item after the other
         self.shift: dict[tuple, int] = shift or {}
-        self.bucket: dict[tuple, list[tuple[int, str | None]]] = bucket or defaultdict(list)
+        # by the last block, then by the first one
+        self.bucket: dict[tuple, dict[tuple, list[tuple[int, str | None]]]] = bucket or defaultdict(dict)
 
     def parts(self) -> tuple:
         """Plain values for a broadcast."""
@@ -58,7 +67,8 @@ class PatternTable:
             for end in range(b, m + 1):
                 key = tuple(words[first + end - b:first + end])
                 self.shift[key] = min(self.shift.get(key, m - b + 1), m - end)
-            self.bucket[tuple(words[first + m - b:first + m])].append((base + first, item))
+            begins = self.bucket[tuple(words[first + m - b:first + m])]
+            begins.setdefault(tuple(words[first:first + b]), []).append((base + first, item))
 
     def search(self, words: list[bytes], spans: list[tuple[int, int]], items: set[str]) -> None:
         m, b, flat, bucket = self.length, self.block, self.flat, self.bucket
@@ -70,7 +80,7 @@ class PatternTable:
                 end += step
                 continue
             here, found = words[end - m:end], False
-            for at, item in bucket[key]:
+            for at, item in bucket[key].get(tuple(here[:b]), ()):
                 if flat[at:at + m] == here:
                     found = True
                     if item is not None:
@@ -103,42 +113,66 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, max_block_bytes: int) -> Iterator[tuple[int, list[tuple[str | None, bytes | None]], bool]]:
+def _segments(items: DataFrame, window: int, segment_windows: int) -> DataFrame:
+    """(item, text): every item's words in pieces of at most
+    ``segment_windows`` windows, which share ``window - 1`` words."""
+    words = F.regexp_extract_all(F.translate("text", ascii_uppercase, ascii_lowercase), F.lit(TERM_WORD), F.lit(0))
+    rows = items.select("item", words.alias("w")).filter("size(w) > 0")
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)), F.lit(segment_windows))
+    return rows.select("item", "w", F.explode(starts).alias("at")).select(
+        "item", F.array_join(F.slice("w", F.col("at") + 1, segment_windows + window - 1), " ").alias("text")).distinct()
+
+
+def _blocks(benchmark: DataFrame, max_block_bytes: int, window: int,
+            segment_windows: int) -> Iterator[tuple[list[tuple[str | None, bytes | None]], bool]]:
     """The benchmark as lists of (item_id, text), each of bounded size and
-    collected when it is asked for; before each its number, after it whether
-    it is the last."""
+    collected when it is asked for, with whether it is the last."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // max_block_bytes) or 1
-    for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        yield k, [(r[0], r[1].encode() if r[1] is not None else None) for r in part.distinct().collect()], k == n - 1
+    total, n = items.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    parts, last = items.distinct(), 0
+    if (total or 0) > max_block_bytes:
+        spot = F.pmod(F.xxhash64("item", "text"), F.lit(bucket_count(n)))
+        sized = running_sums(_segments(items, window, segment_windows), {"at": F.octet_length("text")}, spot,
+                             [F.col("item"), F.col("text")])
+        parts = written(sized.select("item", "text", F.expr(f"at div {max_block_bytes}").alias("block")), "segments")
+        last = parts.agg(F.max("block")).first()[0] or 0
+    for k in range(last + 1):
+        part = parts.filter(F.col("block") == k) if "block" in parts.columns else parts
+        yield [(r[0], r[1].encode() if r[1] is not None else None) for r in part.collect()], k == last
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
-                       into: str = "contamination", max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
+                       into: str = "contamination", max_block_bytes: int = MAX_BLOCK_BYTES,
+                       segment_windows: int = SEGMENT_WINDOWS) -> DataFrame:
     """``docs`` with a struct column ``into``: number of words, the spans
-    [start, end) of words inside benchmark windows (merged, ascending) and the
-    sorted ids of the items that have an occurring window."""
+    [start, end) of words inside benchmark windows (merged within a block,
+    ascending) and the sorted ids of the items that have an occurring window."""
     spark = docs.sparkSession
-    out = None
-    for k, rows, last in _blocks(benchmark, max_block_bytes):
+    own, earlier = [c for c in docs.columns if c != into], []
+    for rows, last in _blocks(benchmark, max_block_bytes, window, segment_windows):
         tables = spark.sparkContext.broadcast([t.parts() for t in pattern_tables(rows, window)])
         del rows  # the next block is collected without this one
-        marked = (docs if out is None else out).withColumn("__found", _search(tables)(F.col(text)))
-        if out is None:
-            out = marked.withColumn(into, F.col("__found")).drop("__found")
-        else:
-            joined = F.struct(
-                F.col(f"{into}.n_words").alias("n_words"),
-                F.concat(f"{into}.starts", "__found.starts").alias("starts"),
-                F.concat(f"{into}.ends", "__found.ends").alias("ends"),
-                F.array_sort(F.array_distinct(F.concat(f"{into}.items", "__found.items"))).alias("items"))
-            out = marked.withColumn(into, joined).drop("__found")
         if not last:
-            out = written(out, f"block-{k}")
+            hits = docs.select(F.col(text).alias("t")).withColumn("found", _search(tables)("t"))
+            hits = hits.filter(F.size("found.starts") > 0).select(F.sha2("t", 256).alias("__key"), "found")
+            earlier.append(written(hits.dropDuplicates(["__key"]), "hits"))
             tables.unpersist()
-    return out
+    if not earlier:
+        return docs.withColumn(into, _search(tables)(F.col(text)))
+    hits = earlier[0]
+    for more in earlier[1:]:
+        hits = hits.unionByName(more)
+    # at most one row per block and text; the written size decides whether the join broadcasts
+    before = written(hits.groupBy("__key").agg(F.collect_list("found").alias("before")), "earlier")
+    # the documents' own columns travel in a struct, away from the names used here
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("own"), F.sha2(F.col(text), 256).alias("hash"),
+                         _search(tables)(F.col(text)).alias("found"))
+    marked = marked.join(before, F.col("hash") == F.col("__key"), "left")
+    every = F.concat(F.coalesce("before", F.array().cast(f"array<{RESULT}>")), F.array("found"))
+    return marked.withColumn("every", every).select(*[F.col(f"own.`{c}`") for c in own], F.struct(
+        F.col("found.n_words").alias("n_words"), F.flatten("every.starts").alias("starts"),
+        F.flatten("every.ends").alias("ends"),
+        F.array_sort(F.array_distinct(F.flatten("every.items"))).alias("items")).alias(into))
 
 
 def _search(tables):

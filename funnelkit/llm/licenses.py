@@ -47,13 +47,46 @@ BASE_PHRASES = (
     ("cc-by-nc", "cc by nc"),
 )
 
-# Opening sentences of public licence notices and their labels.
+# Sentences of public licence notices and their labels, in the
+# notices' order, none longer than a block's stride.
 NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify "
+            "merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited "
+            "to the warranties of merchantability"),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability "
+            "whether in an action of contract tort or otherwise"),
     ("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance"),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is "
+                 "distributed on an as is basis"),
+    ("apache-2", "see the license for the specific language governing permissions and limitations under the license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+            "following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+            "following disclaimer in the documentation and or other materials"),
+    ("bsd", "names of its contributors may be used to endorse or promote products derived from this software without "
+            "specific prior written permission"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied "
+            "warranties are disclaimed"),
+    ("bsd", "in no event shall the copyright holder or contributors be liable for any direct indirect incidental "
+            "special exemplary or consequential damages"),
     ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "licensed under the gnu general public license version 3"),
+    ("gpl", "as published by the free software foundation either version 3 of the license or at your option any later "
+            "version"),
+    ("gpl", "without any warranty without even the implied warranty of merchantability or fitness for a particular "
+            "purpose see the gnu general public license"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license"),
+    ("mpl-2", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+            "hereby granted"),
+    ("isc", "the author disclaims all warranties with regard to this software including all implied warranties of "
+            "merchantability and fitness"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
 )

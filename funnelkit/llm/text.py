@@ -17,7 +17,10 @@ _TERM = bytes(
 )
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
-#: DuckDB / Spark SQL: the same words of a column ``text``
+#: a word of a lower-cased text
+TERM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+#: DuckDB: the same words of a column ``text``
 TERM_WORDS_SQL = (
     r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

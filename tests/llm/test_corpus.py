@@ -275,6 +275,55 @@ def test_one_benchmark_block_is_collected_at_a_time(spark, monkeypatch):
     assert {r[0]: r[1] for r in found} == {k: [f"i{k}"] for k in range(6)} | {6: []}
 
 
+def _contaminated(texts, items, window=10):
+    """{doc_id: (words hit, items)} by looking at every window everywhere."""
+    found = {}
+    for d, text in texts:
+        words, hit, names = text.split(), set(), set()
+        for item, passage in items:
+            own = passage.split()
+            m = min(window, len(own))
+            wanted = {tuple(own[k:k + m]) for k in range(len(own) - m + 1)} if own else set()
+            for k in range(len(words) - m + 1):
+                if tuple(words[k:k + m]) in wanted:
+                    hit |= set(range(k, k + m))
+                    names.add(item)
+        found[d] = (len(hit), sorted(names))
+    return found
+
+
+@pytest.mark.parametrize("block, segment", [(1 << 20, 4096), (400, 7), (150, 1), (90, 3)])
+def test_large_items_and_common_suffixes_in_blocks_match_brute_force(spark, block, segment):
+    rng = random.Random(3)
+    large = _text(rng, 300)
+    items = [("large", large), ("short", "w1 w2 w3"), ("tail", _text(rng, 8) + " the end"), ("large too", large),
+             *((f"s{k}", _text(rng, 12) + " the end") for k in range(9))]
+    texts = [(k, " ".join([_text(rng, 30), " ".join(large.split()[31 * k:31 * k + 9 + k]), items[k][1], _text(rng, 5)]))
+             for k in range(len(items))]
+    texts += [(90, large), (91, large), (92, _text(rng, 50))]
+    docs = spark.createDataFrame([(*t, "x", "y") for t in texts], "doc_id long, text string, __key string, at string")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    marked = decontaminate.mark_contamination(docs, benchmark, max_block_bytes=block, segment_windows=segment)
+    assert marked.columns == [*docs.columns, "contamination"]
+    found = marked.select("doc_id", decontaminate.n_hit().alias("n"), "contamination.items").collect()
+    assert {r["doc_id"]: (r["n"], r["items"]) for r in found} == _contaminated(texts, items) and len(found) == len(texts)
+
+
+def test_excerpts_from_inside_a_licence_get_its_label(spark):
+    rng = random.Random(4)
+    rows, expected = [], {}
+    for label, notice in licenses.NOTICES:
+        words = notice.split()
+        less = [w for w in words if w != rng.choice(words)] if len(words) > 12 else words
+        for kept in (words, less):
+            expected[len(rows)] = label
+            rows.append((len(rows), f"{_text(rng, rng.randrange(90))} {' '.join(kept).upper()}, {_text(rng, 40)}"))
+    rows.append((len(rows), f"the software is licensed under this permission {_text(rng, 99)}"))
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    labels = {r["doc_id"]: r["license"]["labels"] for r in found}
+    assert labels == {d: [label] for d, label in expected.items()} | {len(rows) - 1: []}
+
+
 EMPTY = {
     "near": lambda d: near.near_duplicates(d.select("doc_id", "text")),
     "one_of_each": near.one_of_each,
