@@ -16,8 +16,9 @@ known already, so a passage that a third of all documents hold reaches its
 bucket once per task.  The windows of a minimiser that more than ``split``
 documents hold go to buckets of their own, by the hash of the window's words:
 no bucket grows with a frequent phrase.  The buffers of a task are bounded and
-emptied when full, which changes no result.  Only documents with a nominated
-minimiser are shuffled again for the removal.
+emptied when full, which changes no result.  The texts are shuffled once, by
+doc_id: the join with the nominated minimisers and the one with the repeats
+found have the same columns and filter of the documents and share the exchange.
 
 Defined results: null or empty text has no words; a document with fewer words
 than a window has no window; within one document a repeat is no repeat; rows
@@ -206,20 +207,24 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, split: int = SPLIT) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words joined by one space, as UTF-8
     bytes) and its sha256 per row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
+    if dict(docs.dtypes)["doc_id"] != "bigint":  # an alias without a cast would tell the two exchanges apart
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    owned = docs.filter("doc_id IS NOT NULL")
     shared = written(shared_minimisers(docs, window), "shared")
     frequent = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > split).select(
         "bucket", F.col("bucket").alias("parted"))
-    nominated = shared.join(frequent, "bucket", "left").groupBy("doc_id").agg(
-        F.collect_set("bucket").alias("buckets"), F.collect_set("parted").alias("parted"))
-    known = written(docs.join(nominated, "doc_id", "left").select("doc_id", "key", "text", "buckets", "parted"), "known")
+    nominated = written(shared.join(frequent, "bucket", "left").groupBy("doc_id").agg(
+        F.collect_set("bucket").alias("buckets"), F.collect_set("parted").alias("parted")), "nominated")
     discard(shared)
-    some = known.filter("buckets IS NOT NULL")
-    spans = repeats(some, window).groupBy("doc_id", "key").agg(
+    spans = repeats(owned.join(nominated, "doc_id"), window).groupBy(
+        F.col("doc_id").alias("s_id"), F.col("key").alias("s_key")).agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("sizes"))
+    # the key is compared as a condition: as a join key it would ask for another exchange of the texts
+    same = (F.col("doc_id") == F.col("s_id")) & (F.col("key").bitwiseXOR(F.col("s_key")) == 0)
     none = F.lit(None).cast("array<long>")
-    joined = some.join(spans, ["doc_id", "key"], "left").select("doc_id", "text", "starts", "sizes").unionAll(
-        known.filter("buckets IS NULL").select("doc_id", "text", none.alias("starts"), none.alias("sizes")))
+    joined = owned.join(spans, same, "left").select("doc_id", "text", "starts", "sizes").unionAll(
+        docs.filter("doc_id IS NULL").select("doc_id", "text", none.alias("starts"), none.alias("sizes")))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import sys
+import tempfile
 
 import duckdb
 import numpy as np
@@ -103,6 +104,26 @@ def test_a_row_without_doc_id_keeps_its_words(spark):
     assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {None: 0, 1: 0, 2: 40}
 
 
+def test_texts_are_shuffled_once(spark):
+    rng, base = random.Random(3), _text(random.Random(4), 30)
+    rows = [(k, f"{_text(rng, 15, 10**6)} {base}") for k in range(30)] + [(7, f"{base} tail"), (None, base), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = tempfile.mkdtemp(prefix="funnelkit-texts-") + "/documents"
+    docs.write.parquet(path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = substrings.remove_repeats(spark.read.parquet(path)).select("doc_id", "n_words", "n_removed")
+        got = sorted(map(tuple, found.collect()), key=str)
+        final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == sorted([(k, 45, 30 if k else 0) for k in range(30)] + [(7, 31, 30), (None, 30, 0), (None, 1, 0)], key=str)
+    # the texts with an id are scanned and exchanged once, those without are only scanned
+    scans = [x for x in final.splitlines() if "FileScan parquet" in x and "text#" in x]
+    assert len(scans) == 2 and len([x for x in final.splitlines() if "ReusedExchange" in x and "text#" in x]) == 1
+
+
 def test_repeated_line_chunks_go_but_for_the_first(docs):
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
     after = lines.dedup_lines(docs, with_counts=True)
