@@ -138,6 +138,15 @@ def marketing_host(cfg: FunnelConfig) -> str:
             f"(event_name = {lit(cfg.signup_event)} AND ends_with(hostname, {lit(cfg.site_host)})))")
 
 
+def calendar(cfg: FunnelConfig) -> tuple:
+    """Windows and scan ranges: written out for the fixtures' calendar, those
+    of ``cfg`` for any other."""
+    own = fx.cube_config()
+    if (cfg.as_of, cfg.window_days, cfg.prior_shift_days) == (own.as_of, own.window_days, own.prior_shift_days):
+        return CUBE_WINDOWS, CUBE_RANGES
+    return [(w.period, w.start, w.end) for w in cfg.windows], cfg.scan_ranges
+
+
 def spans_table(ranges) -> str:
     return table("span", "opens, closes", ranges)
 
@@ -165,7 +174,7 @@ def session_steps(cfg: FunnelConfig, raw: str, keys: str = "user_pseudo_id, sess
 def web_steps(cfg: FunnelConfig, ranges=None, source: str = fx.WEB_EVENTS_SQL) -> list[str]:
     raw = (f"SELECT * FROM ({source}) e WHERE EXISTS "
            "(SELECT 1 FROM span WHERE e.event_date BETWEEN span.opens AND span.closes)")
-    return [spans_table(ranges or CUBE_RANGES), *session_steps(cfg, raw)]
+    return [spans_table(ranges or calendar(cfg)[1]), *session_steps(cfg, raw)]
 
 
 def labelled_steps(cfg: FunnelConfig) -> list[str]:
@@ -184,14 +193,14 @@ def labelled_steps(cfg: FunnelConfig) -> list[str]:
 
 # -- the cube --------------------------------------------------------------------
 
-def cube_steps(cfg: FunnelConfig, windows=CUBE_WINDOWS, ranges=None,
+def cube_steps(cfg: FunnelConfig, windows=None, ranges=None,
                source: str = fx.WEB_EVENTS_SQL) -> list[str]:
     """Up to ``cell``: every (period, dimensions) with visits, activations."""
     older = {"landing_family": "Other"} if cfg.entry_rule == "first_event" else {}
     dims = ", ".join(f"coalesce(c.{k}, {lit((NO_SESSION | older)[k])}) AS {k}" for k in DIMS.split(", "))
     counted = "acquisition" + (" AND NOT identified" if cfg.exclude_identified else "")
     return [
-        *web_steps(cfg, ranges, source), *labelled_steps(cfg), windows_table(windows),
+        *web_steps(cfg, ranges, source), *labelled_steps(cfg), windows_table(windows or calendar(cfg)[0]),
         f"""joined_on AS (
           SELECT user_pseudo_id, event_date AS signup_date FROM seen WHERE event_name = {lit(cfg.signup_event)}
           QUALIFY row_number() OVER (PARTITION BY user_pseudo_id ORDER BY event_date) = 1)""",
@@ -210,8 +219,9 @@ def cube_steps(cfg: FunnelConfig, windows=CUBE_WINDOWS, ranges=None,
     ]
 
 
-def kept_cells() -> str:
-    return f"big_cell AS (SELECT * FROM cell WHERE activations > 0 OR visits >= {MIN_VISITS})"
+def kept_cells(cfg: FunnelConfig | None = None) -> str:
+    least = MIN_VISITS if cfg is None else cfg.min_visits
+    return f"big_cell AS (SELECT * FROM cell WHERE activations > 0 OR visits >= {least})"
 
 
 def _sessions_query(cfg: FunnelConfig, extra: str = "") -> str:
