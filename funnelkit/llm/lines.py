@@ -9,17 +9,22 @@ Equal hashes only nominate a chunk; grouping by its whole text compares bytes.
 That is operator 8, whose rows its SQL twin fixes; a shared passage goes there
 only as far as whole chunks reach.
 
-The pipeline removes shared passages whole (``drop_passages``): there every two
-non-blank lines in a row, with the blank ones between, are a chunk.  A line
-goes if one of its chunks occurs earlier, in another document or in the same
-one without sharing a line; so each line that goes has an equal one before it,
-and a run of one repeated line keeps two.
+The pipeline removes shared passages whole (``drop_passages``).  The same kind
+of rolling hash, there over the non-blank lines, cuts chunks of two lines at
+least; a chunk whose bytes occur earlier goes.  These chunks are the seeds:
+line by line, every two non-blank lines in a row (with the blank ones between)
+that do not lie in a chunk that goes are then compared as well, so a passage
+grows past the ends of its chunks and one without a whole chunk is found too.
+Such a pair goes if its bytes occur earlier, in another document or in the
+same one without sharing a line.  Each line that goes has an equal one before
+it, and a run of one repeated line keeps two.
 
 Scale: DataFrame functions only.  Three passes over the documents: hashes of
 all chunks (partial counts, so a chunk that a third of all documents hold is
 folded before it moves), texts of the nominated chunks, and the removal.  Only
-the nominated chunks' texts are written.  Joins on chunk hashes and texts are
-left to the adaptive skew split.
+the nominated chunks' texts are written.  A pair inside a chunk that goes is
+not compared: all it could match is also in the chunk's first occurrence.
+Joins on chunk hashes and texts are left to the adaptive skew split.
 
 Defined results: null text stays null and has no lines; an empty text is one
 blank line; a text that loses all its chunks becomes empty and its row stays;
@@ -30,19 +35,24 @@ columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import discard, written
 
 WINDOW = 3
 BASE = 31
 MEAN_LINES = 4
+SEED_WINDOW = 1
+SEED_LINES = 2
 BLANK = " \t\n\f\r"
 
 
+def _rolling(hashes: str, i: Column, window: int) -> Column:
+    """The rolling hash of the last ``window`` lines up to place ``i``."""
+    return sum(F.coalesce(F.get(hashes, i - k), F.lit(0)) * BASE**k for k in range(window))
+
+
 def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``__chunks``, an array of line chunks (null for null)."""
     own = [F.col(f"`{c}`") for c in docs.columns]
@@ -52,8 +62,7 @@ def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
     step = docs.select(*own, F.inline_outer(F.array(F.struct(lines.alias("__lines"), hashes.alias("__hashes")))))
 
     def ends_chunk(i: Column) -> Column:
-        rolling = sum(F.coalesce(F.get("__hashes", i - k), F.lit(0)) * BASE**k for k in range(WINDOW))
-        return (rolling % MEAN_LINES == 0) | (i == F.size("__lines") - 1)
+        return (_rolling("__hashes", i, WINDOW) % MEAN_LINES == 0) | (i == F.size("__lines") - 1)
 
     ends = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), ends_chunk)
     step = step.select(*own, F.inline_outer(F.array(F.struct(
@@ -66,20 +75,57 @@ def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
     return step.select(*own, F.explode(F.array(F.transform("__ends", chunk))).alias("__chunks"))
 
 
-def paired(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``__lines``, ``__filled`` (places of the non-blank lines)
-    and ``__chunks``, an array of every two non-blank lines in a row with the
-    blank ones between (null for null)."""
+def filled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``__lines`` and ``__filled``, the places of the non-blank
+    ones (both null for null)."""
     own = [F.col(f"`{c}`") for c in docs.columns]
     step = docs.select(*own, F.inline_outer(F.array(F.struct(F.split(F.col(text), "\n", -1).alias("__lines")))))
-    filled = F.filter(_places("__lines"), lambda i: F.btrim(F.get("__lines", i), F.lit(BLANK)) != "")
-    step = step.select(*own, F.inline_outer(F.array(F.struct("__lines", filled.alias("__filled")))))
+    places = F.filter(_places("__lines"), lambda i: F.btrim(F.get("__lines", i), F.lit(BLANK)) != "")
+    return step.select(*own, F.inline_outer(F.array(F.struct("__lines", places.alias("__filled")))))
+
+
+def seeded(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``__lines``, ``__filled`` and ``__spans`` (null for null):
+    (seed, place, last, home), the first and last of some non-blank lines in a
+    row, counted in ``__filled``.  Seeds are the content-defined chunks of two
+    such lines or more; the others are all pairs.  ``home`` is the place of
+    the chunk that a pair lies in, null between two chunks."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    step = filled(docs, text)
+    hashes = F.transform("__filled", lambda i: F.xxhash64(F.get("__lines", i)).bitwiseAND(F.lit(0x7FFFFFFF)))
+    step = step.select(*own, F.inline_outer(F.array(F.struct("__lines", "__filled", hashes.alias("__hashes")))))
+
+    def zero(i: Column) -> Column:
+        return _rolling("__hashes", i, SEED_WINDOW) % SEED_LINES == 0
+
+    def ends_chunk(i: Column) -> Column:
+        # no cut next to another one: a chunk has two lines, and a run of one line is not cut
+        return ((i > 0) & zero(i) & ~zero(i - 1)) | (i == F.size("__hashes") - 1)
 
-    def pair(start: Column, k: Column) -> Column:
-        return F.array_join(F.slice("__lines", start + 1, F.get("__filled", k + 1) - start + 1), "\n")
+    ends = F.filter(F.sequence(F.lit(0), F.size("__hashes") - 1), ends_chunk)
+    step = step.select(*own, F.inline_outer(F.array(F.struct(
+        "__lines", "__filled", F.when(F.size("__hashes") > 0, ends).alias("__ends")))))
+
+    def span(seed: bool, place: Column, last: Column, home: Column) -> Column:
+        return F.struct(F.lit(seed).alias("seed"), place.cast("int").alias("place"), last.cast("int").alias("last"),
+                        home.cast("int").alias("home"))
+
+    def spans(end: Column, k: Column) -> Column:
+        start = F.coalesce(F.get("__ends", k - 1) + 1, F.lit(0))
+        inner = F.transform(F.sequence(start, end - 1), lambda i: span(False, i, i + 1, start))
+        whole = F.concat(F.array(span(True, start, end, start)), inner)
+        between = F.array(span(False, end, end + 1, F.lit(None)))
+        none = F.slice(between, 1, 0)
+        return F.concat(F.when(end > start, whole).otherwise(none),
+                        F.when(k < F.size("__ends") - 1, between).otherwise(none))
+
+    return step.select(*own, "__lines", "__filled", F.explode(F.array(
+        F.flatten(F.transform("__ends", spans)))).alias("__spans"))
 
-    starts = F.slice("__filled", 1, F.greatest(F.size("__filled") - 1, F.lit(0)))
-    return step.select(*own, "__lines", "__filled", F.explode(F.array(F.transform(starts, pair))).alias("__chunks"))
+
+def _passage(place: Column, last: Column) -> Column:
+    start = F.get("__filled", place)
+    return F.array_join(F.slice("__lines", start + 1, F.get("__filled", last) - start + 1), "\n")
 
 
 def _places(lines: str) -> Column:
@@ -95,28 +141,68 @@ def _multi_line(chunk: str) -> Column:
     return F.contains(F.btrim(chunk, F.lit(BLANK)), F.lit("\n"))
 
 
-def repeated_chunks(docs: DataFrame, cut: Callable[[DataFrame], DataFrame] = chunked, apart: int = 1) -> DataFrame:
+def _with_places(rows: DataFrame, nominated: DataFrame) -> DataFrame:
+    """k_id, k_text, ``__chunks`` and the like of the nominated documents, a row for each ``place``."""
+    own = [c for c in rows.columns if c.startswith("__")]
+    texts = rows.select(*_key(), *own).join(
+        nominated.select(F.col("k_id").alias("o_id"), F.col("k_text").alias("o_text"), "places"),
+        F.col("k_id").eqNullSafe(F.col("o_id")) & (F.col("k_text") == F.col("o_text")))
+    return texts.select("k_id", "k_text", *own, F.explode("places").alias("place"))
+
+
+def _nominated(found: DataFrame) -> DataFrame:
+    """(k_id, k_text, places): the places whose hash h occurs more than once."""
+    often = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "often")
+    return found.join(often, "h").groupBy("k_id", "k_text").agg(F.collect_set("place").alias("places"))
+
+
+def _later(texts: DataFrame, apart: int) -> DataFrame:
+    """The rows of ``texts`` (k_id, k_text, place, chunk, ...) whose chunk
+    occurs earlier; in the document of its first occurrence only those
+    ``apart`` places behind it."""
+    order = F.struct("k_id", "k_text", "place")
+    firsts = texts.groupBy("chunk").agg(F.min(order).alias("first"), F.max(order).alias("last"))
+    # equal rows are one document: a chunk with one place alone occurs once
+    firsts = written(firsts.filter(~F.col("first").eqNullSafe(F.col("last"))).select("chunk", "first"), "firsts")
+    own = F.col("k_id").eqNullSafe(F.col("first.k_id")) & (F.col("k_text") == F.col("first.k_text"))
+    return texts.join(firsts, "chunk").filter(~own | (F.col("place") - F.col("first.place") >= apart))
+
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(k_id, k_text, gone): per document the places of its chunks to remove;
-    ``docs`` has doc_id and text.  In the document of a chunk's first
-    occurrence only chunks ``apart`` places behind it go."""
+    ``docs`` has doc_id and text."""
     docs = docs.select(F.col("doc_id"), "text")
-    chunks = cut(docs).select(*_key(), F.posexplode("__chunks").alias("place", "chunk"))
+    chunks = chunked(docs).select(*_key(), F.posexplode("__chunks").alias("place", "chunk"))
     found = chunks.filter(_multi_line("chunk")).select("k_id", "k_text", "place", F.xxhash64("chunk").alias("h"))
     found = written(found, "found")
-    often = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "often")
-    nominated = found.join(often, "h").groupBy("k_id", "k_text").agg(F.collect_set("place").alias("places"))
-    texts = cut(docs).select(*_key(), "__chunks").join(
-        nominated.select(F.col("k_id").alias("o_id"), F.col("k_text").alias("o_text"), "places"),
-        F.col("k_id").eqNullSafe(F.col("o_id")) & (F.col("k_text") == F.col("o_text")))
-    texts = texts.select("k_id", "k_text", "__chunks", F.explode("places").alias("place")).select(
+    texts = _with_places(chunked(docs), _nominated(found)).select(
         "k_id", "k_text", "place", F.get("__chunks", F.col("place")).alias("chunk"))
     texts = written(texts, "nominated")
-    order = F.struct("k_id", "k_text", "place")
-    firsts = texts.distinct().groupBy("chunk").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = written(firsts.filter("n > 1").select("chunk", "first"), "firsts")
-    own = F.col("k_id").eqNullSafe(F.col("first.k_id")) & (F.col("k_text") == F.col("first.k_text"))
-    return texts.join(firsts, "chunk").filter(~own | (F.col("place") - F.col("first.place") >= apart)).groupBy("k_id", "k_text").agg(
-        F.collect_set("place").alias("gone"))
+    return _later(texts, 1).groupBy("k_id", "k_text").agg(F.collect_set("place").alias("gone"))
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(k_id, k_text, seed, place, last): the spans of ``seeded`` that occur
+    earlier; pairs inside such a chunk are left out.  ``docs`` has doc_id and
+    text."""
+    docs = docs.select(F.col("doc_id"), "text")
+    # a span is known by its place in __spans; seeds and pairs have hashes of their own
+    found = seeded(docs).select(*_key(), F.posexplode(F.transform("__spans", lambda s: F.xxhash64(
+        s.seed, _passage(s.place, s.last)))).alias("place", "h"))
+    found = written(found, "found")
+    texts = _with_places(seeded(docs), _nominated(found)).select(
+        "k_id", "k_text", F.get("__spans", F.col("place")).alias("span"), "__lines", "__filled").select(
+        "k_id", "k_text", "span.*", _passage(F.col("span.place"), F.col("span.last")).alias("chunk"))
+    texts = written(texts, "nominated")
+    discard(found)
+    seeds = written(_later(texts.filter("seed"), 1).select("k_id", "k_text", "seed", "place", "last"), "seeds")
+    homes = seeds.select(F.col("k_id").alias("o_id"), F.col("k_text").alias("o_text"), F.col("place").alias("o_home"))
+    pairs = texts.filter("NOT seed").join(
+        homes, F.col("k_id").eqNullSafe(F.col("o_id")) & (F.col("k_text") == F.col("o_text"))
+        & (F.col("home") == F.col("o_home")), "left_anti")
+    pairs = written(pairs, "pairs")
+    discard(texts)
+    return seeds.unionAll(_later(pairs, 2).select(seeds.columns))
 
 
 def _with_gone(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -127,8 +213,9 @@ def _with_gone(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def drop_passages(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) without the passages of two or more
     non-blank lines that occur earlier."""
-    rows = paired(_with_gone(docs, repeated_chunks(docs, paired, apart=2)))
-    lost = F.flatten(F.transform("__gone", lambda k: F.sequence(F.get("__filled", k), F.get("__filled", k + 1))))
+    gone = repeated_passages(docs).groupBy("k_id", "k_text").agg(F.collect_set(F.struct("place", "last")).alias("gone"))
+    rows = filled(_with_gone(docs, gone))
+    lost = F.flatten(F.transform("__gone", lambda s: F.sequence(F.get("__filled", s.place), F.get("__filled", s.last))))
     kept = F.transform(F.array_except(_places("__lines"), lost), lambda i: F.get("__lines", i))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
     return rows.select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns])

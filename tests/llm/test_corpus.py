@@ -172,6 +172,35 @@ def test_shared_passages_of_two_lines_and_more_go_whole(spark):
     assert dict(map(tuple, found)) == expected == _without_passages(rows)
 
 
+def test_passages_are_found_by_content_defined_chunks(spark):
+    rng = random.Random(9)
+    block = [_text(rng, 6, 10**6) for _ in range(60)]
+    rows = [(d, "\n".join([_text(rng, 5, 10**6) for _ in range(3 * d)] + block[d:60 - d])) for d in range(4)]
+    rows += [(9, "\n".join(["same"] * 20)), (10, "one"), (11, "\n \n"), (12, ""), (13, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks, pairs = {}, {}
+    for r in lines.seeded(docs).collect():
+        for s in r["__spans"] or []:
+            (chunks if s["seed"] else pairs).setdefault(r["doc_id"], []).append((s["place"], s["last"], s["home"]))
+    assert set(chunks) == set(pairs) == {0, 1, 2, 3, 9} and chunks[9] == [(0, 19, 0)]
+    for d, text in rows[:5]:
+        n = len(text.split("\n"))
+        assert sorted(p[:2] for p in pairs[d]) == [(k, k + 1) for k in range(n - 1)]
+        inside = {k: a for a, b, _ in chunks[d] for k in range(a, b)}
+        assert all(home == inside.get(k) for k, _, home in pairs[d]) and len(chunks[d]) > 5 or d == 9
+        assert all(b > a for a, b, _ in chunks[d])
+    inner = {tuple(block[a:b + 1]) for a, b, _ in chunks[0] if a > 5 and b < 54}
+    for d in (1, 2, 3):  # the cuts follow the lines, wherever the block stands
+        text = rows[d][1].split("\n")
+        assert inner <= {tuple(text[a:b + 1]) for a, b, _ in chunks[d]}
+    gone = {}
+    for r in lines.repeated_passages(docs).collect():
+        gone.setdefault((r["k_id"], r["seed"]), set()).update(range(r["place"], r["last"] + 1))
+    for d in (1, 2, 3):  # chunks take most of the block, pairs carry it on to its ends
+        assert len(gone[d, True]) >= 40 and gone[d, True] | gone[d, False] == set(range(3 * d, 60 + d))
+    assert not any(d == 0 for d, _ in gone)
+
+
 def test_passages_match_brute_force(spark):
     rng = random.Random(8)
     rows = [(d, "\n".join(rng.choice(["a", "b", "c", "d", "e", "", " "]) for _ in range(rng.randrange(9)))) for d in range(60)]
