@@ -25,7 +25,9 @@ stay as they are.
 
 Scale: buckets, hubs and star minima are salted partial aggregates, so a
 group that holds a third of all rows is split over ``SALTS`` tasks or more;
-sets are built again from the text for candidate classes only.  Shingles are
+sets are built again from the text for candidate classes only.  Texts and
+bucket rows that no join can match are left out by ``sieve`` before the exchange,
+so whole texts move for candidates and doubles only.  Shingles are
 counted in 2**20 hashed counters, whose table has that size for any input.
 Every round is written to the shared folder, which cuts lineage; a table is
 deleted when what reads it is written.
@@ -46,17 +48,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.ranking import salted_join
+from .sieve import sieve, sifted
 from .storage import discard, written
 from .text import space_words, utf8
 
 BANDS, ROWS = 40, 5
 _COUNTERS = 1 << 20
 SALTS = 32
+LARGE = 256
 SEED = 11
 _WORDS_KEPT = 1 << 18
 _STEP = 2048
@@ -149,6 +152,7 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     number, ``many``.  The counts are partial sums, so a hot bucket is read by
     many tasks; the rows join them in the salted key."""
     many = written(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).filter("many > 1"), "buckets")
+    rows, _ = sifted(rows, "bucket", sieve(many, "bucket"))
     parts = many.withColumn("salt", F.explode(F.sequence(
         F.lit(0), F.least(F.lit(SALTS - 1), F.expr("cast(many div 64 as int)")))))
     # rows do not know whether their bucket is hot: salt 0 unless it is
@@ -161,13 +165,36 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return found
 
 
+def _copies() -> Column:
+    return F.least(F.lit(SALTS).cast("long"), F.expr(f"many div {LARGE} + 1"))
+
+
+def dealt_join(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``groups`` in ``keys``.  Both know the number of
+    rows of their group, ``many`` (any number below LARGE is as good): the rows
+    of a large group are dealt over up to SALTS tasks, each with its copy of the
+    other side; a small group is not copied."""
+    salt = F.pmod(F.xxhash64(*rows.columns), _copies()).alias("__salt")
+    spread = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), _copies() - 1))).drop("many")
+    return rows.select("*", salt).join(spread, [*keys, "__salt"]).drop("__salt")
+
+
+def with_many(rows: DataFrame, groups: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``many`` of its group for the large ones of ``groups``, 1
+    for the others, and the written table it comes from."""
+    large = written(groups.filter(f"many >= {LARGE}").select(*keys, "many"), "large")
+    if not large.head(1):
+        return rows.withColumn("many", F.lit(1).cast("long")), large
+    return rows.join(large, keys, "left").withColumn("many", F.coalesce("many", F.lit(1).cast("long"))), large
+
+
 def hub_pairs(shared: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) of every member with its bucket's hub: the member whose
     buckets hold most members together, ties by a fixed hash."""
     degree = shared.groupBy("cls").agg(F.sum("many").alias("degree"))
-    rows = shared.join(degree, "cls").select("bucket", "cls", "n", "degree")
-    hubs = rows.groupBy("bucket").agg(F.max(F.struct("degree", F.xxhash64("cls").alias("h"), "cls", "n")).alias("hub"))
-    return salted_join(rows, hubs, ["bucket"]).filter("cls <> hub.cls").select(
+    rows = shared.join(degree, "cls").select("bucket", "cls", "n", "degree", "many")
+    hubs = rows.groupBy("bucket", "many").agg(F.max(F.struct("degree", F.xxhash64("cls").alias("h"), "cls", "n")).alias("hub"))
+    return dealt_join(rows, hubs, ["bucket"]).filter("cls <> hub.cls").select(
         F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b"),
         F.col("n").alias("n_a"), F.col("hub.n").alias("n_b")).filter(_alike(similarity)).select("a", "b").distinct()
 
@@ -180,7 +207,8 @@ def _alike(similarity: int) -> str:
 def class_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(cls, items): the sets of the ``wanted`` classes (cls), built again from
     the text of one row of each."""
-    first = classes.join(wanted, "cls").select("cls", F.col("doc_id").alias("rep"), "place")
+    first = written(classes.join(wanted, "cls").select("cls", F.col("doc_id").alias("rep"), "place"), "firsts")
+    docs, _ = sifted(docs, "place", sieve(first, "place"))
     texts = docs.join(first, (docs["place"] == first["place"]) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +223,9 @@ def class_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, shingle:
                     ["cls", "items"])
 
     # rows that are equal in id and text give the same set more than once
-    return written(texts.mapInArrow(sets, "cls binary, items binary").dropDuplicates(["cls"]), "sets")
+    found = written(texts.mapInArrow(sets, "cls binary, items binary").dropDuplicates(["cls"]), "sets")
+    discard(first)
+    return found
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, similarity: int,
@@ -292,20 +322,21 @@ def apart_links(apart: DataFrame, known: DataFrame, classes: DataFrame, docs: Da
     lists = written(_prefixes(sets, similarity).join(apart, "cls").select(
         "token", "cls", F.col("n").alias("n_a"), F.col("place").alias("place_a"), "root"), "lists")
     # lists of several components, with the one that has most members there
-    top = lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("roots"), F.max(F.struct("k", "root")).alias("top")).filter("roots > 1").select(
-        "token", F.col("top.root").alias("top"))
-    mixed = written(salted_join(lists, top, ["token"]), "mixed")
-    other = mixed.filter("root <> top").select("token", F.col("cls").alias("other"), F.col("n_a").alias("n_b"),
+    top = written(lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum("k").alias("many"), F.max(F.struct("k", "root")).alias("top")).filter(
+        "roots > 1").select("token", "many", F.col("top.root").alias("top")), "top")
+    listed, large = with_many(lists, top, ["token"])
+    mixed = written(dealt_join(listed, top, ["token"]), "mixed")
+    other = mixed.filter("root <> top").select("token", "many", F.col("cls").alias("other"), F.col("n_a").alias("n_b"),
                                                F.col("place_a").alias("place_b"), F.col("root").alias("root_b"))
     # sizes that allow the similarity, and an overlap from these places on that does
     fits = f"{_alike(similarity)} AND {100 + similarity} * least(n_a - place_a, n_b - place_b) >= {similarity} * (n_a + n_b)"
-    pairs = salted_join(mixed, other, ["token"]).filter(
+    pairs = dealt_join(mixed, other, ["token"]).filter(
         f"root <> root_b AND (root = top OR cls < other) AND {fits}").select(
         F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
     pairs = written(pairs, "pairs")
     links = confirmed(pairs, classes, docs, shingle, similarity, hashes, sets)
-    discard(sets, lists, mixed, pairs)
+    discard(sets, lists, top, large, mixed, pairs)
     if links.head(1):
         before, known = known, components(known.select(F.col("cls").alias("a"), F.col("root").alias("b")).union(links))
         discard(before)
@@ -360,10 +391,10 @@ def judged(docs: DataFrame, shingle: int = 5, similarity: int = 80, bands: int =
     shared = shared_buckets(_band_rows(classes, bands))
     links = confirmed(hub_pairs(shared, similarity), classes, docs, shingle, similarity, hashes)
     known = components(links)
-    labelled = shared.join(known, "cls", "left").select("bucket", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        "low <> high").select("bucket")
-    apart = written(salted_join(labelled, mixed, ["bucket"]).select("cls", "n", "root").distinct(), "apart")
+    labelled = shared.join(known, "cls", "left").select("bucket", "cls", "n", "many", F.coalesce("root", "cls").alias("root"))
+    mixed = labelled.groupBy("bucket", "many").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
+        "low <> high").select("bucket", "many")
+    apart = written(dealt_join(labelled, mixed, ["bucket"]).select("cls", "n", "root").distinct(), "apart")
     discard(shared, links)
     if apart.head(1):
         known = apart_links(apart, known, classes, docs, shingle, similarity, hashes)
@@ -388,20 +419,25 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     without words stay; columns as they are."""
     rows = written(judged(docs.select("doc_id", "text")).filter("n > 0").groupBy("root", "doc_id", "place").agg(
         F.count(F.lit(1)).alias("k")), "judged")
-    # one row per component: the key that stays
-    stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("s")).select(
-        "root", F.col("s.doc_id").alias("__id"), F.col("s.place").alias("__place"))
+    # one row per component, the key that stays; a component of one row has nothing to tell
+    stays = written(rows.groupBy("root").agg(
+        F.count(F.lit(1)).alias("many"), F.max("k").alias("most"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("s")).filter(
+        "many > 1 OR most > 1").select("root", "many", F.col("s.doc_id").alias("__id"), F.col("s.place").alias("__place")), "stays")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("place") == F.col("__place"))
-    kept = salted_join(rows, stays, ["root"]).select("doc_id", "place", "k", same.alias("stays"))
-    key = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("place").alias("__at"))
+    rows, _ = with_many(rows, stays, ["root"])
+    named = dealt_join(rows, stays, ["root"]).select(
+        F.col("doc_id").alias("__id"), F.col("place").alias("__at"), "k", same.alias("stays"))
+    named = written(named.filter("NOT stays OR k > 1"), "named")
     match = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__at"))
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    left = keyed.join(key(kept.filter("NOT stays")), match, "left_anti")
-    again = key(kept.filter("stays AND k > 1"))
+    # rows of other texts stay where they are
+    left, others = sifted(docs.withColumn("__key", F.xxhash64("text")), "__key", sieve(named, "__at"))
+    left = left.join(named.filter("NOT stays"), match, "left_anti")
+    again = named.filter("stays")
     if again.head(1):
         equal = left.join(again, match, "left_semi").dropDuplicates(["doc_id", "__key"])
         left = left.join(again, match, "left_anti").unionByName(equal)
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return others.unionByName(left).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,10 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from funnelkit.llm import near
+from funnelkit.llm.sieve import sieve, sifted
 from funnelkit.storage import shared_folder
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -114,3 +117,44 @@ def test_consumed_tables_are_deleted(spark):
     near.near_duplicates(spark.createDataFrame(_template(30), SCHEMA), shingle=2).count()
     kept = sorted(os.listdir(f"{folder}/{x}")[0] for x in set(os.listdir(folder)) - before)
     assert kept == ["classes", "components", "members"]  # what the result reads
+
+
+def test_a_sieve_splits_rows_without_an_exchange_of_them(spark):
+    rows = spark.range(20000).select("id", F.xxhash64("id").alias("h")).unionByName(
+        spark.createDataFrame([(-1, None), (-2, 0), (-3, -1), (-4, 1 << 26)], "id long, h long"))
+    keys = rows.filter("id % 50 = 0 OR id IN (-2, -3)").select("h")
+    may, others = sifted(rows, "h", sieve(keys, "h"))
+    found = {r["id"] for r in may.select("id").collect()}
+    wanted = set(range(0, 20000, 50)) | {-2, -3}
+    assert wanted <= found and len(found) < len(wanted) + 40 and -1 not in found
+    assert sorted(r["id"] for r in others.collect()) == sorted({*range(20000), -1, -2, -3, -4} - found)
+    assert [k.count() for k in sifted(rows, "h", sieve(keys.limit(0), "h"))] == [0, 20004]
+    assert "SortMergeJoin" not in may._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_move_for_candidates_only(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(k, " ".join(_words(rng, 40)), "x") for k in range(400)]
+    rows += [(k, rows[k - 400][1] + " tail", "x") for k in range(400, 403)]
+    moved = []
+
+    def counted(table, key, bits, _real=sifted):
+        may, others = _real(table, key, bits)
+        if "text" in table.columns:
+            moved.append(may.count())
+        return may, others
+
+    monkeypatch.setattr(near, "sifted", counted)
+    kept = near.one_of_each(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(400))
+    assert moved and max(moved) <= 8
+
+
+def test_a_large_group_is_dealt_out_and_small_ones_are_not_copied(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 700, 0).otherwise(F.col("id")).alias("g"), "id")
+    groups = rows.groupBy("g").agg(F.count(F.lit(1)).alias("many"), F.min("id").alias("least"))
+    known, large = near.with_many(rows, groups, ["g"])
+    assert [tuple(r) for r in large.collect()] == [(0, 700)]
+    joined = near.dealt_join(known, groups, ["g"]).select("g", "id", "least").collect()
+    assert sorted(tuple(r) for r in joined) == [(0 if k < 700 else k, k, 0 if k < 700 else k) for k in range(1000)]
+    assert groups.select(F.sum(near._copies())).first()[0] == 300 + 3
